@@ -10,25 +10,31 @@ from pyspark.sql import types as T
 from stratagrid.grid import DIRECTIONS, GridSpec, steps, with_block
 from stratagrid.operators import kernels
 from stratagrid.operators.graph import connect
+from stratagrid.operators.groups import map_groups, spread
 from stratagrid.scratch import Rounds, materialize
 
 # half of each neighbourhood is enough to meet every pair once
 HALF_STEPS = {4: (1, 4), 8: (1, 2, 4, 8)}
 
 
-def _labeller(neighbours: int, value: str | None):
+def _labeller(neighbours: int, value: str | None, keys: list[str]):
     offsets = [(dc, dr) for code, dc, dr in DIRECTIONS if code in HALF_STEPS[neighbours]]
 
     def label(cells: pd.DataFrame) -> pd.DataFrame:
-        cells = cells.sort_values(["row", "col"], ignore_index=True)
-        u, v = kernels.adjacent_pairs(cells["col"].to_numpy(), cells["row"].to_numpy(), offsets)
+        group = cells.groupby(keys, sort=False).ngroup().to_numpy() if keys else None
+        order = ["_group", "row", "col"] if keys else ["row", "col"]
+        cells = (cells.assign(_group=group) if keys else cells).sort_values(order, ignore_index=True)
+        u, v = kernels.adjacent_pairs(
+            cells["col"].to_numpy(), cells["row"].to_numpy(), offsets,
+            cells["_group"].to_numpy() if keys else None,
+        )
         if value is not None:
             values = cells[value].to_numpy()
             same = values[u] == values[v]
             u, v = u[same], v[same]
         root = kernels.least_labels(len(cells), u, v)
         cells["component"] = cells["cell_id"].to_numpy()[root]
-        return cells
+        return cells.drop(columns="_group") if keys else cells
 
     return label
 
@@ -45,8 +51,8 @@ def group_components(cells: DataFrame, keys: list[str], grid: GridSpec, value: s
     their values are equal.
     """
     cells = cells.withColumn("cell_id", grid.cell_id())
-    return cells.groupBy(*keys).applyInPandas(
-        _labeller(neighbours, value), _with_component(cells.schema)
+    return map_groups(
+        cells, keys, _labeller(neighbours, value, keys), _with_component(cells.schema)
     ).drop("cell_id")
 
 
@@ -59,7 +65,7 @@ def components(cells: DataFrame, grid: GridSpec, value: str | None = None,
     """
     cells = cells.withColumn("cell_id", grid.cell_id())
     labelled = materialize(
-        with_block(cells, grid).groupBy("bc", "br").applyInPandas(
+        spread(with_block(cells, grid), "bc", "br").groupBy("bc", "br").applyInPandas(
             _block_labeller(neighbours, value), _with_component(cells.schema)
         )
     )
@@ -81,7 +87,7 @@ def components(cells: DataFrame, grid: GridSpec, value: str | None = None,
 
 
 def _block_labeller(neighbours: int, value: str | None):
-    label = _labeller(neighbours, value)
+    label = _labeller(neighbours, value, [])
 
     def run(cells: pd.DataFrame) -> pd.DataFrame:
         return label(cells.drop(columns=["bc", "br"]))

@@ -11,24 +11,29 @@ from pyspark.sql import functions as F
 
 from stratagrid.grid import DIRECTIONS, GridSpec
 from stratagrid.operators import kernels
+from stratagrid.operators.groups import map_groups
 
-STEP = {code: (dc, dr) for code, dc, dr in DIRECTIONS}
+STEP_COL, STEP_ROW = np.zeros(129, dtype=np.int64), np.zeros(129, dtype=np.int64)
+for _code, _dc, _dr in DIRECTIONS:
+    STEP_COL[_code], STEP_ROW[_code] = _dc, _dr
 
 
-def _surface(cells: pd.DataFrame, straight: float, diagonal: float):
-    """Dense cost and back-link grids of one window; unusable cells are closed."""
-    col, row = cells["col"].to_numpy(), cells["row"].to_numpy()
-    c0, r0 = col.min(), row.min()
-    at = (row - r0, col - c0)
-    height = np.full((int(at[0].max()) + 1, int(at[1].max()) + 1), np.nan)
+def _surfaces(cells: pd.DataFrame, straight: float, diagonal: float):
+    """Cost and back-link grids of the windows in a batch, each centred on its start.
+
+    Returns the position (window, row, col) of every cell, the grids, and their half-width.
+    """
+    window = cells.groupby("id", sort=False).ngroup().to_numpy()
+    dc = (cells["col"] - cells["start_col"]).to_numpy()
+    dr = (cells["row"] - cells["start_row"]).to_numpy()
+    half = int(max(np.abs(dc).max(), np.abs(dr).max()))
+    at = (window, dr + half, dc + half)
+    height = np.full((window.max() + 1, 2 * half + 1, 2 * half + 1), np.nan)
     height[at] = cells["z"].to_numpy(dtype=float)
-    height[height <= 0] = np.nan
-    start = (int(cells["start_row"].iloc[0] - r0), int(cells["start_col"].iloc[0] - c0))
-    inside = 0 <= start[0] < height.shape[0] and 0 <= start[1] < height.shape[1]
-    if not inside:
-        return None
-    cost, back = kernels.cost_surface(height, start, DIRECTIONS, straight, diagonal)
-    return at, (c0, r0), cost, back
+    height[~(height > 0)] = np.nan  # costs must be positive
+    centre = np.full(len(height), half)
+    cost, back = kernels.cost_surfaces(height, (centre, centre), DIRECTIONS, straight, diagonal)
+    return at, cost, back, half
 
 
 def cost_distance(windows: DataFrame, grid: GridSpec, straight: float = 1.0,
@@ -37,20 +42,17 @@ def cost_distance(windows: DataFrame, grid: GridSpec, straight: float = 1.0,
 
     ``windows`` is ``(id, start_col, start_row, col, row, z)``.  One step costs the mean of the
     two elevations times its length.  A window is bounded by the buffer, so all points run
-    in parallel, each window in one task.
+    in parallel and each window lies in one task.
     """
     straight, diagonal = straight * grid.cell, diagonal * grid.cell
 
     def run(cells: pd.DataFrame) -> pd.DataFrame:
-        out = cells[["id", "col", "row"]]
-        solved = _surface(cells, straight, diagonal)
-        if solved is None:
-            return out.assign(cost=0.0, back=0).iloc[:0]
-        at, _, cost, back = solved
-        out = out.assign(cost=cost[at], back=back[at])
+        at, cost, back, _ = _surfaces(cells, straight, diagonal)
+        out = cells[["id", "col", "row"]].assign(cost=cost[at], back=back[at])
         return out[np.isfinite(out["cost"])]
 
-    return windows.groupBy("id").applyInPandas(run, "id long, col long, row long, cost double, back long")
+    needed = windows.select("id", "start_col", "start_row", "col", "row", "z")
+    return map_groups(needed, ["id"], run, "id long, col long, row long, cost double, back long")
 
 
 def flow_paths(windows: DataFrame, grid: GridSpec, straight: float = 1.0,
@@ -61,33 +63,36 @@ def flow_paths(windows: DataFrame, grid: GridSpec, straight: float = 1.0,
     Points without a reachable target have no path.
     """
     straight, diagonal = straight * grid.cell, diagonal * grid.cell
-    ncol = grid.ncol
 
     def run(cells: pd.DataFrame) -> pd.DataFrame:
-        steps = []
-        solved = _surface(cells, straight, diagonal)
-        if solved is not None:
-            at, (c0, r0), cost, back = solved
-            reach = np.where(cells["target"].to_numpy(dtype=bool), cost[at], np.inf)
-            cell_id = cells["row"].to_numpy() * ncol + cells["col"].to_numpy()
-            best = np.lexsort((cell_id, reach))[0]
-            if np.isfinite(reach[best]):
-                r, c = int(at[0][best]), int(at[1][best])
-                steps.append((c, r))
-                while back[r, c]:
-                    dc, dr = STEP[int(back[r, c])]
-                    c, r = c + dc, r + dr
-                    steps.append((c, r))
-        steps.reverse()
-        return pd.DataFrame({
-            "id": cells["id"].iloc[:1].repeat(len(steps)).to_numpy(),
-            "step": np.arange(len(steps)),
-            "col": [c + c0 for c, _ in steps] if steps else [],
-            "row": [r + r0 for _, r in steps] if steps else [],
-            "cost": [cost[r, c] for c, r in steps] if steps else [],
-        })
-
-    return windows.groupBy("id").applyInPandas(run, "id long, step long, col long, row long, cost double")
+        at, cost, back, half = _surfaces(cells, straight, diagonal)
+        reached = cells.assign(window=at[0], r=at[1], c=at[2], cost=cost[at])
+        reached = reached[reached["target"] & np.isfinite(reached["cost"])]
+        ends = reached.sort_values(["window", "cost", "row", "col"]).drop_duplicates("window")
+        # all paths of the batch walk back together, one step at a time
+        w, r, c = ends["window"].to_numpy(), ends["r"].to_numpy(), ends["c"].to_numpy()
+        walked = []
+        while len(w):
+            walked.append(pd.DataFrame({"window": w, "r": r, "c": c, "cost": cost[w, r, c]}))
+            code = back[w, r, c]
+            on = code > 0
+            w, code = w[on], code[on]
+            r, c = r[on] + STEP_ROW[code], c[on] + STEP_COL[code]
+        names = ["id", "step", "col", "row", "cost"]
+        if not walked:
+            return pd.DataFrame({name: [] for name in names})
+        path = pd.concat(walked, keys=range(len(walked)), names=["hop"]).reset_index("hop")
+        path["step"] = path.groupby("window")["hop"].transform("max") - path["hop"]
+        starts = cells.assign(window=at[0]).drop_duplicates("window")[
+            ["window", "id", "start_col", "start_row"]
+        ]
+        path = path.merge(starts, on="window")
+        path["col"] = path["c"] - half + path["start_col"]
+        path["row"] = path["r"] - half + path["start_row"]
+        return path[names]
+
+    needed = windows.select("id", "start_col", "start_row", "col", "row", "z", "target")
+    return map_groups(needed, ["id"], run, "id long, step long, col long, row long, cost double")
 
 
 def flow_targets(windows: DataFrame, in_circle: Column, tolerance: float = 0.001) -> DataFrame:

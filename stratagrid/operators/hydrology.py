@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stratagrid.grid import DIRECTIONS, GridSpec, neighbourhood, steps, with_block, with_halo
 from stratagrid.operators import kernels
+from stratagrid.operators.groups import spread
 from stratagrid.operators.graph import resolve, spill_levels, subtree_sums
 from stratagrid.scratch import Rounds, materialize
 
@@ -49,7 +50,7 @@ def basins(dem: DataFrame, grid: GridSpec) -> DataFrame:
     )
     schema = _replace_column(down, "next", "exit long")
     local = materialize(
-        with_block(down, grid).groupBy("bc", "br").applyInPandas(_chain_ends, schema)
+        spread(with_block(down, grid), "bc", "br").groupBy("bc", "br").applyInPandas(_chain_ends, schema)
     )
     entries = local.filter(_crosses(grid)).select(F.col("exit").alias("cell_id")).distinct()
     pointers = local.select("cell_id", "exit").join(entries, "cell_id", "left_semi").select(
@@ -178,7 +179,8 @@ def _across_flats(known: DataFrame, grid: GridSpec) -> DataFrame:
         if blocks.isEmpty():
             break
         haloed = with_halo(state.drop("moved"), grid)
-        worked = haloed.join(blocks, ["bc", "br"], "left_semi").groupBy("bc", "br").applyInPandas(
+        active = haloed.join(blocks, ["bc", "br"], "left_semi")
+        worked = spread(active, "bc", "br").groupBy("bc", "br").applyInPandas(
             _relax_hops, "col long, row long, level {0}, hops long, moved boolean".format(
                 state.schema["level"].dataType.simpleString())
         )
@@ -230,7 +232,9 @@ def flow_accumulation(directions: DataFrame, grid: GridSpec) -> DataFrame:
     schema = "col long, row long, cell_id long, next long, total long, exit long"
 
     def pass_over(cells: DataFrame) -> DataFrame:
-        return with_block(cells, grid).groupBy("bc", "br").applyInPandas(_local_flow, schema)
+        return spread(with_block(cells, grid), "bc", "br").groupBy("bc", "br").applyInPandas(
+            _local_flow, schema
+        )
 
     local = materialize(pass_over(forest.withColumn("weight", F.lit(1).cast("long"))))
     handed = local.withColumn("exit", F.col("next")).filter(_crosses(grid)).groupBy(

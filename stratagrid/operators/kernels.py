@@ -11,10 +11,16 @@ import numpy as np
 INF = np.iinfo(np.int64).max
 
 
-def adjacent_pairs(col, row, offsets):
-    """Index pairs (u, v) of cells with ``cell[v] = cell[u] + offset``; input sorted by (row, col)."""
+def adjacent_pairs(col, row, offsets, group=None):
+    """Index pairs (u, v) of cells of one group with ``cell[v] = cell[u] + offset``.
+
+    Input is sorted by (group, row, col); ``group`` is a small consecutive number.
+    """
     width = int(col.max() - col.min()) + 3
-    key = (row - row.min()) * width + (col - col.min() + 1)
+    depth = int(row.max() - row.min()) + 3
+    key = (row - row.min() + 1) * width + (col - col.min() + 1)
+    if group is not None:
+        key = key + group * (width * depth)
     us, vs = [], []
     for dc, dr in offsets:
         target = key + dr * width + dc
@@ -80,22 +86,24 @@ def hop_distances(hops, u, v):
         hops = nearer
 
 
-def shifted(grid, dc, dr, fill):
-    """The grid as seen from one step away: ``out[r, c] = grid[r + dr, c + dc]``."""
-    padded = np.pad(grid, 1, constant_values=fill)
-    rows, cols = grid.shape
-    return padded[1 + dr:1 + dr + rows, 1 + dc:1 + dc + cols]
+def shifted(grids, dc, dr, fill):
+    """Stacked grids as seen from one step away: ``out[:, r, c] = grids[:, r + dr, c + dc]``."""
+    padded = np.pad(grids, ((0, 0), (1, 1), (1, 1)), constant_values=fill)
+    _, rows, cols = grids.shape
+    return padded[:, 1 + dr:1 + dr + rows, 1 + dc:1 + dc + cols]
 
 
-def cost_surface(height, start, directions, straight, diagonal):
-    """Least accumulated cost from ``start`` and the direction code of the step back.
+def cost_surfaces(height, start, directions, straight, diagonal):
+    """Least accumulated cost from the ``start`` cell of each stacked window, and the way back.
 
     One step costs the mean of the two heights times the step length; NaN cells are closed.
+    The way back is a direction code, 0 at the start and where nothing arrives.
     """
     cost = np.full(height.shape, np.inf)
-    if np.isnan(height[start]):
-        return cost, np.zeros(height.shape, dtype=np.int64)
-    cost[start] = 0.0
+    windows = np.arange(len(height))
+    cost[windows, start[0], start[1]] = np.where(
+        np.isnan(height[windows, start[0], start[1]]), np.inf, 0.0
+    )
     steps = []
     for code, dc, dr in directions:
         length = diagonal if dc and dr else straight
@@ -112,5 +120,5 @@ def cost_surface(height, start, directions, straight, diagonal):
     for code, dc, dr, step in reversed(steps):
         via = shifted(cost, dc, dr, np.inf) + step
         back = np.where(np.isfinite(cost) & (via == cost), code, back)
-    back[start] = 0
+    back[windows, start[0], start[1]] = 0
     return cost, back

@@ -56,7 +56,8 @@ def erased(name: str, source: str) -> str:
     return f"{name} as materialized (select * from {source} anti join road_cells using (col, row))"
 
 
-def labels(name: str, source: str, keys: list[str], value: str | None = None, neighbours: int = 4) -> str:
+def labels(name: str, source: str, keys: list[str], value: str | None = None, neighbours: int = 4,
+           edges: str | None = None) -> str:
     """Two CTEs: edges and least cell id (``part``) per connected set of (keys, col, row)."""
     k = ", ".join(keys)
     a = "".join(f"a.{c}, " for c in keys)
@@ -66,10 +67,11 @@ def labels(name: str, source: str, keys: list[str], value: str | None = None, ne
     k_on_e = " and ".join([f"k.{c} = e.{c}" for c in keys] + ["k.cell = e.t"])
     head = f"{k}, " if keys else ""
     eh = "".join(f"e.{c}, " for c in keys)
-    return f"""{name}_edge as materialized (
-  select {a}a.row * 100 + a.col as s, b.row * 100 + b.col as t
+    edges = edges or f"""select {a}a.row * 100 + a.col as s, b.row * 100 + b.col as t
   from (select a.*, dc, dr from {source} a, steps where {codes}) a
-  join {source} b on b.col = a.col + a.dc and b.row = a.row + a.dr and {same}),
+  join {source} b on b.col = a.col + a.dc and b.row = a.row + a.dr and {same}"""
+    return f"""{name}_edge as materialized (
+  {edges}),
 {name}({head}cell, part) using key ({head}cell) as (
   select {head}row * 100 + col, row * 100 + col from {source}
   union
@@ -380,7 +382,8 @@ TERRAIN = (SIZE, DEM, OFFSETS, EDGE, FILL)
 oracle("fill_dem", "select col, row, fill from fil", *TERRAIN)
 oracle("fill_depth", "select col, row, fill - z as depth from fil", *TERRAIN)
 oracle("fill_mask", "select col, row from fil where fill <> z", *TERRAIN)
-REGIONS = ("raised as materialized (select * from fil where fill <> z)", labels("reg", "raised", [], neighbours=8))
+REGIONS = ("raised as materialized (select * from fil where fill <> z)", labels("reg", "raised", [], edges="""select s, t from edge
+  where s in (select cell from raised) and t in (select cell from raised)"""))
 oracle("fill_zone_count", "select count(distinct part) as zones from reg", *TERRAIN, *REGIONS)
 LARGE = """fz as materialized (
   select cell, cell % 100 as col, cell // 100 as row, part as zone from reg

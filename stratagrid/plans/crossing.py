@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratagrid.grid import GridSpec
 from stratagrid.operators import lines, raster, vector
 from stratagrid.operators.components import group_components
+from stratagrid.scratch import materialize
 
 
 def parts_off_road(structures: DataFrame, roads: DataFrame, radius: float, grid: GridSpec) -> DataFrame:
@@ -18,6 +19,7 @@ def parts_off_road(structures: DataFrame, roads: DataFrame, radius: float, grid:
 
 def ranked_cells(parts: DataFrame, keep: float, grid: GridSpec) -> DataFrame:
     """Cells of the parts that keep a rank, with the greatest and least kept part of the point."""
+    parts = materialize(parts)  # read three times below
     kept = vector.ranked_parts(parts, grid, keep).select("id", "part")
     return parts.join(kept, ["id", "part"]).join(vector.end_parts(kept), "id")
 
@@ -51,7 +53,7 @@ def road_crossing_lines(structures: DataFrame, roads: DataFrame, dem: DataFrame,
     keys = ["id", "side", "one_sided"]
     regions = shade_regions(sided, raster.hillshade(dem, grid), keys, grid)
     located = lines.darkest(regions, ["id", "side"], darkest).join(structures.select("id", "x", "y"), "id")
-    near = lines.nearest_region(located, keys)
+    near = materialize(lines.nearest_region(located, keys))
     flags = near.groupBy("id").agg(F.first("one_sided").alias("one_sided"))
     return lines.side_lines(near, "side").join(flags, "id").join(
         structures.select("id", "main_file_id"), "id"

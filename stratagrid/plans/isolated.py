@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratagrid.grid import GridSpec
 from stratagrid.operators import lines, raster, vector
 from stratagrid.operators.components import group_components
+from stratagrid.scratch import materialize
 from stratagrid.plans.crossing import parts_off_road, ranked_cells
 
 
@@ -22,9 +23,11 @@ def isolated_lines(structures: DataFrame, roads: DataFrame, dem: DataFrame, grid
     parts = parts_off_road(structures, roads, radius, grid)
     largest = ranked_cells(parts, keep, grid).filter("part = max_part").select("id", "col", "row")
     masked = vector.extract_by_mask(raster.hillshade(dem, grid), largest)
-    labelled = group_components(masked, ["id"], grid, value="gridcode").withColumnRenamed("component", "fid")
+    labelled = materialize(
+        group_components(masked, ["id"], grid, value="gridcode").withColumnRenamed("component", "fid")
+    )
     regions = vector.centroids(labelled, ["id", "fid"], grid, F.first("gridcode").alias("gridcode"))
-    dark = lines.below_threshold(regions, fraction)
+    dark = materialize(lines.below_threshold(regions, fraction))
     points = structures.select("id", "x", "y")
     focus = lines.nearest_region(lines.darkest(dark, ["id"], darkest).join(points, "id"), ["id"])
     flagged = flag_focus(dark, focus)
@@ -32,7 +35,9 @@ def isolated_lines(structures: DataFrame, roads: DataFrame, dem: DataFrame, grid
         labelled.select("id", "fid", "col", "row").join(flagged.select("id", "fid", "diss"), ["id", "fid"]),
         ["id", "diss"], grid,
     )
-    pieces = vector.centroids(dissolved, ["id", "diss", "component"], grid).withColumnRenamed("component", "part")
+    pieces = materialize(
+        vector.centroids(dissolved, ["id", "diss", "component"], grid).withColumnRenamed("component", "part")
+    )
     ends = lines.opposite_end(pieces, structures)
     return ends.withColumn("line", lines.snapped_line()).join(
         structures.select("id", "main_file_id"), "id"
