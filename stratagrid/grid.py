@@ -77,33 +77,34 @@ def steps(codes=None) -> Column:
     ])
 
 
-def neighbourhood(cells: DataFrame, value: Column | str, codes=None) -> DataFrame:
-    """One row per cell with its value ``v`` and its neighbours' values ``n<code>`` (null if absent).
-
-    Every cell sends its value to itself and its neighbours and the copies meet in one grouped
-    ``max``.  Partial aggregation folds the copies of cells that lie in the same input
-    partition before the shuffle, so a raster stored in spatial order shuffles about one row
-    per cell, and the whole stencil stays inside code generation.
+def neighbourhood(cells: DataFrame, values: list[str], codes=None) -> DataFrame:
+    """One row per cell with its values and its neighbours' values ``<name>_<code>`` (null if absent).
+
+    Every cell sends its values to itself and its neighbours and the copies meet in one grouped
+    ``max`` (one copy per direction).  Partial aggregation folds the copies of cells that lie in
+    the same input partition before the shuffle, so a raster stored in spatial order shuffles
+    about one row per cell, and the whole stencil stays in hash aggregation and code generation.
+    Cells whose first value is null are NoData.
     """
     wanted = [d for d in DIRECTIONS if codes is None or d[0] in codes]
     centre = F.struct(F.lit(0).alias("code"), F.lit(0).alias("dc"), F.lit(0).alias("dr"))
     reach = F.concat(F.array(centre), steps(codes))
     sent = (
-        cells.select("col", "row", _col(value).alias("v"))
-        .filter(F.col("v").isNotNull())
+        cells.select("col", "row", *values)
+        .filter(F.col(values[0]).isNotNull())
         .withColumn("s", F.explode(reach))
         .select(
             (F.col("col") - F.col("s.dc")).alias("col"),
             (F.col("row") - F.col("s.dr")).alias("row"),
             F.col("s.code").alias("code"),
-            "v",
+            *values,
         )
     )
-    met = sent.groupBy("col", "row").agg(
-        F.max(F.when(F.col("code") == 0, F.col("v"))).alias("v"),
-        *[F.max(F.when(F.col("code") == d[0], F.col("v"))).alias(f"n{d[0]}") for d in wanted],
-    )
-    return met.filter(F.col("v").isNotNull())
+    met = sent.groupBy("col", "row").agg(*[
+        F.max(F.when(F.col("code") == code, F.col(name))).alias(name if code == 0 else f"{name}_{code}")
+        for name in values for code in [0] + [d[0] for d in wanted]
+    ])
+    return met.filter(F.col(values[0]).isNotNull())
 
 
 def with_halo(cells: DataFrame, grid: GridSpec) -> DataFrame:

@@ -37,7 +37,7 @@ def _surfaces(cells: pd.DataFrame, straight: float, diagonal: float):
 
 
 def cost_distance(windows: DataFrame, grid: GridSpec, straight: float = 1.0,
-                  diagonal: float = math.sqrt(2.0)) -> DataFrame:
+                  diagonal: float = math.sqrt(2.0), is_spread: bool = False) -> DataFrame:
     """Cost and back link of every reachable window cell: ``(id, col, row, cost, back)``.
 
     ``windows`` is ``(id, start_col, start_row, col, row, z)``.  One step costs the mean of the
@@ -52,11 +52,11 @@ def cost_distance(windows: DataFrame, grid: GridSpec, straight: float = 1.0,
         return out[np.isfinite(out["cost"])]
 
     needed = windows.select("id", "start_col", "start_row", "col", "row", "z")
-    return map_groups(needed, ["id"], run, "id long, col long, row long, cost double, back long")
+    return map_groups(needed, ["id"], run, "id long, col long, row long, cost double, back long", is_spread)
 
 
 def flow_paths(windows: DataFrame, grid: GridSpec, straight: float = 1.0,
-               diagonal: float = math.sqrt(2.0)) -> DataFrame:
+               diagonal: float = math.sqrt(2.0), is_spread: bool = False) -> DataFrame:
     """Least-cost path from each point to its cheapest target cell: ``(id, step, col, row, cost)``.
 
     ``windows`` also has the boolean ``target``; one path per point, ties by least cell id.
@@ -92,7 +92,7 @@ def flow_paths(windows: DataFrame, grid: GridSpec, straight: float = 1.0,
         return path[names]
 
     needed = windows.select("id", "start_col", "start_row", "col", "row", "z", "target")
-    return map_groups(needed, ["id"], run, "id long, step long, col long, row long, cost double")
+    return map_groups(needed, ["id"], run, "id long, step long, col long, row long, cost double", is_spread)
 
 
 def flow_targets(windows: DataFrame, in_circle: Column, tolerance: float = 0.001) -> DataFrame:

@@ -39,14 +39,15 @@ def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[p
 
 
 def map_groups(df: DataFrame, keys: list[str], step: Callable[[pd.DataFrame], pd.DataFrame],
-               schema) -> DataFrame:
+               schema, is_spread: bool = False) -> DataFrame:
     """Apply ``step`` to batches that hold one or more whole groups.
 
     For many small groups this costs one vectorised call per Arrow batch instead of one call
-    per group; no task holds more than one batch and one group.
+    per group; no task holds more than one batch and one group.  ``is_spread`` says that ``df``
+    already is partitioned by ``keys``.
     """
     def run(batches):
         for cells in whole_groups(batches, keys):
             yield step(cells)
 
-    return spread(df, *keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+    return (df if is_spread else spread(df, *keys)).sortWithinPartitions(*keys).mapInPandas(run, schema)

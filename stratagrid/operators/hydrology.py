@@ -10,7 +10,7 @@ from stratagrid.grid import DIRECTIONS, GridSpec, neighbourhood, steps, with_blo
 from stratagrid.operators import kernels
 from stratagrid.operators.groups import spread
 from stratagrid.operators.graph import resolve, spill_levels, subtree_sums
-from stratagrid.scratch import Rounds, materialize
+from stratagrid.scratch import Rounds, lookup, materialize
 
 OUTSIDE = -1
 ALL_CODES = [code for code, _, _ in DIRECTIONS]
@@ -26,26 +26,27 @@ def _chain_ends(cells: pd.DataFrame) -> pd.DataFrame:
     return cells.drop(columns=["bc", "br", "next"])
 
 
-def basins(dem: DataFrame, grid: GridSpec) -> DataFrame:
-    """``(col, row, z, rim, exit, basin)``: the pit that each cell drains to, lowest neighbour first.
+def _drainage(dem: DataFrame, grid: GridSpec, rounds: Rounds) -> tuple[DataFrame, DataFrame]:
+    """Way down from every cell, lowest neighbour first.
 
-    Chains are followed inside blocks first; only cells where chains enter another block
-    take part in the distributed pointer loop.  ``exit`` is the end of the local chain.
+    Returns the cells ``(col, row, z, rim, cell_id, exit)``, where ``exit`` is the end of the chain
+    inside the block or the first cell beyond it, and ``(exit, pit)`` for the exits that lie
+    beyond a block: only those take part in the distributed pointer loop.
     """
-    around = neighbourhood(dem, "z")
+    around = neighbourhood(dem, ["z"])
     # a cell id belongs to each neighbour by its step; the least (z, id) is the way down
-    ways = [F.struct(F.col("v").alias("z"), grid.cell_id().alias("id"))] + [
-        F.when(F.col(f"n{code}").isNotNull(), F.struct(
-            F.col(f"n{code}").alias("z"),
+    ways = [F.struct("z", grid.cell_id().alias("id"))] + [
+        F.when(F.col(f"z_{code}").isNotNull(), F.struct(
+            F.col(f"z_{code}").alias("z"),
             grid.cell_id(F.col("col") + dc, F.col("row") + dr).alias("id"),
         ))
         for code, dc, dr in DIRECTIONS
     ]
     rim = F.lit(False)
     for code in ALL_CODES:
-        rim = rim | F.col(f"n{code}").isNull()
+        rim = rim | F.col(f"z_{code}").isNull()
     down = around.select(
-        "col", "row", F.col("v").alias("z"), rim.alias("rim"), grid.cell_id().alias("cell_id"),
+        "col", "row", "z", rim.alias("rim"), grid.cell_id().alias("cell_id"),
         F.least(*ways)["id"].alias("next"),
     )
     schema = _replace_column(down, "next", "exit long")
@@ -56,11 +57,16 @@ def basins(dem: DataFrame, grid: GridSpec) -> DataFrame:
     pointers = local.select("cell_id", "exit").join(entries, "cell_id", "left_semi").select(
         F.col("cell_id").alias("node"), F.col("exit").alias("root")
     )
-    rounds = Rounds(dem.sparkSession)
-    ends = resolve(pointers, rounds).select(F.col("node").alias("exit"), F.col("root"))
+    pits = resolve(pointers, rounds).select(F.col("node").alias("exit"), F.col("root").alias("pit"))
+    return local, pits
+
+
+def basins(dem: DataFrame, grid: GridSpec) -> DataFrame:
+    """``(col, row, z, basin)``: the pit that each cell drains to."""
+    local, pits = _drainage(dem, grid, Rounds(dem.sparkSession))
     # at most the cells of the neighbouring blocks share one exit, so this join has no hot key
-    return local.join(ends, "exit", "left").select(
-        "col", "row", "z", "rim", "exit", F.coalesce("root", "exit").alias("basin")
+    return local.join(pits, "exit", "left").select(
+        "col", "row", "z", F.coalesce("pit", "exit").alias("basin")
     )
 
 
@@ -82,26 +88,35 @@ def fill(dem: DataFrame, grid: GridSpec) -> DataFrame:
     """Depression-free surface: ``(col, row, z, fill)``, no depth limit.
 
     The level of a basin is the lowest saddle height over which it drains to the raster's
-    edge, found on the graph of touching basins.
+    edge, found on the graph of touching basins.  Cells are joined by their exit, a key that
+    blocks bound, never by their basin, which may be as large as the raster.
     """
-    drained = materialize(basins(dem, grid))
-    touch = neighbourhood(drained, F.struct("basin", "z"), codes=(1, 2, 4, 8))
-    pairs = touch.select(
-        "v", F.explode(F.array(*[F.col(f"n{code}") for code in (1, 2, 4, 8)])).alias("n")
-    ).filter("n is not null and n.basin <> v.basin").select(
-        F.col("v.basin").alias("a"), F.col("n.basin").alias("b"),
-        F.greatest("v.z", "n.z").alias("w"),
-    )
-    spills = drained.filter("rim").select(
-        F.col("basin").alias("a"), F.lit(OUTSIDE).cast("long").alias("b"), F.col("z").alias("w")
-    )
-    levels = spill_levels(pairs.union(spills), OUTSIDE, Rounds(dem.sparkSession))
-    # go back through the exits, whose groups are bounded by the block, not through the
-    # basins, which may be as large as the raster
-    exits = drained.select("exit", "basin").distinct().join(
-        levels.select(F.col("node").alias("basin"), "level"), "basin"
+    spark = dem.sparkSession
+    local, pits = _drainage(dem, grid, Rounds(spark))
+    half = (1, 2, 4, 8)
+    touch = neighbourhood(local, ["exit", "z"], codes=half)
+    pairs = touch.select("exit", "z", F.explode(F.array(*[
+        F.struct(F.col(f"exit_{code}").alias("exit"), F.col(f"z_{code}").alias("z")) for code in half
+    ])).alias("n")).filter("n.exit <> exit").select(
+        F.least("exit", "n.exit").alias("a"), F.greatest("exit", "n.exit").alias("b"),
+        F.greatest("z", "n.z").alias("w"),
+    ).union(local.filter("rim").select(
+        F.lit(OUTSIDE).cast("long").alias("a"), F.col("exit").alias("b"), F.col("z").alias("w")
+    )).groupBy("a", "b").agg(F.min("w").alias("w"))
+    # from exits to pits, on the aggregated pairs
+    for end, other in (("a", "b"), ("b", "a")):
+        named = pits.select(F.col("exit").alias(end), "pit")
+        pairs = lookup(pairs, named, end, other, "left").withColumn(
+            end, F.coalesce("pit", end)
+        ).drop("pit")
+    levels = spill_levels(pairs.filter("a <> b"), OUTSIDE, Rounds(spark))
+    at_pit = levels.select(F.col("node").alias("exit"), "level")
+    beyond = lookup(
+        pits, levels.select(F.col("node").alias("pit"), "level"), "pit", "exit"
     ).select("exit", "level")
-    return drained.join(exits, "exit").select(
+    # an exit beyond a block may be a pit itself: its two rows agree
+    exits = at_pit.union(beyond).groupBy("exit").agg(F.max("level").alias("level"))
+    return local.join(exits, "exit").select(
         "col", "row", "z", F.greatest("z", "level").alias("fill")
     )
 
@@ -119,20 +134,18 @@ def flow_direction(surface: DataFrame, grid: GridSpec, value: str = "fill") -> D
     Slopes are compared squared (twice the squared drop for straight steps, the squared drop
     for diagonal ones), so integral heights give no floating ties; ties take the least code.
     """
-    around = neighbourhood(surface, value)
-    drops = [
-        F.when(F.col(f"n{code}") < F.col("v"), F.struct(
-            ((F.col("v") - F.col(f"n{code}")) * (F.col("v") - F.col(f"n{code}"))
-             * (1 if dc and dr else 2)).alias("slope"),
-            F.lit(-code).alias("code"),
-        ))
-        for code, dc, dr in DIRECTIONS
-    ]
+    around = neighbourhood(surface.withColumnRenamed(value, "level"), ["level"])
+    drops = []
+    for code, dc, dr in DIRECTIONS:
+        drop = F.col("level") - F.col(f"level_{code}")
+        drops.append(F.when(drop > 0, F.struct(
+            (drop * drop * (1 if dc and dr else 2)).alias("slope"), F.lit(-code).alias("code")
+        )))
     # outward order: west, east, north, south, then the corners
-    outward = _first([(F.col(f"n{c}").isNull(), c) for c in (16, 1, 64, 4, 2, 8, 32, 128)])
+    outward = _first([(F.col(f"level_{c}").isNull(), c) for c in (16, 1, 64, 4, 2, 8, 32, 128)])
     downhill = -F.greatest(*drops)["code"]
     known = materialize(around.select(
-        "col", "row", F.col("v").alias("level"), F.coalesce(outward, downhill).cast("long").alias("dir")
+        "col", "row", "level", F.coalesce(outward, downhill).cast("long").alias("dir")
     ))
     return known.filter("dir is not null").select("col", "row", "dir").union(
         _across_flats(known, grid)
@@ -156,16 +169,19 @@ def _across_flats(known: DataFrame, grid: GridSpec) -> DataFrame:
     flats = known.filter("dir is null").select("col", "row", "level")
     if flats.isEmpty():
         return flats.select("col", "row", F.lit(None).cast("long").alias("dir"))
-    # seeds: the flat cells with a neighbour on the same level that has a direction
-    reach = known.filter("dir is not null").select(
-        "level", F.explode(steps()).alias("s"), "col", "row"
+    # seeds: the flat cells with a neighbour on the same level that has a direction.  Flat
+    # cells, the smaller side, look at their neighbours, not the other way round
+    looks = flats.select(
+        F.col("col").alias("from_col"), F.col("row").alias("from_row"), "level",
+        F.explode(steps()).alias("s"),
     ).select(
-        (F.col("col") - F.col("s.dc")).alias("col"), (F.col("row") - F.col("s.dr")).alias("row"),
-        "level", F.col("s.code").alias("code"),
-    )
-    seeds = flats.join(reach, ["col", "row", "level"]).groupBy("col", "row").agg(
-        F.min("code").alias("seed")
+        "from_col", "from_row", "level", (F.col("from_col") + F.col("s.dc")).alias("col"),
+        (F.col("from_row") + F.col("s.dr")).alias("row"), F.col("s.code").alias("code"),
     )
+    directed = known.filter("dir is not null").select("col", "row", "level")
+    seeds = looks.join(directed, ["col", "row", "level"]).groupBy(
+        F.col("from_col").alias("col"), F.col("from_row").alias("row")
+    ).agg(F.min("code").alias("seed"))
     rounds = Rounds(known.sparkSession)
     seeded = rounds.put("seeded", flats.join(seeds, ["col", "row"], "left"))
     state = rounds.put("hops", seeded.select(
@@ -192,11 +208,11 @@ def _across_flats(known: DataFrame, grid: GridSpec) -> DataFrame:
             "moved", F.col("moved") & grid.on_block_rim()
         ).union(idle))
         rounds.sweep()
-    around = neighbourhood(state, F.struct("level", "hops"))
+    around = neighbourhood(state, ["level", "hops"])
     nearer = F.least(*[
         F.when(
-            (F.col(f"n{code}.level") == F.col("v.level"))
-            & (F.col(f"n{code}.hops") == F.col("v.hops") - 1), code
+            (F.col(f"level_{code}") == F.col("level"))
+            & (F.col(f"hops_{code}") == F.col("hops") - 1), code
         ) for code in ALL_CODES
     ])
     return around.select("col", "row", nearer.cast("long").alias("onward")).join(

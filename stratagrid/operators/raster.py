@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratagrid.functions.columns import hillshade as shade
-from stratagrid.grid import DIRECTIONS, GridSpec, neighbourhood
+from stratagrid.grid import DIRECTIONS, GridSpec, neighbourhood, with_block
 from stratagrid.operators.components import components
 from stratagrid.operators.joins import block_join
 from stratagrid.operators.vector import boxes, disc
@@ -74,10 +74,10 @@ def hillshade(dem: DataFrame, grid: GridSpec, value: str = "z") -> DataFrame:
 
     Gradients weigh the 3 x 3 window (1, 2, 1); a missing neighbour counts as the centre.
     """
-    around = neighbourhood(dem, value)
+    around = neighbourhood(dem, [value])
     p, q = F.lit(0.0), F.lit(0.0)
     for code, dc, dr in DIRECTIONS:
-        rise = F.coalesce(F.col(f"n{code}") - F.col("v"), F.lit(0))
+        rise = F.coalesce(F.col(f"{value}_{code}") - F.col(value), F.lit(0))
         if dc:
             p = p + rise * F.lit(float(dc * (1 if dr else 2)))
         if dr:
@@ -99,6 +99,29 @@ def cell_value_at(points: DataFrame, raster: DataFrame, grid: GridSpec) -> DataF
     return at.join(raster, CELL)
 
 
+def near_cells(raster: DataFrame, points: DataFrame, reach: float, grid: GridSpec) -> DataFrame:
+    """Raster cells in the blocks that lie within ``reach`` of a point.
+
+    A semi join on the block key, so that a costly operator runs only where results are needed;
+    a raster stored by block is read only there.
+    """
+    boxed = boxes(points.select("x", "y"), reach)
+    cols = F.sequence(*_block_range(grid.col_at("xmin"), grid.col_at("xmax"), grid.ncol, grid))
+    rows = F.sequence(*_block_range(grid.row_at("ymax"), grid.row_at("ymin"), grid.nrow, grid))
+    wanted = boxed.select(F.explode(cols).alias("bc"), "ymin", "ymax").select(
+        "bc", F.explode(rows).alias("br")
+    ).distinct()
+    return with_block(raster, grid).join(wanted, ["bc", "br"], "left_semi").drop("bc", "br")
+
+
+def _block_range(low: Column, high: Column, cells: int, grid: GridSpec) -> tuple[Column, Column]:
+    """First and last block of a cell range, kept inside the grid."""
+    top = (cells - 1) // grid.block
+    return tuple(
+        F.least(F.greatest(F.floor(c / F.lit(grid.block)), F.lit(0)), F.lit(top)) for c in (low, high)
+    )
+
+
 def window_cells(points: DataFrame, raster: DataFrame, half_width: float, size: float,
                  grid: GridSpec) -> DataFrame:
     """Raster cells in the square round each point: ``(point columns, raster columns)``.

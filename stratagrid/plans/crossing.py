@@ -51,7 +51,8 @@ def road_crossing_lines(structures: DataFrame, roads: DataFrame, dem: DataFrame,
                   .otherwise(F.array(F.lit(1)))).alias("side"),
     )
     keys = ["id", "side", "one_sided"]
-    regions = shade_regions(sided, raster.hillshade(dem, grid), keys, grid)
+    near_dem = raster.near_cells(dem, structures, radius + 2 * grid.cell, grid)
+    regions = shade_regions(sided, raster.hillshade(near_dem, grid), keys, grid)
     located = lines.darkest(regions, ["id", "side"], darkest).join(structures.select("id", "x", "y"), "id")
     near = materialize(lines.nearest_region(located, keys))
     flags = near.groupBy("id").agg(F.first("one_sided").alias("one_sided"))

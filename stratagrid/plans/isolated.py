@@ -22,7 +22,8 @@ def isolated_lines(structures: DataFrame, roads: DataFrame, dem: DataFrame, grid
     """
     parts = parts_off_road(structures, roads, radius, grid)
     largest = ranked_cells(parts, keep, grid).filter("part = max_part").select("id", "col", "row")
-    masked = vector.extract_by_mask(raster.hillshade(dem, grid), largest)
+    near_dem = raster.near_cells(dem, structures, radius + 2 * grid.cell, grid)
+    masked = vector.extract_by_mask(raster.hillshade(near_dem, grid), largest)
     labelled = materialize(
         group_components(masked, ["id"], grid, value="gridcode").withColumnRenamed("component", "fid")
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stratagrid.grid import GridSpec
 from stratagrid.operators import cost, fields, hydrology, nearest, raster
 from stratagrid.operators.components import components
+from stratagrid.operators.groups import spread
 from stratagrid.scratch import materialize, scratch_dir
 
 
@@ -107,13 +108,14 @@ def flow_windows(points: DataFrame, dem: DataFrame, zones: DataFrame, radius: fl
     )
     zoned = dem.join(zones.select("col", "row", "zone"), ["col", "row"], "left")
     windows = raster.window_cells(own, zoned, 2.0 * radius, 2.0 * radius, grid)
-    return cost.flow_targets(windows, raster.in_circle(radius, grid))
+    # one shuffle by point serves the target search and the path search
+    return cost.flow_targets(spread(windows, "id"), raster.in_circle(radius, grid))
 
 
 def flow_path_lines(points: DataFrame, dem: DataFrame, zones: DataFrame, radius: float,
                     grid: GridSpec, straight: float = 1.0, diagonal: float = math.sqrt(2.0)) -> DataFrame:
     """``(id, zone, line)``: the least-cost way from each point to the lowest cell outside its zone."""
     windows = flow_windows(points, dem, zones, radius, grid)
-    paths = cost.flow_paths(windows, grid, straight, diagonal)
+    paths = cost.flow_paths(windows, grid, straight, diagonal, is_spread=True)
     own = raster.cell_value_at(points.select("id", "x", "y"), zones.select("col", "row", "zone"), grid)
     return cost.path_lines(paths, grid).join(own.select("id", "zone"), "id").select("id", "zone", "line")

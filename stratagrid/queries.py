@@ -655,12 +655,12 @@ def sink_points(spark, sf):
 
 @query
 def cost_distance(spark, sf):
-    return cost.cost_distance(_windows(spark, sf), fx.grid_of(spark, sf), STRAIGHT, DIAGONAL)
+    return cost.cost_distance(_windows(spark, sf), fx.grid_of(spark, sf), STRAIGHT, DIAGONAL, is_spread=True)
 
 
 @query
 def flow_paths(spark, sf):
-    return cost.flow_paths(_windows(spark, sf), fx.grid_of(spark, sf), STRAIGHT, DIAGONAL)
+    return cost.flow_paths(_windows(spark, sf), fx.grid_of(spark, sf), STRAIGHT, DIAGONAL, is_spread=True)
 
 
 @query
