@@ -22,7 +22,7 @@ def resolve(pointers: DataFrame, rounds: Rounds) -> DataFrame:
     its exchange is built once.
     """
     kept = [c for c in pointers.columns if c not in ("node", "root")]
-    current = rounds.put("pointer", pointers.select("node", "root", *kept))
+    current = pointers
     while True:
         moving = current.filter(F.col("node") != F.col("root")).select(
             F.col("node").alias("root"), F.col("root").alias("further")
@@ -47,24 +47,26 @@ def connect(edges: DataFrame, rounds: Rounds) -> DataFrame:
     edges, so the edge table shrinks round by round.
     """
     live = rounds.put("edge", edges.select("a", "b").filter("a <> b").distinct())
-    members = None
+    contractions = []
     while rounds.seen:
         both = live.union(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = both.groupBy("a").agg(F.min("b").alias("b")).select(
             F.col("a").alias("node"), F.least("a", "b").alias("root")
         )
-        resolved = resolve(hooks, rounds)
-        if members is None:
-            members = rounds.put("member", resolved)
-        else:
-            moved = resolved.select(F.col("node").alias("root"), F.col("root").alias("upper"))
-            members = rounds.put("member", lookup(members, moved, "root", "node", "left").select(
-                "node", F.coalesce("upper", "root").alias("root")
-            ))
-        live = rounds.put("edge", _contract(live, resolved).select("a", "b").distinct())
+        contractions.append(resolve(hooks, rounds))
+        rounds.keep("pointer")
+        live = rounds.put("edge", _contract(live, contractions[-1]).select("a", "b").distinct())
         rounds.sweep()
-    if members is None:
-        members = rounds.put("member", live.select(F.col("a").alias("node"), F.col("b").alias("root")))
+    if not contractions:
+        return live.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    # compose from the last, smallest round back to the first: the work adds up to little
+    # more than one pass over the nodes
+    members = contractions.pop()
+    while contractions:
+        upper = members.select(F.col("node").alias("root"), F.col("root").alias("upper"))
+        members = lookup(contractions.pop(), upper, "root", "node", "left").select(
+            "node", F.coalesce("upper", "root").alias("root")
+        )
     return members
 
 
@@ -86,7 +88,7 @@ def spill_levels(edges: DataFrame, outside: int, rounds: Rounds) -> DataFrame:
     components at least halves each round.
     """
     live = rounds.put("edge", _least_edges(edges))
-    levels = None
+    contractions = []
     while rounds.seen:
         both = live.select("a", "b", "w").union(
             live.select(F.col("b").alias("a"), F.col("a").alias("b"), "w")
@@ -105,20 +107,19 @@ def spill_levels(edges: DataFrame, outside: int, rounds: Rounds) -> DataFrame:
             .otherwise(F.col("to")).alias("root"),
             "w",
         )
-        resolved = resolve(hooks, rounds)
-        step = resolved.select(F.col("node").alias("comp"), F.col("root").alias("upper"), "w")
-        if levels is None:
-            levels = rounds.put("level", step.select(
-                F.col("comp").alias("node"), F.col("upper").alias("comp"), F.col("w").alias("level")
-            ))
-        else:
-            levels = rounds.put("level", lookup(levels, step, "comp", "node", "left").select(
-                "node", F.coalesce("upper", "comp").alias("comp"),
-                F.greatest("level", "w").alias("level"),
-            ))
-        live = rounds.put("edge", _least_edges(_contract(live, resolved)))
+        contractions.append(resolve(hooks, rounds))
+        rounds.keep("pointer")
+        live = rounds.put("edge", _least_edges(_contract(live, contractions[-1])))
         rounds.sweep()
-    return levels.select("node", "level")
+    if not contractions:
+        return live.select(F.col("a").alias("node"), F.col("w").alias("level"))
+    levels = contractions.pop().select("node", F.col("w").alias("level"))
+    while contractions:
+        upper = levels.select(F.col("node").alias("root"), "level")
+        levels = lookup(contractions.pop(), upper, "root", "node", "left").select(
+            "node", F.greatest("w", "level").alias("level")
+        )
+    return levels
 
 
 def _least_edges(edges: DataFrame) -> DataFrame:

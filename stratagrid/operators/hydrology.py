@@ -188,12 +188,10 @@ def _across_flats(known: DataFrame, grid: GridSpec) -> DataFrame:
         "col", "row", "level",
         F.when(F.col("seed").isNotNull(), 1).otherwise(kernels.INF).cast("long").alias("hops"),
         F.lit(True).alias("moved"),
-    ))
-    while True:
+    ), watch="moved")
+    while rounds.seen:
         # only blocks that see a changed cell on a rim work again; the first round sees all
         blocks = with_halo(state.filter("moved"), grid).select("bc", "br").distinct()
-        if blocks.isEmpty():
-            break
         haloed = with_halo(state.drop("moved"), grid)
         active = haloed.join(blocks, ["bc", "br"], "left_semi")
         worked = spread(active, "bc", "br").groupBy("bc", "br").applyInPandas(
@@ -206,7 +204,7 @@ def _across_flats(known: DataFrame, grid: GridSpec) -> DataFrame:
         # a change away from the rim cannot reach another block
         state = rounds.put("hops", worked.withColumn(
             "moved", F.col("moved") & grid.on_block_rim()
-        ).union(idle))
+        ).union(idle), watch="moved")
         rounds.sweep()
     around = neighbourhood(state, ["level", "hops"])
     nearer = F.least(*[
