@@ -116,101 +116,6 @@ def with_halo(cells: DataFrame, grid: GridSpec) -> DataFrame:
     ).selectExpr("*", f"bc = floor(col / {grid.block}) and br = floor(row / {grid.block}) as core")
 
 
-def with_block(self, block: int) -> "GridSpec":
-        return replace(self, block=block)
-
-    def cell_id(self, col: Column | str = "col", row: Column | str = "row") -> Column:
-        return _col(row) * F.lit(self.ncol) + _col(col)
-
-    def x(self, col: Column | str = "col") -> Column:
-        return F.lit(self.x0) + (_col(col) + F.lit(0.5)) * F.lit(self.cell)
-
-    def y(self, row: Column | str = "row") -> Column:
-        return F.lit(self.y0) - (_col(row) + F.lit(0.5)) * F.lit(self.cell)
-
-    def col_at(self, x: Column | str = "x") -> Column:
-        return F.floor((_col(x) - F.lit(self.x0)) / F.lit(self.cell)).cast("long")
-
-    def row_at(self, y: Column | str = "y") -> Column:
-        return F.floor((F.lit(self.y0) - _col(y)) / F.lit(self.cell)).cast("long")
-
-    def inside(self, col: Column | str = "col", row: Column | str = "row") -> Column:
-        return _col(col).between(0, self.ncol - 1) & _col(row).between(0, self.nrow - 1)
-
-    def block_col(self, col: Column | str = "col") -> Column:
-        return F.floor(_col(col) / F.lit(self.block)).cast("long")
-
-    def block_row(self, row: Column | str = "row") -> Column:
-        return F.floor(_col(row) / F.lit(self.block)).cast("long")
-
-    def on_block_rim(self) -> Column:
-        """True for cells that touch the border of their block."""
-        last = self.block - 1
-        return (
-            F.pmod("col", F.lit(self.block)).isin(0, last)
-            | F.pmod("row", F.lit(self.block)).isin(0, last)
-        )
-
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def steps(codes=None, centre: bool = False) -> Column:
-    """Array literal of ``(code, dc, dr)`` structs, optionally only for some direction codes."""
-    wanted = [d for d in DIRECTIONS if codes is None or d[0] in codes]
-    listed = ([(0, 0, 0)] if centre else []) + wanted
-    return F.expr("array({})".format(", ".join(
-        f"named_struct('code', {code}, 'dc', {dc}, 'dr', {dr})" for code, dc, dr in listed
-    )))
-
-
-def neighbourhood(cells: DataFrame, values: list[str], codes=None) -> DataFrame:
-    """One row per cell with its values and its neighbours' values ``<name>_<code>`` (null if absent).
-
-    Every cell sends its values to itself and its neighbours and the copies meet in one grouped
-    ``max`` (one copy per direction).  Partial aggregation folds the copies of cells that lie in
-    the same input partition before the shuffle, so a raster stored in spatial order shuffles
-    about one row per cell, and the whole stencil stays in hash aggregation and code generation.
-    Cells whose first value is null are NoData.
-    """
-    sent = (
-        cells.select("col", "row", *values)
-        .filter(F.col(values[0]).isNotNull())
-        .withColumn("s", F.explode(steps(codes, centre=True)))
-        .selectExpr("col - s.dc as col", "row - s.dr as row", "s.code as code", *values)
-    )
-    sides = [("", 0)] + [(f"_{d[0]}", d[0]) for d in DIRECTIONS if codes is None or d[0] in codes]
-    met = sent.groupBy("col", "row").agg(*[
-        F.expr(f"max(if(code = {code}, {name}, null)) as {name}{suffix}")
-        for name in values for suffix, code in sides
-    ])
-    return met.filter(F.col(values[0]).isNotNull())
-
-
-def with_halo(cells: DataFrame, grid: GridSpec) -> DataFrame:
-    """Give every cell its block key and copy rim cells into the blocks they border.
-
-    Adds ``bc``, ``br`` and ``core`` (false for a copy).  Only rim cells are copied, so the
-    result is about ``1 + 4 / block`` times the input.
-    """
-    reach = F.array(*[
-        F.struct(
-            grid.block_col(F.col("col") + F.lit(dc)).alias("bc"),
-            grid.block_row(F.col("row") + F.lit(dr)).alias("br"),
-        )
-        for dr in (-1, 0, 1) for dc in (-1, 0, 1)
-    ])
-    return (
-        cells.withColumn("_b", F.explode(F.array_distinct(reach)))
-        .select("*", F.col("_b.bc").alias("bc"), F.col("_b.br").alias("br"))
-        .withColumn(
-            "core", (F.col("bc") == grid.block_col()) & (F.col("br") == grid.block_row())
-        )
-        .drop("_b")
-    )
-
-
 def with_block(cells: DataFrame, grid: GridSpec) -> DataFrame:
     return cells.selectExpr(
         "*", f"floor(col / {grid.block}) as bc", f"floor(row / {grid.block}) as br"
