@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from stratagrid.operators.groups import spread
 from stratagrid.operators.graph import resolve, spill_levels, subtree_sums
 from stratagrid.scratch import Rounds, lookup, materialize
 
-OUTSIDE = -1
+OUTSIDE = -1  # the node beyond the raster's edge
+NOWHERE = -2  # "next" of a row that only brings weight
 ALL_CODES = [code for code, _, _ in DIRECTIONS]
 OFFSETS = [(dc, dr) for _, dc, dr in DIRECTIONS]
 
@@ -219,11 +221,19 @@ def _across_flats(known: DataFrame, grid: GridSpec) -> DataFrame:
 
 
 def _local_flow(cells: pd.DataFrame) -> pd.DataFrame:
-    """Weight gathered by each cell inside the block, and where its local chain leaves."""
-    cells = cells.sort_values("cell_id", ignore_index=True)
-    nxt = cells["next"].to_numpy()
-    pointer = kernels.local_pointers(cells["cell_id"].to_numpy(), nxt)
-    cells["total"] = kernels.accumulate(pointer, cells["weight"].to_numpy())
+    """Weight gathered by each cell inside the block, and where its local chain leaves.
+
+    Rows without a ``next`` bring weight that enters the block at a cell.
+    """
+    entering = cells[cells["next"] == NOWHERE]
+    cells = cells[cells["next"] != NOWHERE].sort_values("cell_id", ignore_index=True)
+    cell_id, nxt = cells["cell_id"].to_numpy(), cells["next"].to_numpy()
+    weight = cells["weight"].to_numpy().copy()
+    at = np.minimum(np.searchsorted(cell_id, entering["cell_id"].to_numpy()), len(cell_id) - 1)
+    here = cell_id[at] == entering["cell_id"].to_numpy() if len(cell_id) else np.zeros(0, dtype=bool)
+    np.add.at(weight, at[here], entering["weight"].to_numpy()[here])
+    pointer = kernels.local_pointers(cell_id, nxt)
+    cells["total"] = kernels.accumulate(pointer, weight)
     cells["exit"] = nxt[kernels.jump(pointer)]
     return cells[["col", "row", "cell_id", "next", "total", "exit"]]
 
@@ -232,7 +242,8 @@ def flow_accumulation(directions: DataFrame, grid: GridSpec) -> DataFrame:
     """Number of cells upstream of each cell, itself excluded: ``(col, row, acc)``.
 
     Blocks accumulate on their own; flow between blocks is summed on the forest of entry
-    cells; a second pass over the blocks adds what enters.
+    cells; a second pass over the blocks adds what enters.  Each pass is one shuffle of the
+    cells: what enters travels to its block as a few more rows, not by a join.
     """
     dc = _first([(F.col("dir") == code, F.lit(dc)) for code, dc, _ in DIRECTIONS])
     dr = _first([(F.col("dir") == code, F.lit(dr)) for code, _, dr in DIRECTIONS])
@@ -242,6 +253,7 @@ def flow_accumulation(directions: DataFrame, grid: GridSpec) -> DataFrame:
         "col", "row", grid.cell_id().alias("cell_id"),
         F.when(grid.inside(to_col, to_row), grid.cell_id(to_col, to_row))
         .otherwise(grid.cell_id()).alias("next"),
+        F.lit(1).cast("long").alias("weight"),
     )
     schema = "col long, row long, cell_id long, next long, total long, exit long"
 
@@ -250,7 +262,7 @@ def flow_accumulation(directions: DataFrame, grid: GridSpec) -> DataFrame:
             _local_flow, schema
         )
 
-    local = materialize(pass_over(forest.withColumn("weight", F.lit(1).cast("long"))))
+    local = materialize(pass_over(forest))
     handed = local.withColumn("exit", F.col("next")).filter(_crosses(grid)).groupBy(
         F.col("next").alias("cell_id")
     ).agg(F.sum("total").alias("weight"))
@@ -259,9 +271,10 @@ def flow_accumulation(directions: DataFrame, grid: GridSpec) -> DataFrame:
         F.when(_crosses(grid), F.col("exit")).alias("next"), "weight",
     )
     entering = subtree_sums(entries, Rounds(directions.sparkSession)).select(
-        F.col("node").alias("cell_id"), "total"
-    )
-    weighted = local.select("col", "row", "cell_id", "next").join(entering, "cell_id", "left").select(
-        "col", "row", "cell_id", "next", (F.coalesce("total", F.lit(0)) + 1).alias("weight")
+        F.pmod("node", F.lit(grid.ncol)).alias("col"),
+        F.floor(F.col("node") / grid.ncol).alias("row"),
+        F.col("node").alias("cell_id"), F.lit(NOWHERE).cast("long").alias("next"),
+        F.col("total").alias("weight"),
     )
-    return pass_over(weighted).select("col", "row", (F.col("total") - 1).alias("acc"))
+    own = local.select("col", "row", "cell_id", "next", F.lit(1).cast("long").alias("weight"))
+    return pass_over(own.union(entering)).select("col", "row", (F.col("total") - 1).alias("acc"))

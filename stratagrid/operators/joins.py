@@ -45,12 +45,11 @@ def road_boxes(roads: DataFrame) -> DataFrame:
 
 
 def join_count(points: DataFrame, roads: DataFrame, size: float) -> DataFrame:
-    """``(id, join_count)`` for every point: the number of road strips it lies on."""
+    """Every point with ``join_count``, the number of road strips it lies on."""
     met = block_join(
-        points.select("id", "x", "y"), road_boxes(roads), size,
-        within_segment(F.col("x"), F.col("y")), ["id"], "left",
+        points, road_boxes(roads), size, within_segment(F.col("x"), F.col("y")), ["id"], "left"
     )
-    return met.groupBy("id").agg(F.count("road_id").alias("join_count"))
+    return met.groupBy(*points.columns).agg(F.count("road_id").alias("join_count"))
 
 
 def inside_box() -> Column:

@@ -10,8 +10,7 @@ from stratagrid.operators.joins import join_count
 
 def classify(structures: DataFrame, roads: DataFrame, size: float) -> DataFrame:
     """Every structure with its ``join_count`` and ``on_road``."""
-    counted = join_count(structures, roads, size)
-    return structures.join(counted, "id").withColumn("on_road", F.col("join_count") > 0)
+    return join_count(structures, roads, size).withColumn("on_road", F.col("join_count") > 0)
 
 
 def on_road(structures: DataFrame, roads: DataFrame, size: float) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stratagrid.grid import GridSpec
 from stratagrid.operators import cost, fields, hydrology, nearest, raster
 from stratagrid.operators.components import components
-from stratagrid.operators.groups import spread
+from stratagrid.operators.groups import in_block_order, spread
 from stratagrid.scratch import materialize, scratch_dir
 
 
@@ -31,7 +31,9 @@ class Terrain:
     @property
     def filled(self) -> DataFrame:
         """``(col, row, z, fill)``"""
-        return self._product("fill", lambda: hydrology.fill(self.dem, self.grid))
+        return self._product(
+            "fill", lambda: in_block_order(hydrology.fill(self.dem, self.grid), self.grid)
+        )
 
     @property
     def directions(self) -> DataFrame:

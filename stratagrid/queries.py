@@ -234,7 +234,8 @@ def points_wgs84(spark, sf):
 
 @query
 def road_join_count(spark, sf):
-    return joins.join_count(fx.structures(spark, sf), fx.roads(spark, sf), JOIN_SIZE)
+    points = fx.structures(spark, sf).select("id", "x", "y")
+    return joins.join_count(points, fx.roads(spark, sf), JOIN_SIZE).select("id", "join_count")
 
 
 @query
