@@ -12,6 +12,7 @@ from stratagrid.operators import cost, fields, ledger as led, lines, nearest, ra
 from stratagrid.operators import joins
 from stratagrid.operators.components import components, group_components
 from stratagrid.plans import batch, classify, crossing, isolated, sinks
+from stratagrid.scratch import materialize
 from stratagrid.sources import fixtures as fx
 from stratagrid.sources.tables import append_lines
 
@@ -530,7 +531,7 @@ def side_lines(spark, sf):
 
 
 def _focus(spark, sf):
-    dark = lines.below_threshold(_shaded(spark, sf, RADIUS_B), FRACTION)
+    dark = materialize(lines.below_threshold(_shaded(spark, sf, RADIUS_B), FRACTION))
     return dark, lines.nearest_region(lines.darkest(dark, ["id"], DARK_B), ["id"])
 
 
