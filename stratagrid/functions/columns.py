@@ -26,10 +26,10 @@ def distance(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0))
 
 
-def within_segment(px: Column, py: Column, ax="ax", ay="ay", bx="bx", by="by",
-                   half_width="half_width") -> Column:
-    """True where a point lies within ``half_width`` of the segment a-b (round ends)."""
-    ax, ay, bx, by, hw = (F.col(c) for c in (ax, ay, bx, by, half_width))
+def within_segment(px: Column, py: Column, reach: Column | None = None) -> Column:
+    """True where a point lies within ``reach`` (the half-width) of the segment a-b (round ends)."""
+    ax, ay, bx, by = (F.col(c) for c in ("ax", "ay", "bx", "by"))
+    hw = F.col("half_width") if reach is None else reach
     dx, dy = bx - ax, by - ay
     length2 = dx * dx + dy * dy
     along = (px - ax) * dx + (py - ay) * dy

@@ -6,7 +6,7 @@ north edge).  An absent row, or a null value, is NoData.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +29,6 @@ class GridSpec:
     y0: float = 0.0
     block: int = 256
 
-    def with_block(self, block: int) -> "GridSpec":
-        return replace(self, block=block)
-
     def cell_id(self, col: Column | str = "col", row: Column | str = "row") -> Column:
         return _col(row) * F.lit(self.ncol) + _col(col)
 

@@ -11,12 +11,14 @@ SALTS = 8
 
 
 def block_join(points: DataFrame, shapes: DataFrame, size: float, within: Column,
-               salt_by: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
+               salt_by: list[str], how: str = "inner", salts: int = SALTS,
+               touches: Column | None = None) -> DataFrame:
     """Join points ``(x, y)`` to shapes ``(xmin, xmax, ymin, ymax)`` where ``within`` holds.
 
     A shape is copied to the blocks its box touches, a point has exactly one block, so the
     join is an equi join and meets each pair once.  Points of one block are spread over
-    ``salts`` tasks, which splits a block that holds a large part of the points.
+    ``salts`` tasks, which splits a block that holds a large part of the points.  ``touches`` may
+    drop blocks of the box that the shape misses, from the block's centre ``(_mx, _my)``.
     """
     hashed = ", ".join(f"`{c}`" for c in salt_by)
     keyed = points.selectExpr(
@@ -27,7 +29,12 @@ def block_join(points: DataFrame, shapes: DataFrame, size: float, within: Column
         "*", f"explode(sequence(floor(xmin / {size}), floor(xmax / {size}))) as _sx"
     ).selectExpr(
         "*", f"explode(sequence(floor(ymin / {size}), floor(ymax / {size}))) as _sy"
-    ).selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) as _ss")
+    )
+    if touches is not None:
+        copies = copies.selectExpr(
+            "*", f"(_sx + 0.5D) * {size} as _mx", f"(_sy + 0.5D) * {size} as _my"
+        ).filter(touches).drop("_mx", "_my")
+    copies = copies.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) as _ss")
     met = (
         (F.col("_px") == F.col("_sx")) & (F.col("_py") == F.col("_sy"))
         & (F.col("_ps") == F.col("_ss")) & within
@@ -46,8 +53,13 @@ def road_boxes(roads: DataFrame) -> DataFrame:
 
 def join_count(points: DataFrame, roads: DataFrame, size: float) -> DataFrame:
     """Every point with ``join_count``, the number of road strips it lies on."""
+    # a block can only hold points on the strip when its centre is within half a diagonal of it
+    touches = within_segment(
+        F.col("_mx"), F.col("_my"), F.col("half_width") + F.lit(size * 0.7072)
+    )
     met = block_join(
-        points, road_boxes(roads), size, within_segment(F.col("x"), F.col("y")), ["id"], "left"
+        points, road_boxes(roads), size, within_segment(F.col("x"), F.col("y")), ["id"], "left",
+        touches=touches,
     )
     return met.groupBy(*points.columns).agg(F.count("road_id").alias("join_count"))
 

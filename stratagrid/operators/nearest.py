@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratagrid.functions.columns import distance
-from stratagrid.operators.joins import SALTS, block_join
+from stratagrid.operators.joins import block_join
 from stratagrid.scratch import Rounds, lookup
 
 
@@ -22,7 +22,11 @@ def near_table(points: DataFrame, targets: DataFrame, k: int, size: float) -> Da
     pending = rounds.put("pending", points.select("in_id", "x", "y"))
     if not rounds.seen:
         return _empty(pending)
-    targets = rounds.put("target", targets.select("near_id", "nx", "ny"))
+    # of targets on one spot only the k least ids can be among the nearest k
+    spot = Window.partitionBy("nx", "ny").orderBy("near_id")
+    targets = rounds.put("target", targets.select(
+        "near_id", "nx", "ny", F.row_number().over(spot).alias("spot_rank")
+    ).filter(F.col("spot_rank") <= k).drop("spot_rank"))
     if not rounds.seen:
         return _empty(pending)
     box = pending.select("x", "y").union(targets.select("nx", "ny")).agg(
@@ -30,14 +34,14 @@ def near_table(points: DataFrame, targets: DataFrame, k: int, size: float) -> Da
     ).first()
     extent = max(box)
     nearest = Window.partitionBy("in_id").orderBy("near_dist", "near_id")
-    found, salts = None, 1  # a block of the first size holds few points; wider ones are salted
+    found = None
     while True:
         squares = targets.select(
             "*", (F.col("nx") - size).alias("xmin"), (F.col("nx") + size).alias("xmax"),
             (F.col("ny") - size).alias("ymin"), (F.col("ny") + size).alias("ymax"),
         )
         reached = (F.abs(F.col("x") - F.col("nx")) <= size) & (F.abs(F.col("y") - F.col("ny")) <= size)
-        ranked = block_join(pending, squares, size, reached, ["in_id"], salts=salts).select(
+        ranked = block_join(pending, squares, size, reached, ["in_id"]).select(
             "in_id", "near_id",
             distance(F.col("x"), F.col("y"), F.col("nx"), F.col("ny")).alias("near_dist"),
         ).withColumn("near_rank", F.row_number().over(nearest)).filter(F.col("near_rank") <= k)
@@ -54,7 +58,7 @@ def near_table(points: DataFrame, targets: DataFrame, k: int, size: float) -> Da
         if not rounds.seen:
             return found
         rounds.sweep()
-        size, salts = size * 2, SALTS
+        size *= 2
 
 
 def _empty(points: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def large_zones(zones: DataFrame, more_than: int, zone: str = "zone") -> DataFra
     return lookup(zones, kept, zone, CELL)
 
 
-def zonal_statistics(zones: DataFrame, value: str, zone: str = "zone", **named: Column) -> DataFrame:
+def zonal_statistics(zones: DataFrame, zone: str = "zone", **named: Column) -> DataFrame:
     """Broadcast aggregates of a zone back to its cells.
 
     Zones may be as large as the raster, so this is a combinable aggregate and a salted
@@ -57,7 +57,7 @@ def zonal_table(zones: DataFrame, value: str, grid: GridSpec, zone: str = "zone"
 def extreme_cells(zones: DataFrame, value: str, highest: bool, zone: str = "zone") -> DataFrame:
     """Cells at the greatest (pour) or least (minimum) value of their zone; ties all stay."""
     edge = F.max(value) if highest else F.min(value)
-    return zonal_statistics(zones, value, zone, _edge=edge).filter(
+    return zonal_statistics(zones, zone, _edge=edge).filter(
         F.col(value) == F.col("_edge")
     ).drop("_edge")
 

@@ -361,7 +361,7 @@ def zone_sizes(spark, sf):
 @query
 def zonal_max(spark, sf):
     return raster.zonal_statistics(
-        fx.zones(spark, sf), "z", zmax=F.max("z"), zmin=F.min("z")
+        fx.zones(spark, sf), zmax=F.max("z"), zmin=F.min("z")
     ).select("col", "row", "zone", "zmax", "zmin")
 
 

@@ -36,11 +36,11 @@ def random_dem(seed, levels, holes=0.0, shape=(19, 21)):
     return array
 
 
-CASES = [(1, 500, 0.0), (2, 5, 0.0), (3, 5, 0.05), (4, 2, 0.0)]
+# noise, flats, flats with NoData, large flats; small blocks and one block
+CASES = [(1, 500, 0.0, 5), (2, 5, 0.0, 64), (3, 5, 0.05, 5), (4, 2, 0.0, 5)]
 
 
-@pytest.mark.parametrize("seed,levels,holes", CASES)
-@pytest.mark.parametrize("block", [5, 64])
+@pytest.mark.parametrize("seed,levels,holes,block", CASES)
 def test_terrain_against_priority_flood(spark, seed, levels, holes, block):
     array = random_dem(seed, levels, holes)
     grid = grid_for(array, block)

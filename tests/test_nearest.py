@@ -36,6 +36,12 @@ def test_fewer_targets_than_k(spark):
     assert run(spark, points, targets, 5, 2.0) == brute(points, targets, 5)
 
 
+def test_many_targets_and_points_on_one_spot(spark):
+    points = [(i, 10.5, 10.5) for i in range(200)] + [(500, 40.5, 3.5)]
+    targets = [(j, 11.5, 10.5) for j in range(300)] + [(900, 30.5, 30.5)]
+    assert run(spark, points, targets, 5, 4.0) == brute(points, targets, 5)
+
+
 def test_no_targets(spark):
     assert run(spark, [(1, 0.5, 0.5)], [], 5, 2.0) == set()
 
