@@ -16,11 +16,15 @@ def adjacent_pairs(col, row, offsets, group=None):
 
     Input is sorted by (group, row, col); ``group`` is a small consecutive number.
     """
-    width = int(col.max() - col.min()) + 3
-    depth = int(row.max() - row.min()) + 3
-    key = (row - row.min() + 1) * width + (col - col.min() + 1)
-    if group is not None:
-        key = key + group * (width * depth)
+    if group is None:
+        group = np.zeros(len(col), dtype=np.int64)
+    # positions relative to each group's corner keep the keys small however large the raster is
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    sizes = np.diff(np.append(first, len(group)))
+    col = col - np.repeat(np.minimum.reduceat(col, first), sizes) + 1
+    row = row - np.repeat(np.minimum.reduceat(row, first), sizes) + 1
+    width, depth = int(col.max()) + 2, int(row.max()) + 2
+    key = (group * depth + row) * width + col
     us, vs = [], []
     for dc, dr in offsets:
         target = key + dr * width + dc

@@ -13,6 +13,7 @@ from stratagrid.operators import joins
 from stratagrid.operators.components import components, group_components
 from stratagrid.plans import batch, classify, crossing, isolated, sinks
 from stratagrid.scratch import materialize
+from stratagrid.ship import ship_package
 from stratagrid.sources import fixtures as fx
 from stratagrid.sources.tables import append_lines
 
@@ -33,7 +34,11 @@ _terrains: dict[tuple[str, str], sinks.Terrain] = {}
 
 
 def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
+    def with_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return run(spark, sf_dir)
+
+    QUERIES[run.__name__] = with_code
     return run
 
 

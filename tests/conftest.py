@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from stratagrid.grid import GridSpec  # noqa: E402
+from stratagrid.ship import ship_package  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -20,6 +21,7 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    ship_package(session)
     yield session
     session.stop()
 

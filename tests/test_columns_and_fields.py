@@ -1,5 +1,4 @@
 import pytest
-from conftest import cells_of  # noqa: F401
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

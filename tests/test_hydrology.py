@@ -115,3 +115,20 @@ def test_basins_lead_to_pits(spark):
             not ok or (array[n[1], n[0]], n[1] * 21 + n[0]) > (array[pr, pc], pit)
             for _, n, ok in neighbours(array, pc, pr)
         )
+
+
+def test_fractional_elevations_and_nulls(spark):
+    rng = np.random.default_rng(11)
+    array = rng.random((9, 10)) * 10
+    array[4, 4] = np.nan
+    rows = [(c, r, None if np.isnan(array[r, c]) else float(array[r, c])) for r in range(9) for c in range(10)]
+    dem = spark.createDataFrame(rows, "col long, row long, z double")
+    filled = as_map(hydrology.fill(dem, grid_for(array, 4)), "z", "fill")
+    assert (4, 4) not in filled
+    for (c, r), (z, level) in filled.items():
+        around = list(neighbours(array, c, r))
+        assert z == array[r, c] and level >= z
+        if len([1 for *_, ok in around if ok]) < 8:
+            assert level == z
+        else:  # no pit is left
+            assert min(filled[n][1] for _, n, _ in around) <= level

@@ -33,3 +33,26 @@ def test_query_equals_sql(spark, name):
     df = entry.queries()[name](spark, SF)
     assert sorted(df.columns) == sorted(columns)
     assert sorted((tuple(map(value, r)) for r in df.select(*columns).collect()), key=repr) == expected
+
+
+PLANNED = [
+    "road_join_count", "point_tile", "points_in_tiles", "points_out_of_bounds", "buffer_erased", "hillshade",
+    "zonal_max", "pour_points", "window_cells", "masked_cells", "join_one_field", "ledger_pending",
+]
+
+
+def test_plans_have_no_nested_loops_even_without_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in PLANNED:
+            plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+            for bad in ("NestedLoop", "Cartesian", "Broadcast"):
+                assert bad not in plan, (name, bad)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scans_read_only_what_they_need(spark):
+    plan = entry.queries()["hillshade"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet [o_orderkey" in plan and "o_custkey" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
