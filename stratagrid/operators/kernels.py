@@ -81,13 +81,16 @@ def accumulate(pointer, weight):
 
 def hop_distances(hops, u, v):
     """Least number of steps along edges u -> v, starting from the known values."""
-    while True:
-        known = hops[u] < INF
-        nearer = hops.copy()
-        np.minimum.at(nearer, v[known], hops[u][known] + 1)
-        if np.array_equal(nearer, hops):
-            return hops
-        hops = nearer
+    hops = hops.copy()
+    active = hops < INF
+    while active.any():
+        out = active[u]
+        via, to = hops[u[out]] + 1, v[out]
+        nearer = via < hops[to]
+        np.minimum.at(hops, to[nearer], via[nearer])
+        active = np.zeros(len(hops), dtype=bool)
+        active[to[nearer]] = True
+    return hops
 
 
 def shifted(grids, dc, dr, fill):
