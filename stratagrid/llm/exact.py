@@ -2,23 +2,20 @@
 
 Level one and two are one combinable count over narrow keys ``(length, prefix hash)``: a key that two
 rows share implies a shared length.  The keys that survive are folded into a bitmap of at most
-``MAX_BITS`` bits, a fixed size whatever the input.  The second scan hashes the full text only where
+``keyset.MAX_BITS`` bits, a bound whatever the input.  The second scan hashes the full text only where
 the bitmap has the row's key.  A bit set by another key costs one hash and never changes a result, so
 no text is ever shuffled and no group is ever collected.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratagrid.llm.keyset import key_set
 from stratagrid.scratch import materialize
 
 PREFIX_CHARS = 64
-PAGE_BITS = 32768  # bits in one page of Spark's bitmap functions
-MAX_BITS = 1 << 25
 
 
 def _text(column: str) -> Column:
@@ -29,24 +26,8 @@ def _key(text: Column) -> Column:
     return F.xxhash64(F.octet_length(text), F.xxhash64(F.substring(text, 1, PREFIX_CHARS)))
 
 
-@dataclass(frozen=True)
-class Suspects:
-    """Bitmap over the (length, prefix) keys that more than one row has."""
-
-    bits: int
-    pages: bytes
-
-    def flag(self, text: Column) -> Column:
-        """False only for texts that no other row can equal."""
-        position = F.pmod(_key(text), F.lit(self.bits))
-        byte = F.substring(F.lit(self.pages), (position / 8).cast("int") + 1, F.lit(1))
-        value = F.conv(F.hex(byte), 16, 10).cast("int")
-        bit = F.pmod(position, F.lit(8)).cast("int")
-        return F.call_function("shiftright", value, bit).bitwiseAND(F.lit(1)) == 1
-
-
-def suspects(docs: DataFrame, text: str = "text") -> Suspects:
-    """Scan lengths and prefixes and keep the keys of groups with two rows or more."""
+def suspects(docs: DataFrame, text: str = "text") -> Column:
+    """Scan lengths and prefixes; a column that is false only for texts that no other row can equal."""
     t = _text(text)
     keys = docs.select(
         F.octet_length(t).alias("length"), F.xxhash64(F.substring(t, 1, PREFIX_CHARS)).alias("prefix")
@@ -55,17 +36,7 @@ def suspects(docs: DataFrame, text: str = "text") -> Suspects:
         keys.groupBy("length", "prefix").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         .select(F.xxhash64("length", "prefix").alias("key"))
     )
-    bits = PAGE_BITS
-    while bits < min(MAX_BITS, 16 * shared.count()):
-        bits *= 2
-    position = F.pmod("key", F.lit(bits))
-    pages = shared.select(position.alias("p")).groupBy((F.col("p") / PAGE_BITS).cast("int").alias("page")).agg(
-        F.bitmap_construct_agg(F.pmod("p", F.lit(PAGE_BITS))).alias("map")
-    ).collect()  # at most MAX_BITS / PAGE_BITS pages of 4 KiB
-    out = bytearray(bits // 8)
-    for page, page_map in pages:
-        out[page * PAGE_BITS // 8:(page + 1) * PAGE_BITS // 8] = page_map
-    return Suspects(bits, bytes(out))
+    return key_set(shared, "key").may_hold(_key(t))
 
 
 def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -77,9 +48,7 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     ``text_sha256`` is null for a row that is proven unique without its full hash, unless
     ``digest_all`` asks for it.  An empty table gives an empty result; other columns are ignored.
     """
-    found = suspects(docs, text)
-    t = _text(text)
-    flag = found.flag(t)
+    t, flag = _text(text), suspects(docs, text)
     digest = F.sha2(t, 256)
     rows = materialize(docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), flag.alias("suspect"),
@@ -106,9 +75,8 @@ def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "
 
     Rows that no other can equal pass straight through; only suspects are hashed and meet in a join.
     """
-    found = suspects(docs, text)
     t = _text(text)
-    marked = docs.withColumn("_suspect", found.flag(t))
+    marked = docs.withColumn("_suspect", suspects(docs, text))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     hashed = marked.filter("_suspect").select(*columns, F.sha2(t, 256).alias("_digest"))
     last = materialize(hashed.groupBy("_digest").agg(F.max(F.col(doc_id)).alias("_keep")))

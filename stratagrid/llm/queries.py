@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratagrid.llm import exact, licenses, mixing, urls
+from stratagrid.llm import exact, jaccard, licenses, mixing, substrings, urls
 from stratagrid.ship import ship_package
 
 
@@ -33,11 +33,22 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.drop_repeated_windows(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op6_url_filter": op6_url_filter,
     "op7_license_scan": op7_license_scan,
+    "op9_jaccard_join": op9_jaccard_join,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 _OP3 = """
@@ -77,4 +88,37 @@ select page_id, host, path, case {cases} end as rule,
 """
 
 
-ORACLES: dict[str, str] = {"op3_exact_dedup": _OP3, "op6_url_filter": _op6_sql()}
+_OP10 = """
+with t as (select doc_id, row_number() over () as r,
+  list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words from documents),
+w as (select doc_id, r, i, array_to_string(words[i:i + 49], ' ') as body
+      from (select *, unnest(generate_series(1, len(words) - 49)) as i from t where len(words) >= 50)),
+m as (select *, min(doc_id) over (partition by body) as least from w),
+g as (select distinct r, i + j as p from m, generate_series(0, 49) s(j)
+      where least < doc_id or (doc_id is null and least is not null)),
+e as (select doc_id, r, unnest(words) as word, unnest(generate_series(1, len(words))) as p from t),
+k as (select r, string_agg(word, ' ' order by p) as body, count(*) as n from e anti join g using (r, p) group by r)
+select doc_id, len(words) as n_words, len(words) - coalesce(n, 0) as n_removed,
+  sha256(coalesce(body, '')) as kept_sha256 from t left join k using (r)
+"""
+
+_OP9 = """
+with recursive t as (select doc_id, row_number() over () as r, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words from documents),
+s as (select distinct r, gram from (select r, unnest(case when len(words) >= 5
+    then list_transform(generate_series(1, len(words) - 4), lambda i: array_to_string(words[i:i + 4], ' '))
+    when len(words) > 0 then [array_to_string(words, ' ')] else [] end) as gram from t)),
+n as (select r, count(*) as n from s group by r),
+p as (select a.r as a, b.r as b, count(*) as inter from s a join s b on a.gram = b.gram and a.r <> b.r group by 1, 2),
+l as (select a, b from p join n x on x.r = a join n y on y.r = b where 100 * inter >= 80 * (x.n + y.n - inter)),
+c as (select r, r as to_r from t union select c.r, l.b from c join l on l.a = c.to_r),
+m as (select c.r, min(t.doc_id) as component_id from c join t on t.r = c.to_r group by c.r),
+e as (select r, list_sort(list(gram)) as grams from s group by r),
+z as (select e.r, count(*) over (partition by grams) as set_size from e)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, coalesce(set_size, 1) as set_size
+from t join m using (r) left join n using (r) left join z using (r)
+"""
+
+ORACLES: dict[str, str] = {"op3_exact_dedup": _OP3, "op6_url_filter": _op6_sql(),
+                           "op9_jaccard_join": _OP9, "op10_substring_dedup": _OP10}
