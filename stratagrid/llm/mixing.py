@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from stratagrid.scratch import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 SHUFFLE_ROUNDS = 12
+DEAL_DRAWS = 1 << 16  # draws that a task unfolds
 
 
 def word_count(text: Column) -> Column:
@@ -117,7 +118,7 @@ def block_draws(targets: DataFrame, block_words: int, shard_slots: int, seed: in
         "sid", "blocks", F.coalesce("had", F.lit(0)).alias("first"), F.col("wanted").alias("last"),
         F.lit(shards).cast("long").alias("shard")).filter("first < last")
     # few rows hold many draws: deal them out before they unfold
-    draws = runs.unionByName(rest).repartition("sid", "shard").select("sid", "blocks", F.explode(
+    draws = runs.unionByName(rest).repartition(1 + total // DEAL_DRAWS, "sid", "shard").select("sid", "blocks", F.explode(
         F.sequence(F.col("first"), F.col("last") - 1)).alias("draw"))
     turn = F.floor(F.col("draw") / F.col("blocks"))
     index = F.col("draw") - turn * F.col("blocks")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratagrid.llm import exact, jaccard, licenses, mixing, substrings, urls
+from stratagrid.llm import bitpack, exact, jaccard, licenses, mixing, packing, resample, substrings, urls, vafile
 from stratagrid.ship import ship_package
 
 
@@ -16,10 +16,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratios = resample.fit(docs, table(spark, sf_dir, "labels"))
+    return resample.resample(docs, ratios).drop("text")
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -33,6 +47,11 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = bitpack.token_file(table(spark, sf_dir, "documents"))
+    return bitpack.read_tokens(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -43,14 +62,28 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pack": op1_pack,
+    "op2_top_k": op2_top_k,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_quality": op4_quality,
     "op5_mix_sources": op5_mix_sources,
     "op6_url_filter": op6_url_filter,
     "op7_license_scan": op7_license_scan,
+    "op8_token_file": op8_token_file,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
+_OP2 = """
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e
+  from embeddings where vec_id is not null and embedding is not null
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(generate_series(1, least(len(q.e), len(c.e))),
+  lambda i: q.e[i] * c.e[i])) as bigint) as score from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5
+"""
+
 _OP3 = """
 with t as (select doc_id, coalesce(text, '') as body from documents),
 g as (select body, max(doc_id) as keep_id, count(*) as group_size from t group by body)
@@ -120,5 +153,5 @@ select doc_id, coalesce(n, 0) as n_shingles, component_id, coalesce(set_size, 1)
 from t join m using (r) left join n using (r) left join z using (r)
 """
 
-ORACLES: dict[str, str] = {"op3_exact_dedup": _OP3, "op6_url_filter": _op6_sql(),
+ORACLES: dict[str, str] = {"op2_top_k": _OP2, "op3_exact_dedup": _OP3, "op6_url_filter": _op6_sql(),
                            "op9_jaccard_join": _OP9, "op10_substring_dedup": _OP10}

@@ -10,13 +10,22 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 CACHE = 1 << 20  # chunks a worker keeps at most
 _UNSAFE = re.compile(r"\s (?:\s|$)")  # white space around a space: cutting there would split a run
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks but the apostrophe, which may open a piece
 _loaded: dict[str, "Encoder"] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it prints."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
 class _Chunks(dict):
     """Little-endian 32-bit ids of chunks; missing ones are encoded on first use."""
 
@@ -27,7 +36,15 @@ class _Chunks(dict):
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= CACHE:
             self.clear()
-        ids = self[chunk] = self._encoder.chunk_ids(self._lead + chunk)
+        word = chunk.rstrip(_MARKS)
+        if word and word.isalpha():  # letters, then marks: one piece each
+            if len(word) == len(chunk):
+                ids = self._encoder.piece_ids(self._lead + word)
+            else:
+                ids = self[word] + self._encoder.mark_ids(chunk[len(word):])
+        else:
+            ids = self._encoder.chunk_ids(self._lead + chunk)
+        self[chunk] = ids
         return ids
 
 
@@ -37,31 +54,41 @@ class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        if self.tokenizer.normalizer is not None or self.tokenizer.post_processor is not None:
-            raise ValueError("a tokenizer that rewrites whole texts cannot be encoded by chunk")
-        self._split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        split = self.tokenizer.pre_tokenizer
+        if (self.tokenizer.normalizer is not None or self.tokenizer.post_processor is not None
+                or not isinstance(split, ByteLevel) or split.add_prefix_space or not split.use_regex):
+            raise ValueError("only a plain byte-level tokenizer can be encoded by chunk")
+        self._split = split.pre_tokenize_str
         self._model = self.tokenizer.model.tokenize
-        self._pieces: dict[str, bytes] = {}
+        self._letters = _byte_letters()
+        self._marks: dict[str, bytes] = {}
         self._spaced, self._plain = _Chunks(self, " "), _Chunks(self, "")
 
     @property
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
+    def _ids(self, mapped: str) -> bytes:
+        return array("I", [t.id for t in self._model(mapped)]).tobytes()
+
+    def piece_ids(self, piece: str) -> bytes:
+        """Ids of a text that the pre-tokenizer would leave whole."""
+        return self._ids(piece.encode().decode("latin-1").translate(self._letters))
+
+    def mark_ids(self, marks: str) -> bytes:
+        ids = self._marks.get(marks)
+        if ids is None:
+            if len(self._marks) >= CACHE:
+                self._marks.clear()
+            ids = self._marks[marks] = self.piece_ids(marks)
+        return ids
+
     def chunk_ids(self, chunk: str) -> bytes:
-        out = []
-        for piece, _ in self._split(chunk):
-            ids = self._pieces.get(piece)
-            if ids is None:
-                if len(self._pieces) >= CACHE:
-                    self._pieces.clear()
-                ids = b"".join(t.id.to_bytes(4, "little") for t in self._model(piece))
-                self._pieces[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(self._ids(piece) for piece, _ in self._split(chunk))
 
     def encode(self, text: str) -> bytes:
         """All ids of a text as little-endian unsigned 32-bit integers."""
