@@ -1,9 +1,12 @@
 """Quality classifier by importance resampling.
 
-Two generative models over hashed byte n-grams, of labelled good text and of all raw text, give every
-document a log importance weight, the sum of its n-grams' log probability ratios.  Documents are drawn
-without replacement by Gumbel top-k: a hash of the document gives each weight its Gumbel noise and the
-k greatest stay.  The raw counts cover every document; both models are vectors of ``BUCKETS`` numbers.
+Two generative models over hashed word-shape bigrams, of labelled good text and of all raw text, give
+every document a log importance weight, the sum of its bigrams' log probability ratios.  Documents are
+drawn without replacement by Gumbel top-k: a hash of the document gives each weight its Gumbel noise and
+the k greatest stay.  The raw counts cover every document; both models are vectors of ``BUCKETS`` numbers.
+
+The shape of a word is the kind of its first, second and last character, its length class, and whether
+it repeats the word before; shapes carry quality over from one language and vocabulary to another.
 """
 
 from __future__ import annotations
@@ -16,32 +19,40 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratagrid.llm.words import slices, text_bytes
+from stratagrid.llm.words import slices, span_hashes, text_bytes, word_spans
 from stratagrid.scratch import materialize
 
-GRAM, BUCKETS = 4, 1 << 16
+BUCKETS = 1 << 16
 MAX_LABELLED = 50_000  # good labelled documents that the target model is fitted on at most
+FLOOR = 0.01  # share of the raw model in the target model, which bounds a bigram's log ratio from below
+SLACK = 6.0
 PAGE = 1024
 CELLS = 4096
 
 
+_KIND = np.array([
+    1 if 65 <= b < 91 else 2 if 48 <= b < 58 else 3 if b in b",;:" else 4 if b in b".?" else
+    5 if 33 <= b < 128 and not chr(b).isalnum() else 0 for b in range(256)], np.uint32)
+_LENGTH = np.array([0] * 3 + [1] * 3 + [2] * 4 + [3] * 6 + [4], np.uint32)
+_START = np.uint32(0x1FFF)
+
+
 def _buckets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per slice: its first row, the bucket of every n-gram, and the first n-gram of every row."""
+    """Per slice: its first row, the bucket of every word's bigram, and the first word of every row."""
     for begin, end in slices(texts):
         data, offsets = text_bytes(texts.slice(begin, end - begin))
-        wide = data.astype(np.uint32)
-        n = max(0, len(wide) - GRAM + 1)
-        code = np.zeros(n, np.uint32)
-        for j in range(GRAM):
-            code |= wide[j:j + n] << np.uint32(8 * j)
-        bucket = (code * np.uint32(2654435761)) >> np.uint32(16)
-        own = np.ones(len(data), bool)
-        for j in range(1, GRAM):  # n-grams that begin in a row's last bytes reach into the next row
-            last = offsets[1:] - j
-            own[last[last >= offsets[:-1]]] = False
-        bucket = bucket[own[:n]]
-        kept = np.maximum(np.diff(offsets) - GRAM + 1, 0)
-        yield begin, bucket, np.append(0, np.cumsum(kept))
+        starts, ends, first = word_spans(data, offsets)
+        hashes = span_hashes(data, starts, ends)
+        same = np.zeros(len(starts), np.uint32)
+        same[1:] = hashes[1:] == hashes[:-1]
+        same[first[:-1][first[:-1] < len(starts)]] = 0
+        shape = (same | _KIND[data[starts]] << np.uint32(1)
+                 | _KIND[data[np.minimum(starts + 1, ends - 1)]] << np.uint32(4) | _KIND[data[ends - 1]] << np.uint32(7)
+                 | _LENGTH[np.minimum(ends - starts, len(_LENGTH) - 1)] << np.uint32(10))
+        before = np.empty_like(shape)
+        before[1:] = shape[:-1]
+        before[first[:-1][first[:-1] < len(starts)]] = _START
+        yield begin, ((before << np.uint32(13) | shape) * np.uint32(2654435761)) >> np.uint32(16), first
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -88,12 +99,15 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         totals[0, at], totals[1, at] = np.frombuffer(raw, np.int64), np.frombuffer(target, np.int64)
     if not totals.sum(axis=1).all():
         return np.zeros(BUCKETS)
-    raw, target = np.log((totals + 1) / (totals.sum(axis=1, keepdims=True) + BUCKETS))
-    return target - raw
+    raw, target = totals / totals.sum(axis=1, keepdims=True)
+    seen = raw > 0
+    ratios = np.zeros(BUCKETS)
+    ratios[seen] = np.log((1 - FLOOR) * target[seen] / raw[seen] + FLOOR)
+    return ratios
 
 
 def log_weight(text: Column, ratios: np.ndarray) -> Column:
-    """Log importance weight of a text; 0 for a null or empty one."""
+    """Log importance weight of a text; null for one without words."""
 
     @F.pandas_udf("double")
     def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -102,10 +116,11 @@ def log_weight(text: Column, ratios: np.ndarray) -> Column:
             out = np.zeros(len(column))
             for begin, bucket, first in _buckets(column):
                 upto = np.append(0.0, np.cumsum(ratios[bucket]))
-                out[begin:begin + len(first) - 1] = np.diff(upto[first])
+                out[begin:begin + len(first) - 1] = np.where(np.diff(first) > 0, np.diff(upto[first]), np.nan)
             yield pd.Series(out)
 
-    return weigh(text)
+    weight = weigh(text)
+    return F.when(~F.isnan(weight), weight)
 
 
 def gumbel(seed: int, *columns: Column) -> Column:
@@ -134,20 +149,20 @@ def kth_greatest(keys: DataFrame, column: str, k: int) -> float:
 
 
 def resample(docs: DataFrame, ratios: np.ndarray, doc_id: str = "doc_id", text: str = "text", k: int | None = None,
-             seed: int = 11) -> DataFrame:
+             slack: float = SLACK, seed: int = 11) -> DataFrame:
     """The ``k`` documents drawn, with all columns of ``docs`` and ``log_weight`` and ``gumbel_key``.
 
-    Without ``k``, as many are drawn as documents that are likelier under the target than under the raw
-    model (log weight above 0).  A null or empty text weighs 0.  Rows that tie with the kth all stay, so
-    equal rows stay or go together.  An empty table gives an empty result.
+    Without ``k``, as many are drawn as there are documents that the raw model explains at most
+    ``exp(slack)`` times better than the target does.  A text without words, or null, has no weight and is never drawn.  Rows
+    that tie with the kth all stay, so equal rows stay or go together.  An empty table gives an empty result.
     """
     if {"log_weight", "gumbel_key"} & set(docs.columns):
         docs = docs.drop("log_weight", "gumbel_key")
     noise = gumbel(seed, F.col(doc_id).cast("string"), F.xxhash64(F.col(text)))
     keyed = docs.withColumn("log_weight", log_weight(F.col(text), ratios)).withColumn(
         "gumbel_key", F.col("log_weight") + noise)
-    keys = materialize(keyed.select("log_weight", "gumbel_key"))
-    k = keys.filter("log_weight > 0").count() if k is None else k
+    keys = materialize(keyed.select("log_weight", "gumbel_key").filter("gumbel_key is not null"))
+    k = keys.filter(F.col("log_weight") >= -slack).count() if k is None else k
     if k <= 0:
         return keyed.limit(0)
     return keyed.filter(F.col("gumbel_key") >= F.lit(kth_greatest(keys, "gumbel_key", k)))

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20  # text hashed at once; one longer document is a slice of its own
+SLICE_BYTES = 1 << 18  # text hashed at once; one longer document is a slice of its own
 _LONGEST = 4096
 
 _random = np.random.RandomState(20240229)
@@ -74,22 +74,24 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words (split at ASCII white space) and the first word of every row.
-
-    ``lower`` compares A-Z as a-z.
-    """
-    data, offsets = text_bytes(texts)
-    starts, ends, first = word_spans(data, offsets)
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit hash of every word; ``lower`` compares A-Z as a-z."""
     if not len(starts):
-        return np.zeros(0, np.uint64), first
+        return np.zeros(0, np.uint64)
     lengths = np.diff(np.append(starts, len(data)))
     place = np.arange(len(data) - starts[0]) - np.repeat(starts - starts[0], lengths)
     values = (_LOWERED if lower else _BYTE)[data[starts[0]:]]
     values *= _PLACE[place % _LONGEST]
     if (ends - starts).max() > _LONGEST:  # a second key tells the stretches of a very long word apart
         values *= _FAR[(place // _LONGEST) % _LONGEST] | np.uint64(1)
-    return mix(np.add.reduceat(values, starts - starts[0])), first
+    return mix(np.add.reduceat(values, starts - starts[0]))
+
+
+def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words (split at ASCII white space) and the first word of every row."""
+    data, offsets = text_bytes(texts)
+    starts, ends, first = word_spans(data, offsets)
+    return span_hashes(data, starts, ends, lower), first
 
 
 def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
