@@ -18,7 +18,7 @@ for _code, _dc, _dr in DIRECTIONS:
     STEP_COL[_code], STEP_ROW[_code] = _dc, _dr
 
 
-def _surfaces(cells: pd.DataFrame, straight: float, diagonal: float):
+def _surfaces(cells: pd.DataFrame, straight: float, diagonal: float, to_target: bool = False):
     """Cost and back-link grids of the windows in a batch, each centred on its start.
 
     Returns the position (window, row, col) of every cell, the grids, and their half-width.
@@ -32,7 +32,11 @@ def _surfaces(cells: pd.DataFrame, straight: float, diagonal: float):
     height[at] = cells["z"].to_numpy(dtype=float)
     height[~(height > 0)] = np.nan  # costs must be positive
     centre = np.full(len(height), half)
-    cost, back = kernels.cost_surfaces(height, (centre, centre), DIRECTIONS, straight, diagonal)
+    target = None
+    if to_target:
+        target = np.zeros(height.shape, dtype=bool)
+        target[at] = cells["target"].to_numpy(dtype=bool)
+    cost, back = kernels.cost_surfaces(height, (centre, centre), DIRECTIONS, straight, diagonal, target)
     return at, cost, back, half
 
 
@@ -65,7 +69,7 @@ def flow_paths(windows: DataFrame, grid: GridSpec, straight: float = 1.0,
     straight, diagonal = straight * grid.cell, diagonal * grid.cell
 
     def run(cells: pd.DataFrame) -> pd.DataFrame:
-        at, cost, back, half = _surfaces(cells, straight, diagonal)
+        at, cost, back, half = _surfaces(cells, straight, diagonal, to_target=True)
         reached = cells.assign(window=at[0], r=at[1], c=at[2], cost=cost[at])
         reached = reached[reached["target"] & np.isfinite(reached["cost"])]
         ends = reached.sort_values(["window", "cost", "row", "col"]).drop_duplicates("window")

@@ -18,26 +18,26 @@ HOPS = 4  # table lookups per written round: each round multiplies the reach by
 def resolve(pointers: DataFrame, rounds: Rounds) -> DataFrame:
     """Follow an acyclic ``(node, root, ...)`` pointer table to the end of every chain.
 
-    Other columns stay on their rows.  All lookups of a round read the same right side, so
-    its exchange is built once.
+    Other columns stay on their rows.  A row whose root is an end is closed and is looked up no more:
+    nearly all chains may end at one node.  All lookups of a round read the same right side, so its
+    exchange is built once.
     """
     kept = [c for c in pointers.columns if c not in ("node", "root")]
-    current = pointers
-    while True:
+    current = rounds.put("pointer", pointers.select(
+        "node", "root", *kept, (F.col("node") != F.col("root")).alias("open")), watch="open")
+    while rounds.seen:
         moving = current.filter(F.col("node") != F.col("root")).select(
             F.col("node").alias("root"), F.col("root").alias("further")
         )
-        step = current.select("node", "root", *kept)
+        step = current.filter("open").select("node", "root", *kept)
         for _ in range(HOPS):
             step = lookup(step, moving, "root", "node", "left").select(
                 "node", F.coalesce("further", "root").alias("root"), *kept,
                 F.col("further").isNotNull().alias("open"),
             )
-        current = rounds.put("pointer", step, watch="open")
-        done = rounds.seen == 0
+        current = rounds.put("pointer", step.union(current.filter("not open")), watch="open")
         rounds.sweep()
-        if done:
-            return current.select("node", "root", *kept)
+    return current.select("node", "root", *kept)
 
 
 def connect(edges: DataFrame, rounds: Rounds) -> DataFrame:

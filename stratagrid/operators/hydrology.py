@@ -56,7 +56,8 @@ def _drainage(dem: DataFrame, grid: GridSpec, rounds: Rounds) -> tuple[DataFrame
         spread(with_block(down, grid), "bc", "br").groupBy("bc", "br").applyInPandas(_chain_ends, schema)
     )
     entries = local.filter(_crosses(grid)).select(F.col("exit").alias("cell_id")).distinct()
-    pointers = local.select("cell_id", "exit").join(entries, "cell_id", "left_semi").select(
+    # a cell that is entered from another block touches its border
+    pointers = local.filter(grid.on_block_rim()).select("cell_id", "exit").join(entries, "cell_id", "left_semi").select(
         F.col("cell_id").alias("node"), F.col("exit").alias("root")
     )
     pits = resolve(pointers, rounds).select(F.col("node").alias("exit"), F.col("root").alias("pit"))
@@ -266,7 +267,8 @@ def flow_accumulation(directions: DataFrame, grid: GridSpec) -> DataFrame:
     handed = local.withColumn("exit", F.col("next")).filter(_crosses(grid)).groupBy(
         F.col("next").alias("cell_id")
     ).agg(F.sum("total").alias("weight"))
-    entries = handed.join(local.select("col", "row", "cell_id", "exit"), "cell_id").select(
+    rims = local.filter(grid.on_block_rim()).select("col", "row", "cell_id", "exit")
+    entries = handed.join(rims, "cell_id").select(
         F.col("cell_id").alias("node"),
         F.when(_crosses(grid), F.col("exit")).alias("next"), "weight",
     )

@@ -6,62 +6,52 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratagrid.functions.columns import within_segment
-
-SALTS = 8
-
+from stratagrid.scratch import hot_keys, salted
 
 def block_join(points: DataFrame, shapes: DataFrame, size: float, within: Column,
-               salt_by: list[str], how: str = "inner", salts: int = SALTS,
-               touches: Column | None = None) -> DataFrame:
+               salt_by: list[str], how: str = "inner", task_bytes: int | None = None) -> DataFrame:
     """Join points ``(x, y)`` to shapes ``(xmin, xmax, ymin, ymax)`` where ``within`` holds.
 
     A shape is copied to the blocks its box touches, a point has exactly one block, so the
-    join is an equi join and meets each pair once.  Points of one block are spread over
-    ``salts`` tasks, which splits a block that holds a large part of the points.  ``touches`` may
-    drop blocks of the box that the shape misses, from the block's centre ``(_mx, _my)``.
+    join is an equi join and meets each pair once.  A block whose counted points are too many for one
+    task is spread over several, and only its shapes are copied further.
     """
-    hashed = ", ".join(f"`{c}`" for c in salt_by)
-    keyed = points.selectExpr(
-        "*", f"floor(x / {size}) as _px", f"floor(y / {size}) as _py",
-        f"pmod(xxhash64({hashed}), {salts}) as _ps",
-    )
+    keyed = points.selectExpr("*", f"floor(x / {size}) as _px", f"floor(y / {size}) as _py")
     copies = shapes.selectExpr(
         "*", f"explode(sequence(floor(xmin / {size}), floor(xmax / {size}))) as _sx"
     ).selectExpr(
         "*", f"explode(sequence(floor(ymin / {size}), floor(ymax / {size}))) as _sy"
     )
-    if touches is not None:
-        copies = copies.selectExpr(
-            "*", f"(_sx + 0.5D) * {size} as _mx", f"(_sy + 0.5D) * {size} as _my"
-        ).filter(touches).drop("_mx", "_my")
-    copies = copies.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) as _ss")
-    met = (
-        (F.col("_px") == F.col("_sx")) & (F.col("_py") == F.col("_sy"))
-        & (F.col("_ps") == F.col("_ss")) & within
-    )
-    return keyed.join(copies, met, how).drop("_px", "_py", "_ps", "_sx", "_sy", "_ss")
-
-
-def road_boxes(roads: DataFrame) -> DataFrame:
+    met = (F.col("_px") == F.col("_sx")) & (F.col("_py") == F.col("_sy"))
+    hot = hot_keys(keyed, ["_px", "_py"], task_bytes)
+    if hot is not None:
+        keyed, copies = salted(keyed, copies, ["_px", "_py"], hot, salt_by, ["_sx", "_sy"])
+        met = met & (F.col("_salt") == F.col("_copy"))
+    return keyed.join(copies, met & within, how).drop("_px", "_py", "_salt", "_sx", "_sy", "_copy")
+
+
+def road_boxes(roads: DataFrame, size: float) -> DataFrame:
+    """Each road with the boxes of its pieces, no longer than a block: boxes grow with its length."""
+    longest = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
+    count = F.greatest(F.ceil(longest / F.lit(size)), F.lit(1))
+    cut = roads.withColumn("_of", count).withColumn("_piece", F.explode(F.sequence(F.lit(1).cast("long"), "_of")))
+    at = lambda a, b, n: F.col(a) + (F.col(b) - F.col(a)) * (n / F.col("_of"))
+    x0, x1 = at("ax", "bx", F.col("_piece") - 1), at("ax", "bx", F.col("_piece"))
+    y0, y1 = at("ay", "by", F.col("_piece") - 1), at("ay", "by", F.col("_piece"))
     hw = F.col("half_width")
-    return roads.select(
-        "*",
-        (F.least("ax", "bx") - hw).alias("xmin"), (F.greatest("ax", "bx") + hw).alias("xmax"),
-        (F.least("ay", "by") - hw).alias("ymin"), (F.greatest("ay", "by") + hw).alias("ymax"),
-    )
+    return cut.select(
+        "*", (F.least(x0, x1) - hw).alias("xmin"), (F.greatest(x0, x1) + hw).alias("xmax"),
+        (F.least(y0, y1) - hw).alias("ymin"), (F.greatest(y0, y1) + hw).alias("ymax"),
+    ).drop("_of", "_piece")
 
 
 def join_count(points: DataFrame, roads: DataFrame, size: float) -> DataFrame:
     """Every point with ``join_count``, the number of road strips it lies on."""
-    # a block can only hold points on the strip when its centre is within half a diagonal of it
-    touches = within_segment(
-        F.col("_mx"), F.col("_my"), F.col("half_width") + F.lit(size * 0.7072)
-    )
     met = block_join(
-        points, road_boxes(roads), size, within_segment(F.col("x"), F.col("y")), ["id"], "left",
-        touches=touches,
+        points, road_boxes(roads, size), size, within_segment(F.col("x"), F.col("y")), ["id"], "left"
     )
-    return met.groupBy(*points.columns).agg(F.count("road_id").alias("join_count"))
+    # pieces of one road may meet a point in the same block: a road counts once
+    return met.groupBy(*points.columns).agg(F.count_distinct("road_id").alias("join_count"))
 
 
 def inside_box() -> Column:

@@ -93,39 +93,58 @@ def hop_distances(hops, u, v):
     return hops
 
 
-def shifted(grids, dc, dr, fill):
-    """Stacked grids as seen from one step away: ``out[:, r, c] = grids[:, r + dr, c + dc]``."""
-    padded = np.pad(grids, ((0, 0), (1, 1), (1, 1)), constant_values=fill)
-    _, rows, cols = grids.shape
-    return padded[:, 1 + dr:1 + dr + rows, 1 + dc:1 + dc + cols]
-
-
-def cost_surfaces(height, start, directions, straight, diagonal):
+def cost_surfaces(height, start, directions, straight, diagonal, target=None):
     """Least accumulated cost from the ``start`` cell of each stacked window, and the way back.
 
     One step costs the mean of the two heights times the step length; NaN cells are closed.
     The way back is a direction code, 0 at the start and where nothing arrives.
+
+    Only cells whose cost has just fallen look at their neighbours, the cheap ones first.  With
+    ``target`` a window stops at the cost of its cheapest target: dearer cells stay unreached, cells
+    up to that cost are exact.
     """
-    cost = np.full(height.shape, np.inf)
-    windows = np.arange(len(height))
-    cost[windows, start[0], start[1]] = np.where(
-        np.isnan(height[windows, start[0], start[1]]), np.inf, 0.0
-    )
-    steps = []
-    for code, dc, dr in directions:
-        length = diagonal if dc and dr else straight
-        step = (height + shifted(height, dc, dr, np.nan)) / 2.0 * length
-        steps.append((code, dc, dr, np.where(np.isnan(step), np.inf, step)))
-    while True:
-        best = cost
-        for _, dc, dr, step in steps:
-            best = np.minimum(best, shifted(cost, dc, dr, np.inf) + step)
-        if np.array_equal(best, cost):
-            break
-        cost = best
-    back = np.zeros(height.shape, dtype=np.int64)
-    for code, dc, dr, step in reversed(steps):
-        via = shifted(cost, dc, dr, np.inf) + step
-        back = np.where(np.isfinite(cost) & (via == cost), code, back)
-    back[windows, start[0], start[1]] = 0
-    return cost, back
+    count, rows, cols = height.shape
+    # a closed border of one cell; positions are those of the flattened padded windows
+    padded = np.pad(height, ((0, 0), (1, 1), (1, 1)), constant_values=np.nan)
+    shape = padded.shape
+    area, width = shape[1] * shape[2], shape[2]
+    h = padded.reshape(-1)
+    cost = np.full(h.size, np.inf)
+    steps = [(code, dr * width + dc, (diagonal if dc and dr else straight) / 2.0) for code, dc, dr in directions]
+    origin = np.arange(count) * area + (start[0] + 1) * width + start[1] + 1
+    active = origin[~np.isnan(h[origin])]
+    cost[active] = 0.0
+    bound = np.full(count, np.inf)
+    aim = None if target is None else np.pad(target, ((0, 0), (1, 1), (1, 1))).reshape(-1)
+    known = h[~np.isnan(h)]
+    stride = float(known.mean()) * diagonal if known.size else 1.0  # about one step
+    limit = stride
+    while active.size:
+        if aim is not None:
+            active = active[cost[active] <= bound[active // area]]
+        near = cost[active] < limit
+        if not near.any():
+            if active.size:
+                limit = float(cost[active].min()) + stride
+            continue
+        now, later = active[near], [active[~near]]
+        for _, offset, half in steps:
+            to = now + offset
+            via = cost[now] + (h[now] + h[to]) * half
+            better = via < cost[to]  # false where the height is NaN
+            to, via = to[better], via[better]
+            cost[to] = via  # cells differ, and so do their neighbours at one offset
+            if aim is not None and to.size:
+                hit = aim[to]
+                np.minimum.at(bound, to[hit] // area, via[hit])
+            later.append(to)
+        active = np.unique(np.concatenate(later))
+    grid = cost.reshape(shape)
+    back = np.zeros(h.size, dtype=np.int64)
+    reached = np.flatnonzero(np.isfinite(cost))
+    for code, offset, half in reversed(steps):
+        via = cost[reached + offset] + (h[reached + offset] + h[reached]) * half
+        back[reached[via == cost[reached]]] = code
+    back[origin] = 0
+    inner = (slice(None), slice(1, -1), slice(1, -1))
+    return grid[inner], back.reshape(shape)[inner]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratagrid.functions.columns import base_name, hillshade_name
@@ -68,8 +68,12 @@ def next_batch(candidates: DataFrame, ledger: DataFrame, batch_size: int) -> Dat
     )
 
 
-def status_rows(batch: DataFrame, located: DataFrame, store: str, shade_folder: str) -> DataFrame:
-    """Ledger rows of a batch: file name and path of the point's tile, or out of bounds."""
+def status_rows(batch: DataFrame, located: DataFrame, store: str, shade_folder: str,
+                added: Column | None = None) -> DataFrame:
+    """Ledger rows of a batch: file name and path of the point's tile, or out of bounds.
+
+    ``added`` is the time of insertion, by default now.
+    """
     tile = located.select("id", "tilename", "ascii_path")
     missing = F.lit("Out of Bounds")
     hit = F.col("tilename").isNotNull()
@@ -82,4 +86,5 @@ def status_rows(batch: DataFrame, located: DataFrame, store: str, shade_folder:
         "processed", "main_file_id",
         F.when(hit, F.col("x")).alias("x_location"),
         F.when(hit, F.col("y")).alias("y_location"),
+        (F.current_timestamp() if added is None else added).alias("added"),
     )

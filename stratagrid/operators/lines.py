@@ -32,11 +32,11 @@ def nearest_region(regions: DataFrame, keys: list[str]) -> DataFrame:
     ).select(*keys, "n.fid", "n.gridcode", "n.cx", "n.cy", "n.dist")
 
 
-def side_lines(ends: DataFrame, order: str) -> DataFrame:
+def side_lines(ends: DataFrame, order: str, *carried: str) -> DataFrame:
     """Polyline of each structure through its side points, in order of ``order``."""
     return ends.groupBy("id").agg(F.sort_array(F.collect_list(
         F.struct(F.col(order).alias("ord"), F.col("cx").alias("x"), F.col("cy").alias("y"))
-    )).alias("v")).select("id", F.transform("v", lambda p: F.struct(p.x.alias("x"), p.y.alias("y"))).alias("line"))
+    )).alias("v"), *[F.first(c).alias(c) for c in carried]).select("id", *carried, F.transform("v", lambda p: F.struct(p.x.alias("x"), p.y.alias("y"))).alias("line"))
 
 
 def vertices(lines: DataFrame, *columns: str) -> DataFrame:

@@ -10,13 +10,14 @@ from stratagrid.operators.joins import block_join
 from stratagrid.scratch import Rounds, lookup
 
 
-def near_table(points: DataFrame, targets: DataFrame, k: int, size: float) -> DataFrame:
+def near_table(points: DataFrame, targets: DataFrame, k: int, size: float | None = None) -> DataFrame:
     """The ``k`` nearest targets of every point: ``(in_id, near_id, near_dist, near_rank)``.
 
     ``points`` is ``(in_id, x, y)``, ``targets`` ``(near_id, nx, ny)``.  A point first meets the
-    targets within ``size``; if that square holds fewer than ``k`` targets inside the searched
-    radius, only this point goes on with a square of twice the width.  Distance ties take the
-    lesser id.
+    targets within ``size``, by default the half-width of a square that holds ``k`` targets on average,
+    in whatever unit the coordinates have; if that square holds fewer than ``k`` targets inside the
+    searched radius, only this point goes on with a square of twice the width.  Points are copied to
+    the blocks their square touches; targets stay as they are.  Distance ties take the lesser id.
     """
     rounds = Rounds(points.sparkSession)
     pending = rounds.put("pending", points.select("in_id", "x", "y"))
@@ -25,25 +26,29 @@ def near_table(points: DataFrame, targets: DataFrame, k: int, size: float) -> Da
     # of targets on one spot only the k least ids can be among the nearest k
     spot = Window.partitionBy("nx", "ny").orderBy("near_id")
     targets = rounds.put("target", targets.select(
-        "near_id", "nx", "ny", F.row_number().over(spot).alias("spot_rank")
+        "near_id", F.col("nx").alias("x"), F.col("ny").alias("y"), F.row_number().over(spot).alias("spot_rank")
     ).filter(F.col("spot_rank") <= k).drop("spot_rank"))
-    if not rounds.seen:
+    count = rounds.seen
+    if not count:
         return _empty(pending)
-    box = pending.select("x", "y").union(targets.select("nx", "ny")).agg(
+    width, height = pending.select("x", "y").union(targets.select("x", "y")).agg(
         F.max("x") - F.min("x"), F.max("y") - F.min("y")
     ).first()
-    extent = max(box)
+    extent = max(width, height)
+    if size is None:
+        size = max(width * height * k / count, (extent * k / count) ** 2) ** 0.5 or 1.0
     nearest = Window.partitionBy("in_id").orderBy("near_dist", "near_id")
     found = None
     while True:
-        squares = targets.select(
-            "*", (F.col("nx") - size).alias("xmin"), (F.col("nx") + size).alias("xmax"),
-            (F.col("ny") - size).alias("ymin"), (F.col("ny") + size).alias("ymax"),
+        squares = pending.select(
+            "in_id", F.col("x").alias("px"), F.col("y").alias("py"),
+            (F.col("x") - size).alias("xmin"), (F.col("x") + size).alias("xmax"),
+            (F.col("y") - size).alias("ymin"), (F.col("y") + size).alias("ymax"),
         )
-        reached = (F.abs(F.col("x") - F.col("nx")) <= size) & (F.abs(F.col("y") - F.col("ny")) <= size)
-        ranked = block_join(pending, squares, size, reached, ["in_id"]).select(
+        reached = (F.abs(F.col("x") - F.col("px")) <= size) & (F.abs(F.col("y") - F.col("py")) <= size)
+        ranked = block_join(targets, squares, 2 * size, reached, ["near_id"]).select(
             "in_id", "near_id",
-            distance(F.col("x"), F.col("y"), F.col("nx"), F.col("ny")).alias("near_dist"),
+            distance(F.col("px"), F.col("py"), F.col("x"), F.col("y")).alias("near_dist"),
         ).withColumn("near_rank", F.row_number().over(nearest)).filter(F.col("near_rank") <= k)
         whole = size >= extent
         enough = F.lit(True) if whole else (

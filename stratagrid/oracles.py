@@ -158,6 +158,23 @@ oracle("plan_batch", """select fid, coalesce(tilename, 'Out of Bounds') as file_
   case when tilename is not null then x end as x_location, case when tilename is not null then y end as y_location
   from batch left join tile_of using (id)""", DEM, STRUCTURES, ROADS, TILES, TILE_OF, JOIN_COUNT, YOUNG,
        batch_cte("(select structures.* from structures join counted using (id) where join_count > 0)"))
+oracle("ledger_batch_append", """select fid, file_name, null as file_path, ftp, processed, main_file_id,
+  null::double as x_location, null::double as y_location from ledger union all
+  select fid, coalesce(tilename, 'Out of Bounds'),
+  coalesce('shade/' || replace(split_part(ascii_path, '/', 3), '.tif', '_Hillshade.tif'), 'Out of Bounds'),
+  coalesce('store/' || ascii_path, 'Out of Bounds'), processed, main_file_id,
+  case when tilename is not null then x end, case when tilename is not null then y end
+  from batch left join tile_of using (id)""", DEM, STRUCTURES, ROADS, TILES, TILE_OF, JOIN_COUNT, YOUNG, LEDGER,
+       batch_cte("(select structures.* from structures join counted using (id) where join_count > 0)"))
+oracle("sheet_ids", "select id, x, y from structures", STRUCTURES)
+oracle("sheet_written", "select id from structures", STRUCTURES)
+oracle("features_written", "select id, x, y from structures", STRUCTURES)
+oracle("copied_selection", "select id, join_count from counted where join_count > 0", STRUCTURES, ROADS, JOIN_COUNT)
+oracle("polylines_inserted", """select road_id as id, 0::bigint as vertex, c0 + 0.5::double as x,
+  -(road_row + 0.5::double) as y from roads
+  union all select road_id, 1, c1 + 0.5::double, -(road_row + 0.5::double) from roads""", ROADS)
+oracle("raster_saved", "select col, row, z from dem", DEM)
+oracle("field_of_type", "select id, main_file_id::double as elev from structures", STRUCTURES)
 oracle("ledger_append_rows", """select fid, file_name, ftp, processed, main_file_id from ledger union all
   select id + 1, coalesce(tilename, 'Out of Bounds'), coalesce('store/' || ascii_path, 'Out of Bounds'), 32, main_file_id
   from structures left join tile_of using (id)""", DEM, STRUCTURES, TILES, TILE_OF, LEDGER)
@@ -254,7 +271,7 @@ TARGETS = """targets as materialized (
   select id, col, row, z from (
     select *, min(z) over (partition by id) as low from win
     where circle and (zone is null or zone <> own_zone)) where abs(z - low) < 0.001)"""
-WINDOWS = (DEM, ZONES, STRUCTURES, OWN, windows("own", 3, "zones"))
+WINDOWS = (DEM, ZONES, STRUCTURES, OWN, windows("own", 6, "zones"))
 oracle("window_cells", "select id, col, row, z from win", *WINDOWS)
 oracle("circle_cells", "select id, col, row, z from win where circle", *WINDOWS)
 oracle("value_at_point", "select id, own_zone as zone from own", DEM, ZONES, STRUCTURES, OWN)
@@ -319,8 +336,10 @@ oracle("side_nearest", "select id, side, fid, gridcode, round(d, 6) as dist from
 oracle("side_lines", """select id, row_number() over (partition by id order by side) - 1 as vertex, cx as x, cy as y
   from sides""", *SHADED_A, SIDES)
 oracle("focus_region", "select id, fid, gridcode, round(d, 6) as dist from focus", *SHADED_B, dark("cells_b"), FOCUS)
-oracle("focus_region_flag", """select dark.id, dark.fid, dark.gridcode, dark.fid = focus.fid as diss
-  from dark join focus using (id)""", *SHADED_B, dark("cells_b"), FOCUS)
+oracle("focus_region_flag", """select id, fid, gridcode, chosen and row_number() over (
+    partition by id, chosen order by d, gridcode, fid) = 1 as diss from (
+  select *, row_number() over (partition by id order by gridcode, fid) <= 5 as chosen from dark)""",
+       *SHADED_B, dark("cells_b"))
 
 
 def ends(pieces: str, focus: str) -> str:
@@ -431,11 +450,12 @@ oracle("sink_points", "select pointid, x, y, fzone, elev, mpcount, round(d, 6) a
 # ---------------------------------------------------------------- cost paths
 # costs are doubled: (za + zb) * weight, integral
 
-COST = """step_cost as materialized (
-  select a.id, a.row * 100 + a.col as s, b.row * 100 + b.col as t, code,
-         (a.z + b.z) * (case when dc <> 0 and dr <> 0 then 14 else 10 end) as w
-  from (select * from win where z > 0) a, steps, win b
-  where b.id = a.id and b.col = a.col + dc and b.row = a.row + dr and b.z > 0),
+COST = """looks as materialized (
+  select id, row * 100 + col as s, (row + dr) * 100 + col + dc as t, code, z,
+         case when dc <> 0 and dr <> 0 then 14 else 10 end as f
+  from win, steps where z > 0 and col + dc between 0 and 99),
+heights as materialized (select id, row * 100 + col as t, z as zt from win where z > 0),
+step_cost as materialized (select id, s, t, code, (z + zt) * f as w from looks join heights using (id, t)),
 cst(id, cell, k) using key (id, cell) as (
   select id, srow * 100 + scol, 0 from win where col = scol and row = srow and z > 0
   union
@@ -463,7 +483,7 @@ oracle("flow_paths", """select id, step::bigint as step, cell % 100 as col, cell
 oracle("flow_path_lines", """select id, zone, step::bigint as vertex, cell % 100 + 0.5::double as x,
   -(cell // 100 + 0.5::double) as y from paths join (select pointid, fzone as zone from dedup) on pointid = id""",
        *SINKS, "starts as (select pointid as id, pointid % 100 as col, pointid // 100 as row, fzone as own_zone from dedup)",
-       windows("starts", 3, "fz"), TARGETS, COST, PATHS)
+       windows("starts", 6, "fz"), TARGETS, COST, PATHS)
 
 # ---------------------------------------------------------------- structure lines
 

@@ -40,6 +40,7 @@ def road_crossing_lines(structures: DataFrame, roads: DataFrame, dem: DataFrame,
     The two sides are the greatest and least part that keep rank ``keep``.  On each side the
     nearest of the darkest shade regions is one end.  With a single part both ends coincide.
     """
+    structures = materialize(structures)  # read five times below
     parts = parts_off_road(structures, roads, radius, grid)
     ends = ranked_cells(parts, keep, grid).filter("part = max_part or part = min_part").withColumn(
         "one_sided", F.col("max_part") == F.col("min_part")
@@ -54,8 +55,7 @@ def road_crossing_lines(structures: DataFrame, roads: DataFrame, dem: DataFrame,
     near_dem = raster.near_cells(dem, structures, radius + 2 * grid.cell, grid)
     regions = shade_regions(sided, raster.hillshade(near_dem, grid), keys, grid)
     located = lines.darkest(regions, ["id", "side"], darkest).join(structures.select("id", "x", "y"), "id")
-    near = materialize(lines.nearest_region(located, keys))
-    flags = near.groupBy("id").agg(F.first("one_sided").alias("one_sided"))
-    return lines.side_lines(near, "side").join(flags, "id").join(
+    near = lines.nearest_region(located, keys)
+    return lines.side_lines(near, "side", "one_sided").join(
         structures.select("id", "main_file_id"), "id"
     ).select("id", "main_file_id", "one_sided", "line")

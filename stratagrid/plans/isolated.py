@@ -20,6 +20,7 @@ def isolated_lines(structures: DataFrame, roads: DataFrame, dem: DataFrame, grid
     Start: the nearest of the darkest shade regions.  End: the nearest dissolved dark part that
     lies nearer to the structure than to the start, or the structure itself.
     """
+    structures = materialize(structures)  # read five times below
     parts = parts_off_road(structures, roads, radius, grid)
     largest = ranked_cells(parts, keep, grid).filter("part = max_part").select("id", "col", "row")
     near_dem = raster.near_cells(dem, structures, radius + 2 * grid.cell, grid)

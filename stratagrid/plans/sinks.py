@@ -78,7 +78,7 @@ def pour_and_min_points(zones: DataFrame, inflow: DataFrame, grid: GridSpec):
 
 
 def sink_points(zones: DataFrame, inflow: DataFrame, grid: GridSpec, k: int = 5,
-                size: float = 16.0) -> DataFrame:
+                size: float | None = None) -> DataFrame:
     """One minimum point per zone: ``(pointid, x, y, fzone, elev, near_dist, mpcount)``."""
     pour, low = pour_and_min_points(zones, inflow, grid)
     pour, low = materialize(pour), materialize(low)
@@ -117,6 +117,7 @@ def flow_windows(points: DataFrame, dem: DataFrame, zones: DataFrame, radius: fl
 def flow_path_lines(points: DataFrame, dem: DataFrame, zones: DataFrame, radius: float,
                     grid: GridSpec, straight: float = 1.0, diagonal: float = math.sqrt(2.0)) -> DataFrame:
     """``(id, zone, line)``: the least-cost way from each point to the lowest cell outside its zone."""
+    points, zones = materialize(points), materialize(zones)  # both read twice below
     windows = flow_windows(points, dem, zones, radius, grid)
     paths = cost.flow_paths(windows, grid, straight, diagonal, is_spread=True)
     own = raster.cell_value_at(points.select("id", "x", "y"), zones.select("col", "row", "zone"), grid)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,25 +13,26 @@ from stratagrid.operators import cost, fields, ledger as led, lines, nearest, ra
 from stratagrid.operators import joins
 from stratagrid.operators.components import components, group_components
 from stratagrid.plans import batch, classify, crossing, isolated, sinks
-from stratagrid.scratch import materialize
+from stratagrid.scratch import materialize, scratch_dir
 from stratagrid.ship import ship_package
 from stratagrid.sources import fixtures as fx
-from stratagrid.sources.tables import append_lines
+from stratagrid.sources import tables as tab
+from stratagrid.sources.tables import append_lines, table_state
 
 RADIUS_A, RADIUS_B = 5.0, 4.0  # buffers round structures on / off a road
 KEEP_A, KEEP_B = 2.0, 1.0  # part ranks kept
 DARK_A, DARK_B = 30, 5  # darkest regions considered
 FRACTION = 0.5  # value threshold
 MORE_THAN = 3  # cells a fill zone must exceed
-FLOW_RADIUS = 3.0  # circle of the flow targets; the window is twice as wide
+FLOW_RADIUS = 6.0  # circle of the flow targets; the window is twice as wide
 STRAIGHT, DIAGONAL = 10.0, 14.0  # integral step weights, exact in any engine
-NEAR_K, NEAR_SIZE = 5, 16.0
+NEAR_K = 5
 BATCH = 500
 JOIN_SIZE = 25.0
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-_terrains: dict[tuple[str, str], sinks.Terrain] = {}
+_terrains: dict[tuple, sinks.Terrain] = {}
 
 
 def query(run: Query) -> Query:
@@ -43,8 +45,9 @@ def query(run: Query) -> Query:
 
 
 def terrain(spark: SparkSession, sf_dir: str) -> sinks.Terrain:
-    """The saved rasters of one input, shared by the queries of a session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The saved rasters of one input, shared by the queries of a session while its files stay the same."""
+    files = table_state(spark, f"{sf_dir}/orders.parquet")
+    key = (spark.sparkContext.applicationId, sf_dir, files)
     if key not in _terrains:
         _terrains[key] = sinks.Terrain(fx.dem(spark, sf_dir), fx.grid_of(spark, sf_dir))
     return _terrains[key]
@@ -214,7 +217,83 @@ def _plan(spark, sf):
 
 @query
 def plan_batch(spark, sf):
-    return _plan(spark, sf)
+    return _plan(spark, sf).drop("added")
+
+
+def _folder(spark, name):
+    """A new folder in the shared scratch."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def ledger_batch_append(spark, sf):
+    """Plan a batch, append it to a written ledger, read the ledger back; the time is left out."""
+    path = _folder(spark, "ledger")
+    old = fx.ledger(spark, sf)
+    missing = [f for f in tab.LEDGER_SCHEMA if f.name not in old.columns]
+    tab.append_ledger(old.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing]), path)
+    tab.append_ledger(_plan(spark, sf), path)
+    return tab.read_ledger(spark, path).select(
+        "fid", "file_name", "file_path", "ftp", "processed", "main_file_id", "x_location", "y_location")
+
+
+@query
+def sheet_ids(spark, sf):
+    """Write an interchange sheet with its columns in another order and read it by name."""
+    path = _folder(spark, "sheet")
+    fx.structures(spark, sf).select(F.col("x").alias("X"), F.col("y").alias("Y"), F.col("id").alias("Id")).write.csv(
+        path, header=True)
+    return tab.read_sheet(spark, path, ("Id", "X", "Y")).select(
+        F.col("Id").alias("id"), F.col("X").alias("x"), F.col("Y").alias("y"))
+
+
+@query
+def sheet_written(spark, sf):
+    path = _folder(spark, "sheet")
+    tab.write_sheet(fx.structures(spark, sf).select(F.col("id").alias("Id"), F.col("x").alias("X"), F.col("y").alias("Y")),
+                    path)
+    return tab.read_sheet(spark, path).select(F.col("Id").alias("id"))
+
+
+@query
+def features_written(spark, sf):
+    path = _folder(spark, "points")
+    tab.write_features(fx.structures(spark, sf).select("id", "x", "y"), path)
+    return tab.scan(spark, path, ["id", "x", "y"])
+
+
+@query
+def copied_selection(spark, sf):
+    """Points on a road, selected, copied to a table of their own, and read back."""
+    path = _folder(spark, "selected")
+    tab.write_features(classify.on_road(fx.structures(spark, sf), fx.roads(spark, sf), JOIN_SIZE), path)
+    return tab.scan(spark, path, ["id", "join_count"])
+
+
+@query
+def polylines_inserted(spark, sf):
+    """Lines of the roads appended to a line table and read back vertex by vertex."""
+    path = _folder(spark, "lines")
+    ends = F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")),
+                   F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))
+    tab.append_rows(fx.roads(spark, sf).select(F.col("road_id").alias("id"), ends.alias("line")), path)
+    return lines.vertices(spark.read.parquet(path), "id")
+
+
+@query
+def raster_saved(spark, sf):
+    """The elevation raster saved by place and read back."""
+    path = _folder(spark, "raster")
+    tab.save_raster(fx.dem(spark, sf), path, F.expr("concat(row div 1000, '_', col div 1000)"))
+    return spark.read.parquet(path).select("col", "row", "z")
+
+
+@query
+def field_of_type(spark, sf):
+    """Fields added with the type that a field of another table has, found without regard to case."""
+    points, zones_ = fx.structures(spark, sf), fx.zones(spark, sf)
+    kind = fields.field_type(zones_.withColumn("elev", F.col("z").cast("double")), "ELEV")
+    return points.select("id", F.col("main_file_id").cast(kind).alias("elev"))
 
 
 @query
@@ -452,11 +531,11 @@ def target_cells(spark, sf):
 # ---------------------------------------------------------------- nearest neighbours
 
 def _near(spark, sf):
-    pour, low = zone_points(spark, sf)
+    pour, low = map(materialize, zone_points(spark, sf))
     near = nearest.near_table(
         low.select(F.col("pointid").alias("in_id"), "x", "y"),
         pour.select(F.col("pointid").alias("near_id"), F.col("x").alias("nx"), F.col("y").alias("ny")),
-        NEAR_K, NEAR_SIZE,
+        NEAR_K,
     )
     return pour, low, near
 
@@ -648,7 +727,7 @@ def _fill_zones(spark, sf):
 
 def _sinks(spark, sf):
     t = terrain(spark, sf)
-    return sinks.sink_points(_fill_zones(spark, sf), t.accumulation, t.grid, NEAR_K, NEAR_SIZE)
+    return sinks.sink_points(_fill_zones(spark, sf), t.accumulation, t.grid, NEAR_K)
 
 
 @query

@@ -9,21 +9,51 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def scratch_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a temporary folder only for a local session."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    is_local = context.master.startswith("local")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or _set_by_code(spark)
     if configured:
+        if not is_local and _file_system(spark, configured) == "file":
+            raise RuntimeError(f"{configured} lies on each machine's own disk; name a folder that all share")
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
+    app = context.applicationId
     if app not in _local_dirs:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         _local_dirs[app] = tempfile.mkdtemp(prefix="stratagrid-")
     return _local_dirs[app]
 
 
+def _set_by_code(spark: SparkSession) -> str | None:
+    """The folder given to ``SparkContext.setCheckpointDir``."""
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return folder.get() if folder.isDefined() else None
+
+
+def _file_system(spark: SparkSession, path: str) -> str:
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).getScheme()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any file system that Spark reads."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all tables that this session's queries have written; their DataFrames end here."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
+
+
 def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back.
 
@@ -33,6 +63,7 @@ def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = path or f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -69,23 +100,61 @@ class Rounds:
 
     def sweep(self) -> None:
         """Delete replaced tables; call when no later step reads them."""
-        jvm = self._spark.sparkContext._jvm
-        conf = self._spark.sparkContext._jsc.hadoopConfiguration()
         for path in self._stale:
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(conf).delete(target, True)
+            remove(self._spark, path)
         self._stale = []
 
 
+TASK_BYTES = 64 << 20  # a left side of this size needs no salts: one task can hold all of it
+HOT_KEYS = 10_000  # at most this many keys can be hot: a hot key has over a HOT_KEYS-th of the rows
+
+
+def leaf_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that a plan reads, as far as Spark knows; no job runs."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
+def hot_keys(left: DataFrame, keys: list[str], task_bytes: int | None = None) -> DataFrame | None:
+    """``(keys, _salts)`` for the keys that need more than one task, by their counted rows.
+
+    None when the side is small.  At most ``HOT_KEYS`` rows, whatever the data.
+    """
+    size = leaf_bytes(left)
+    if size <= (TASK_BYTES if task_bytes is None else task_bytes):
+        return None
+    rows = left.count()
+    most = max(1, rows // HOT_KEYS)
+    return materialize(
+        left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most)
+        .select(*keys, F.ceil(F.col("_n") / most).cast("int").alias("_salts"))
+    )
+
+
+def salted(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame, salt_by: list[str],
+           right_keys: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_salt`` / ``_copy``: left rows of a hot key are dealt out by a hash of their own
+    ``salt_by`` columns (a retried task repeats it), right rows of a hot key are copied to each salt."""
+    few = F.broadcast(hot)  # at most HOT_KEYS rows
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in salt_by])
+    dealt = left.join(few, keys, "left").withColumn(
+        "_salt", F.coalesce(F.pmod(hashed, F.col("_salts")), F.lit(0)).cast("int")).drop("_salts")
+    named = right_keys or keys
+    renamed = F.broadcast(hot.withColumnsRenamed(dict(zip(keys, named))))
+    copies = right.join(renamed, named, "left").withColumn(
+        "_copy", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return dealt, copies
+
+
 def lookup(left: DataFrame, right: DataFrame, key: str, salt_by: str | list[str],
-           how: str = "inner", salts: int = 8) -> DataFrame:
+           how: str = "inner", task_bytes: int | None = None) -> DataFrame:
     """Join ``left`` to ``right`` on ``key``, which is unique in ``right`` but may be hot in ``left``.
 
-    Each left row takes a salt from a hash of its own ``salt_by`` columns (deterministic, so a
-    retried task repeats it) and the smaller right side is copied once per salt.
+    Only keys whose counted rows need it are salted, each as far as its rows need; without hot keys
+    nothing is copied.
     """
-    columns = [salt_by] if isinstance(salt_by, str) else salt_by
-    hashed = ", ".join(f"`{c}`" for c in columns)
-    salted = left.selectExpr("*", f"cast(pmod(xxhash64({hashed}), {salts}) as int) as _salt")
-    copies = right.selectExpr("*", f"explode(sequence(0, {salts - 1})) as _salt")
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+    hot = hot_keys(left, [key], task_bytes)
+    if hot is None:
+        return left.join(right, key, how)
+    dealt, copies = salted(left, right, [key], hot, [salt_by] if isinstance(salt_by, str) else salt_by)
+    return dealt.join(copies.withColumnRenamed("_copy", "_salt"), [key, "_salt"], how).drop("_salt")

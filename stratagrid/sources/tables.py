@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LEDGER_SCHEMA = T.StructType([
@@ -30,6 +31,15 @@ def scan(spark: SparkSession, path: str, columns: list[str], where: str | None =
     return (df.filter(where) if where else df).select(*columns)
 
 
+def table_state(spark: SparkSession, path: str) -> str:
+    """Names, lengths and times of a table's files: another string once the table is rewritten."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(context._jsc.hadoopConfiguration())
+    return ";".join(
+        f"{s.getPath().getName()},{s.getLen()},{s.getModificationTime()}" for s in system.listStatus(target))
+
+
 def write_features(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -40,7 +50,12 @@ def write_sheet(points: DataFrame, path: str) -> None:
 
 
 def read_sheet(spark: SparkSession, path: str, columns: tuple[str, ...] = ("Id",)) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=POINT_SCHEMA).select(*columns)
+    """Columns of a sheet found by the names in its header, in any order; a missing one raises."""
+    sheet = spark.read.csv(path, header=True)
+    missing = [c for c in columns if c not in sheet.columns]
+    if missing:
+        raise ValueError(f"sheet {path} lacks {missing}; it has {sheet.columns}")
+    return sheet.select(*[F.col(f"`{c}`").cast(POINT_SCHEMA[c].dataType).alias(c) for c in columns])
 
 
 def append_rows(df: DataFrame, path: str) -> None:
