@@ -32,6 +32,7 @@ TEMPLATES = (
      "compliance with the license", "apache-2"),
     ("this program is free software you can redistribute it and or modify it under the terms of the gnu "
      "general public license", "gpl"),
+    ("licensed under the gnu general public license", "gpl"),
     ("redistribution and use in source and binary forms with or without modification are permitted "
      "provided that the following conditions are met", "bsd"),
     ("this work is licensed under a creative commons attribution noncommercial", "cc-by-nc"),
@@ -79,7 +80,7 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", b
         F.arrays_zip(F.concat(w, F.array(F.lit(None).cast("string"))).alias("w0"), *shifted[1:]))
     ).select("row", "doc_id", "n_words", "pos", *[F.col(f"col.w{j}").alias(f"w{j}") for j in range(K)]
              ).withColumn("gram", F.xxhash64(*[f"w{j}" for j in range(K)]))
-    table = _template_grams(docs.sparkSession, base, templates)
+    table = F.broadcast(_template_grams(docs.sparkSession, base, templates))  # as large as the caller's list
     same = " and ".join(f"w{j} = t{j}" for j in range(K))
     votes = grams.join(table, "gram", "left").filter(f"pos = n_words or (template is not null and {same})")
     # count by diagonal; the closing element of each document votes for none and keeps its row
