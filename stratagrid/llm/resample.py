@@ -113,10 +113,11 @@ def log_weight(text: Column, ratios: np.ndarray) -> Column:
     def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             column = pa.array(texts, pa.string(), from_pandas=True)
-            out = np.zeros(len(column))
+            out = np.full(len(column), np.nan)
             for begin, bucket, first in _buckets(column):
-                upto = np.append(0.0, np.cumsum(ratios[bucket]))
-                out[begin:begin + len(first) - 1] = np.where(np.diff(first) > 0, np.diff(upto[first]), np.nan)
+                rows = np.flatnonzero(np.diff(first))
+                if len(rows):  # each row summed on its own: the same in every batch
+                    out[begin + rows] = np.add.reduceat(ratios[bucket], first[rows])
             yield pd.Series(out)
 
     weight = weigh(text)
