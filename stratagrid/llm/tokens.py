@@ -12,7 +12,7 @@ import os
 import re
 from array import array
 
-CACHE = 1 << 20  # chunks a worker keeps at most
+CACHE = 1 << 18  # chunks a worker keeps at most
 _UNSAFE = re.compile(r"\s (?:\s|$)")  # white space around a space: cutting there would split a run
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )")
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks but the apostrophe, which may open a piece
