@@ -103,13 +103,10 @@ def _op6_sql() -> str:
     lower = f"translate(coalesce(url, ''), '{urls.UPPER}', '{urls.LOWER}')"
     soft = " + ".join(f"cast(regexp_matches(low, '{_TERM.format(t)}') as bigint)" for t in urls.SOFT)
     strict = " + ".join(f"cast({_strict_count(t)} as bigint)" for t in urls.STRICT)
-    cases = " ".join(
-        f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{{}}'".replace(
-            "{}", h + p if out == "rule" else v)
-        for out in ("rule",) for v, h, p in sorted(urls.RULES, key=lambda r: -len(r[1] + r[2])))
-    verdicts = " ".join(
-        f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{v}'"
-        for v, h, p in sorted(urls.RULES, key=lambda r: -len(r[1] + r[2])))
+    ranked = sorted(urls.RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = "(host = '{0}' or ends_with(host, '.{0}')) and starts_with(path, '{1}')"
+    cases = " ".join(f"when {fits.format(h, p)} then '{h + p}'" for _, h, p in ranked)
+    verdicts = " ".join(f"when {fits.format(h, p)} then '{v}'" for v, h, p in ranked)
     return f"""
 with p as (select page_id, {lower} as low,
   translate(coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), ''), '{urls.UPPER}', '{urls.LOWER}') as host,
@@ -135,6 +132,39 @@ select doc_id, len(words) as n_words, len(words) - coalesce(n, 0) as n_removed,
   sha256(coalesce(body, '')) as kept_sha256 from t left join k using (r)
 """
 
+def _op7_sql() -> str:
+    phrases = [(*p, True) for p in licenses.BASE_PHRASES] + [(*p, False) for p in licenses.TEMPLATES]
+    grams = ", ".join(
+        f"({n}, '{label}', {base}, {len(w)}, {t}, '{' '.join(w[t:t + 3])}')"
+        for n, (phrase, label, base) in enumerate(phrases) for w in [phrase.split()] for t in range(len(w) - 2))
+    return f"""
+with d as (select row_number() over () as r, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') as words from documents),
+q(template, label, base, n, t, gram) as (values {grams}),
+g as (select r, i - 1 as pos, array_to_string(words[i:i + 2], ' ') as gram
+      from (select r, words, unnest(generate_series(1, len(words) - 2)) as i from d where len(words) > 2)),
+v as (select r, template, label, base, n, t, pos - t as diagonal from g join q using (gram)),
+a as (select distinct r, template, base, diagonal from v),
+l as (select *, case when base or lag(diagonal) over w is null or diagonal - lag(diagonal) over w > 2 then 1 else 0 end as new
+      from a window w as (partition by r, template order by diagonal)),
+s as (select *, sum(new) over (partition by r, template order by diagonal) as span from l),
+c as (select v.r, v.template, v.label, v.base, v.n, span, min(v.diagonal) as first_diagonal,
+        count(distinct v.t) as matched, len(list_distinct(flatten(list([v.t, v.t + 1, v.t + 2])))) as covered
+      from v join s on s.r = v.r and s.template = v.template and s.diagonal = v.diagonal group by 1, 2, 3, 4, 5, 6),
+k as (select *, base and matched = n - 2 as whole, covered / n::double as coverage from c),
+f as (select r, count(*) filter (whole) as n_base, min(first_diagonal) filter (whole) as first_word,
+        max(first_diagonal) filter (whole) as last_word,
+        list_sort(list(distinct label) filter (whole)) as base_labels,
+        list_sort(list(distinct label) filter (whole or (not base and coverage >= 0.6))) as labels,
+        max(coverage) as score from k group by r)
+select doc_id, len(words) as n_words, coalesce(n_base, 0) as n_base, cast(first_word as bigint) as first_word,
+  cast(last_word as bigint) as last_word, coalesce(array_to_string(base_labels, ','), '') as base_labels,
+  coalesce(array_to_string(labels, ','), '') as labels, coalesce(score, 0.0::double) as score
+from d left join f using (r)
+"""
+
+
 _OP9 = """
 with recursive t as (select doc_id, row_number() over () as r, list_filter(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -153,5 +183,5 @@ select doc_id, coalesce(n, 0) as n_shingles, component_id, coalesce(set_size, 1)
 from t join m using (r) left join n using (r) left join z using (r)
 """
 
-ORACLES: dict[str, str] = {"op2_top_k": _OP2, "op3_exact_dedup": _OP3, "op6_url_filter": _op6_sql(),
+ORACLES: dict[str, str] = {"op2_top_k": _OP2, "op3_exact_dedup": _OP3, "op6_url_filter": _op6_sql(), "op7_license_scan": _op7_sql(),
                            "op9_jaccard_join": _OP9, "op10_substring_dedup": _OP10}
