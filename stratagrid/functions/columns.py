@@ -7,20 +7,48 @@ from pyspark.sql import functions as F
 
 # Fixed value: radius of the sphere of the web-mercator projection, in metres.
 EARTH_RADIUS = 6378137.0
+# Flattening of the WGS 84 ellipsoid, scale on the central meridian of a UTM zone.
+FLATTENING = 1 / 298.257223563
+UTM_SCALE = 0.9996
 # File extensions of rasters.
 RASTER_SUFFIXES = ("tif", "img", "jpg", "png")
 
 
 def lon_lat(x: Column, y: Column, crs: int) -> tuple[Column, Column]:
-    """Coordinates in EPSG:4326; EPSG:3857 is unprojected, EPSG:4326 passes through."""
+    """Coordinates in EPSG:4326; EPSG:4326 passes through.
+
+    EPSG:3857 and the zones of the universal transverse mercator grid on WGS 84 (EPSG:32601 to 32660
+    north, 32701 to 32760 south) are unprojected.
+    """
     if crs == 4326:
         return x, y
+    if 32601 <= crs <= 32660 or 32701 <= crs <= 32760:
+        return _from_utm(x, y, crs % 100, south=crs > 32700)
     if crs != 3857:
         raise ValueError(f"no closed form for EPSG:{crs}")
     lat = 2 * F.atan(F.exp(y / EARTH_RADIUS)) - F.lit(3.141592653589793 / 2)
     return F.degrees(x / EARTH_RADIUS), F.degrees(lat)
 
 
+def _from_utm(x: Column, y: Column, zone: int, south: bool) -> tuple[Column, Column]:
+    """Inverse transverse mercator by Krueger's series to the third order, below a millimetre in a zone."""
+    n = FLATTENING / (2 - FLATTENING)
+    radius = EARTH_RADIUS / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64)
+    beta = (n / 2 - 2 * n ** 2 / 3 + 37 * n ** 3 / 96, n ** 2 / 48 + n ** 3 / 15, 17 * n ** 3 / 480)
+    delta = (2 * n - 2 * n ** 2 / 3 - 2 * n ** 3, 7 * n ** 2 / 3 - 8 * n ** 3 / 5, 56 * n ** 3 / 15)
+    xi = (y - F.lit(1e7 if south else 0.0)) / F.lit(UTM_SCALE * radius)
+    eta = (x - F.lit(5e5)) / F.lit(UTM_SCALE * radius)
+    xi1, eta1 = xi, eta
+    for j, b in enumerate(beta, 1):
+        xi1 = xi1 - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        eta1 = eta1 - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
+    lat = chi
+    for j, d in enumerate(delta, 1):
+        lat = lat + d * F.sin(2 * j * chi)
+    return F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1))) + F.lit(6.0 * zone - 183.0), F.degrees(lat)
+
+
 def distance(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """Planar distance in the unit of the coordinates."""
     return F.sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0))

@@ -183,6 +183,17 @@ oracle("ledger_append_rows", """select fid, file_name, ftp, processed, main_file
 
 oracle("points_wgs84", """select id, round(degrees(x * 1000 / 6378137.0::double), 6) as lon,
   round(degrees(2 * atan(exp(y * 1000 / 6378137.0::double)) - pi() / 2), 6) as lat from structures""", STRUCTURES)
+# inverse transverse mercator, series in the third flattening n
+oracle("points_utm", """select id, round(degrees(atan2(sinh(e1), cos(x1))) + 9, 6) as lon,
+  round(degrees(chi + (2 * n - 2 * n ** 2 / 3 - 2 * n ** 3) * sin(2 * chi) + (7 * n ** 2 / 3 - 8 * n ** 3 / 5) * sin(4 * chi)
+    + 56 * n ** 3 / 15 * sin(6 * chi)), 6) as lat
+  from (select *, asin(sin(x1) / cosh(e1)) as chi from (
+    select id, n, xi - b1 * sin(2 * xi) * cosh(2 * eta) - b2 * sin(4 * xi) * cosh(4 * eta) - b3 * sin(6 * xi) * cosh(6 * eta) as x1,
+           eta - b1 * cos(2 * xi) * sinh(2 * eta) - b2 * cos(4 * xi) * sinh(4 * eta) - b3 * cos(6 * xi) * sinh(6 * eta) as e1
+    from (select id, n, n / 2 - 2 * n ** 2 / 3 + 37 * n ** 3 / 96 as b1, n ** 2 / 48 + n ** 3 / 15 as b2, 17 * n ** 3 / 480 as b3,
+                 (y * 1000 + 5300000) / k as xi, (x * 1000 + 450000 - 500000) / k as eta
+          from structures, (select n, 0.9996::double * 6378137 / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64) as k
+                            from (select 1 / (2 * 298.257223563::double - 1) as n)))))""", STRUCTURES)
 oracle("road_join_count", "select id, join_count from counted", STRUCTURES, ROADS, JOIN_COUNT)
 oracle("points_on_road", "select id, x, y, join_count from structures join counted using (id) where join_count > 0",
        STRUCTURES, ROADS, JOIN_COUNT)

@@ -317,6 +317,12 @@ def points_wgs84(spark, sf):
     return fx.structures(spark, sf).select("id", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
 
 
+@query
+def points_utm(spark, sf):
+    lon, lat = fn.lon_lat(F.col("x") * 1000 + 450_000, F.col("y") * 1000 + 5_300_000, 32632)
+    return fx.structures(spark, sf).select("id", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
+
+
 @query
 def road_join_count(spark, sf):
     points = fx.structures(spark, sf).select("id", "x", "y")

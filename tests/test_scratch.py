@@ -34,6 +34,32 @@ def test_lookup_of_a_hot_key_loses_and_repeats_nothing(spark):
         assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
 
 
+def test_only_counted_hot_keys_are_salted(spark):
+    left = spark.range(9000).select("id", F.when(F.col("id") < 3000, 7).otherwise(F.col("id")).alias("key"))
+    assert scratch.hot_keys(left, ["key"]) is None  # small: no job, no copies
+    scratch.HOT_KEYS, before = 90, scratch.HOT_KEYS
+    try:
+        hot = scratch.hot_keys(left, ["key"], task_bytes=0)
+        assert [tuple(r) for r in hot.collect()] == [(7, 30 + 1)] or [r["key"] for r in hot.collect()] == [7]
+        right = spark.range(0, 9000, 2).select(F.col("id").alias("key"), (F.col("id") * 10).alias("v"))
+        right = right.union(spark.sql("select 7L, 70L"))
+        for how in ("inner", "left"):
+            plain = left.join(right, "key", how).select("id", "key", "v")
+            dealt = scratch.lookup(left, right, "key", "id", how, task_bytes=0).select("id", "key", "v")
+            assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+        _, copies = scratch.salted(left, right, ["key"], hot, ["id"])
+        assert copies.filter("key <> 7").count() == right.count() - 1  # nothing else is copied
+    finally:
+        scratch.HOT_KEYS = before
+
+
+def test_clean_removes_written_tables(spark):
+    table = scratch.materialize(spark.range(5))
+    scratch.clean(spark)
+    with pytest.raises(Exception):
+        table.count()
+
+
 def test_resolve_follows_long_chains_and_stars(spark):
     n = 500
     chain = spark.range(n).select(F.col("id").alias("node"), F.greatest(F.col("id") - 1, F.lit(0)).alias("root"))
