@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 
 from stratagrid.llm import sketch
 from stratagrid.llm.words import rolling, slices, text_bytes, window_min, word_hashes, word_spans
+from stratagrid.scratch import HOT_KEYS, materialize
 
 WIDTH = 50
 HELD = 1 << 22  # windows that a task holds at most before it settles and sends them
 ROWS = 50_000
+CROWD = 1000  # rows from which on an anchor may count as hot
 _NO_ID = np.iinfo(np.int64).max  # a null id comes after all others
 
 
@@ -148,11 +150,7 @@ def _removals(keyed: DataFrame, width: int, repeated) -> DataFrame:
             if not len(open_rows):
                 continue
             sent = batch.take(pa.array(open_rows))
-            windows = sent.column("windows").cast(pa.large_binary())
-            ends = np.frombuffer(windows.buffers()[1], np.int64)[windows.offset:windows.offset + len(windows) + 1]
-            keys = np.frombuffer(windows.buffers()[2], np.uint8)[ends[0]:ends[-1]].copy().view(np.uint64)
-            counts = np.diff(ends) // 8
-            more = np.arange(len(keys)) - np.repeat(np.cumsum(counts) - counts, counts)
+            keys, counts, more = _unfolded(sent)
             spread = lambda c: np.repeat(sent.column(c).to_numpy(), counts)
             held.append((keys, spread("anchor"), spread("id"), spread("text_hash"), spread("start") + more))
         if not held:
@@ -162,7 +160,38 @@ def _removals(keyed: DataFrame, width: int, repeated) -> DataFrame:
         if gone.any():
             yield _run_batch(ids[gone], hashes[gone], at[gone])
 
-    return keyed.mapInArrow(send, _SENT).repartition("anchor").mapInArrow(settle, _RUN)
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, counts, more = _unfolded(batch)
+            spread = lambda c: np.repeat(batch.column(c).to_numpy(), counts)
+            offsets = pa.py_buffer((np.arange(len(keys) + 1) * 8).astype(np.int32).tobytes())
+            yield pa.record_batch([
+                pa.array(spread("kind")), pa.array(spread("anchor")), pa.array(spread("id")),
+                pa.array(spread("text_hash")), pa.array((spread("start") + more).astype(np.int32)),
+                pa.Array.from_buffers(pa.binary(), len(keys), [None, offsets, pa.py_buffer(keys.tobytes())]),
+                pa.array(keys.view(np.int64))], ["kind", "anchor", "id", "text_hash", "start", "windows", "key"])
+
+    sent = materialize(keyed.mapInArrow(send, _SENT))
+    crowds = sent.filter("kind = 0").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    rows = sent.filter("kind = 0").count()
+    # an anchor inside a very common passage also stands for the windows that reach beyond it: those
+    # travel one by one.  At most HOT_KEYS anchors have more than that share of the rows
+    hot = materialize(crowds.filter(F.col("n") > max(CROWD, rows // HOT_KEYS)).select("anchor", F.lit(True).alias("hot")))
+    marked = sent.join(F.broadcast(hot), "anchor", "left").withColumn(
+        "hot", F.col("hot").isNotNull() & (F.col("kind") == 0))
+    columns = ["kind", "anchor", "id", "text_hash", "start", "windows"]
+    whole = marked.filter("not hot").select(*columns, F.col("anchor").alias("key"))
+    single = marked.filter("hot").select(*columns).mapInArrow(unfold, _SENT + ", key long")
+    return whole.unionByName(single).repartition("key").mapInArrow(settle, _RUN)
+
+
+def _unfolded(sent: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Window hashes of a batch of runs, the number in each run, and each one's place in its run."""
+    windows = sent.column("windows").cast(pa.large_binary())
+    ends = np.frombuffer(windows.buffers()[1], np.int64)[windows.offset:windows.offset + len(windows) + 1]
+    keys = np.frombuffer(windows.buffers()[2], np.uint8)[ends[0]:ends[-1]].copy().view(np.uint64)
+    counts = np.diff(ends) // 8
+    return keys, counts, np.arange(len(keys)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 def drop_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,

@@ -408,6 +408,18 @@ def test_repeated_windows(docs, texts, width, cells):
     assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_text") == cut([t[:2] for t in texts], width)
 
 
+def test_a_passage_in_most_documents(spark, monkeypatch):
+    """Windows that reach beyond a common passage share its anchors: they are dealt out one by one."""
+    monkeypatch.setattr(substrings, "CROWD", 10)
+    monkeypatch.setattr(substrings, "HOT_KEYS", 100_000)
+    rng = random.Random(21)
+    passage = prose(rng, 70)
+    rows = [(i, f"{prose(rng, rng.randrange(5, 40))} {passage} {prose(rng, rng.randrange(5, 40))}") for i in range(150)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = substrings.drop_repeated_windows(table)
+    assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_text") == cut(rows, 50)
+
+
 def test_repeated_windows_of_nothing(spark):
     assert substrings.drop_repeated_windows(empty(spark)).count() == 0
 
