@@ -117,3 +117,10 @@ def with_block(cells: DataFrame, grid: GridSpec) -> DataFrame:
     return cells.selectExpr(
         "*", f"floor(col / {grid.block}) as bc", f"floor(row / {grid.block}) as br"
     )
+
+
+def with_tile(cells: DataFrame, grid: GridSpec, tile_blocks: int) -> DataFrame:
+    """Adds the key of the stored tile, ``tile_blocks`` blocks wide."""
+    wide = grid.block * tile_blocks
+    return cells.selectExpr(
+        "*", f"cast(floor(col / {wide}) as int) as tile_col", f"cast(floor(row / {wide}) as int) as tile_row")

@@ -10,7 +10,7 @@ from stratagrid.grid import DIRECTIONS, GridSpec, neighbourhood, with_block
 from stratagrid.operators.components import components
 from stratagrid.operators.joins import block_join
 from stratagrid.operators.vector import boxes, disc
-from stratagrid.scratch import lookup
+from stratagrid.scratch import lookup, materialize
 
 CELL = ["col", "row"]
 
@@ -93,17 +93,24 @@ def value_regions(cells: DataFrame, grid: GridSpec, value: str) -> DataFrame:
     return components(cells, grid, value=value, neighbours=4)
 
 
-def cell_value_at(points: DataFrame, raster: DataFrame, grid: GridSpec) -> DataFrame:
-    """Raster value under each point; points off the raster or on NoData drop out."""
+def cell_value_at(points: DataFrame, raster: DataFrame, grid: GridSpec, tile_blocks: int = 16) -> DataFrame:
+    """Raster value under each point; points off the raster or on NoData drop out.
+
+    Of a raster saved by place, only the tiles under points are read.
+    """
     at = points.withColumn("col", grid.col_at()).withColumn("row", grid.row_at())
+    if {"tile_col", "tile_row"} <= set(raster.columns):
+        raster = near_cells(raster, points, 0.0, grid, tile_blocks)
     return at.join(raster, CELL)
 
 
-def near_cells(raster: DataFrame, points: DataFrame, reach: float, grid: GridSpec) -> DataFrame:
+def near_cells(raster: DataFrame, points: DataFrame, reach: float, grid: GridSpec,
+               tile_blocks: int = 16) -> DataFrame:
     """Raster cells in the blocks that lie within ``reach`` of a point.
 
-    A semi join on the block key, so that a costly operator runs only where results are needed;
-    a raster stored by block is read only there.
+    A semi join on the block key, so that a costly operator runs only where results are needed.  The
+    wanted blocks are written first, so that the planner knows how few they are; of a raster saved by
+    place (``tables.save_raster`` with the same ``tile_blocks``) only their tiles are then read.
     """
     boxed = boxes(points.select("x", "y"), reach)
     cols = F.sequence(*_block_range(grid.col_at("xmin"), grid.col_at("xmax"), grid.ncol, grid))
@@ -111,7 +118,16 @@ def near_cells(raster: DataFrame, points: DataFrame, reach: float, grid: GridSpe
     wanted = boxed.select(F.explode(cols).alias("bc"), "ymin", "ymax").select(
         "bc", F.explode(rows).alias("br")
     ).distinct()
-    return with_block(raster, grid).join(wanted, ["bc", "br"], "left_semi").drop("bc", "br")
+    keys = ["bc", "br"]
+    if {"tile_col", "tile_row"} <= set(raster.columns):
+        # the plain filter tells the optimizer that these keys can prune the partitions of the raster
+        wanted = wanted.selectExpr("*", f"cast(floor(bc / {tile_blocks}) as int) as tile_col",
+                                   f"cast(floor(br / {tile_blocks}) as int) as tile_row")
+        wanted = materialize(wanted).filter("tile_col >= 0 and tile_row >= 0")
+        keys += ["tile_col", "tile_row"]
+    else:
+        wanted = materialize(wanted)
+    return with_block(raster, grid).join(wanted, keys, "left_semi").drop(*keys)
 
 
 def _block_range(low: Column, high: Column, cells: int, grid: GridSpec) -> tuple[Column, Column]:

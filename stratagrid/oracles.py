@@ -174,6 +174,7 @@ oracle("polylines_inserted", """select road_id as id, 0::bigint as vertex, c0 +
   -(road_row + 0.5::double) as y from roads
   union all select road_id, 1, c1 + 0.5::double, -(road_row + 0.5::double) from roads""", ROADS)
 oracle("raster_saved", "select col, row, z from dem", DEM)
+oracle("value_at_saved_point", "select id, z from structures join dem using (col, row)", STRUCTURES, DEM)
 oracle("field_of_type", "select id, main_file_id::double as elev from structures", STRUCTURES)
 oracle("ledger_append_rows", """select fid, file_name, ftp, processed, main_file_id from ledger union all
   select id + 1, coalesce(tilename, 'Out of Bounds'), coalesce('store/' || ascii_path, 'Out of Bounds'), 32, main_file_id

@@ -102,13 +102,16 @@ def flow_windows(points: DataFrame, dem: DataFrame, zones: DataFrame, radius: fl
     ``points`` is ``(id, x, y)``.  The window is a square of half-width ``2 * radius``; targets lie
     in the circle of ``radius``.  Points on no zone drop out.
     """
-    own = raster.cell_value_at(
+    own = materialize(raster.cell_value_at(
         points.select("id", "x", "y"), zones.select("col", "row", F.col("zone").alias("own_zone")), grid
     ).select(
         "id", F.col("x").alias("px"), F.col("y").alias("py"), F.col("col").alias("start_col"),
         F.col("row").alias("start_row"), "own_zone",
-    )
-    zoned = dem.join(zones.select("col", "row", "zone"), ["col", "row"], "left")
+    ))
+    # only what a window can touch is joined and cut
+    around = own.select(F.col("px").alias("x"), F.col("py").alias("y"))
+    here = raster.near_cells(dem, around, 2.0 * radius, grid)
+    zoned = here.join(zones.select("col", "row", "zone"), ["col", "row"], "left")
     windows = raster.window_cells(own, zoned, 2.0 * radius, 2.0 * radius, grid)
     # one shuffle by point serves the target search and the path search
     return cost.flow_targets(spread(windows, "id"), raster.in_circle(radius, grid))

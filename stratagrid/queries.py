@@ -284,8 +284,18 @@ def polylines_inserted(spark, sf):
 def raster_saved(spark, sf):
     """The elevation raster saved by place and read back."""
     path = _folder(spark, "raster")
-    tab.save_raster(fx.dem(spark, sf), path, F.expr("concat(row div 1000, '_', col div 1000)"))
-    return spark.read.parquet(path).select("col", "row", "z")
+    tab.save_raster(fx.dem(spark, sf), path, fx.grid_of(spark, sf))
+    return tab.read_raster(spark, path).select("col", "row", "z")
+
+
+@query
+def value_at_saved_point(spark, sf):
+    """Elevation under each structure, from a raster saved by place."""
+    path, grid = _folder(spark, "raster"), fx.grid_of(spark, sf)
+    tab.save_raster(fx.dem(spark, sf), path, grid, tile_blocks=1)
+    return raster.cell_value_at(
+        fx.structures(spark, sf).select("id", "x", "y"), tab.read_raster(spark, path), grid, tile_blocks=1
+    ).select("id", "z")
 
 
 @query

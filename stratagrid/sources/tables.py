@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratagrid.grid import GridSpec, with_tile
+
 LEDGER_SCHEMA = T.StructType([
     T.StructField("fid", T.LongType()),
     T.StructField("file_name", T.StringType()),
@@ -67,10 +69,21 @@ def append_lines(lines: DataFrame, more: DataFrame) -> DataFrame:
     return lines.unionByName(more, allowMissingColumns=True)
 
 
-def save_raster(cells: DataFrame, path: str, tile) -> None:
-    """Write a raster by tile, so that a window reads only the tiles it touches."""
-    cells.withColumn("tile", tile).repartition("tile").sortWithinPartitions("tile", "row", "col") \
-        .write.mode("overwrite").partitionBy("tile").parquet(path)
+def save_raster(cells: DataFrame, path: str, grid: GridSpec, tile_blocks: int = 16) -> None:
+    """Write a raster by place: partitioned by tiles ``tile_blocks`` blocks wide, sorted by row inside.
+
+    Several tasks write a tile, one for each stripe of its block rows, so that a tile may be thousands
+    of cells wide.  ``raster.near_cells`` reads only the tiles it needs.
+    """
+    placed = with_tile(cells, grid, tile_blocks)
+    stripe = F.floor(F.col("row") / F.lit(grid.block))
+    placed.repartition("tile_col", "tile_row", stripe).sortWithinPartitions("tile_col", "tile_row", "row", "col") \
+        .write.mode("overwrite").partitionBy("tile_col", "tile_row").parquet(path)
+
+
+def read_raster(spark: SparkSession, path: str) -> DataFrame:
+    """A raster saved by place, with its ``tile_col`` and ``tile_row``."""
+    return spark.read.parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

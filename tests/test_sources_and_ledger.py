@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from stratagrid.operators import ledger as led
+from stratagrid.grid import GridSpec
+from stratagrid.operators import ledger as led, raster
 from stratagrid.plans.batch import plan_batch
 from stratagrid.sources import tables
 
@@ -33,10 +34,17 @@ def test_lines_and_rasters_round_trip(spark, tmp_path):
     tables.append_rows(line, str(tmp_path / "lines"))
     assert spark.read.parquet(str(tmp_path / "lines")).count() == 2
     cells = spark.range(16).selectExpr("id % 4 as col", "id div 4 as row", "id as value")
-    tables.save_raster(cells, str(tmp_path / "raster"), F.expr("(row div 2) * 2 + col div 2"))
-    assert sorted(d for d in os.listdir(tmp_path / "raster") if d.startswith("tile=")) == [f"tile={i}" for i in range(4)]
-    back = spark.read.parquet(str(tmp_path / "raster")).filter("tile = 3")
-    assert sorted(r.value for r in back.collect()) == [10, 11, 14, 15]
+    grid = GridSpec(ncol=4, nrow=4, block=1)
+    tables.save_raster(cells, str(tmp_path / "raster"), grid, tile_blocks=2)
+    assert sorted(d for d in os.listdir(tmp_path / "raster") if d.startswith("tile")) == ["tile_col=0", "tile_col=1"]
+    back = tables.read_raster(spark, str(tmp_path / "raster"))
+    assert sorted(r.value for r in back.filter("tile_col = 1 and tile_row = 1").collect()) == [10, 11, 14, 15]
+    # few points: the scan is pruned by place and the raster is not exchanged
+    points = spark.createDataFrame([(2.5, -2.5)], "x double, y double")
+    near = raster.near_cells(back, points, 0.0, grid, tile_blocks=2)
+    assert [r.value for r in near.collect()] == [10]
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "hashpartitioning" not in plan
 
 
 def test_append_lines_fills_missing_columns(spark):
