@@ -131,17 +131,18 @@ def top_k(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
     """
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("v"))
     slices = materialize(_store(rows, SLICE, scale))
-    asked = _store(rows.filter(F.col("id") % every == 0), BLOCK, scale).select(
-        *[F.col(c).alias(f"q_{c}") for c in ("slice", "n", "dims", "ids", "exact")])
-    blocks = materialize(asked)
-    numbers = blocks.select("q_slice").distinct()
-    groups = max(1, slices.count() // GROUP)
+    blocks = materialize(_store(rows.filter(F.col("id") % every == 0), BLOCK, scale).select(
+        *[F.col(c).alias(f"q_{c}") for c in ("slice", "n", "dims", "ids", "exact")]))
+    # block numbers from 0; only the numbers pass through the window
+    numbers = materialize(blocks.select("q_slice").withColumn(
+        "turn", F.row_number().over(Window.orderBy("q_slice")).cast("long") - 1))
+    turns, groups = numbers.count(), max(1, slices.count() // GROUP)
+    every_turn = F.sequence(F.lit(0).cast("long"), F.lit(turns - 1).cast("long"))
+    every_group = F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))
     # a stated query set against all rows, in blocks: each group of slices meets each block of queries
-    placed = slices.withColumn("group", F.pmod(F.xxhash64("slice"), F.lit(groups)))
-    turns = numbers.agg(F.collect_list("q_slice").alias("turns"))
-    met = placed.crossJoin(F.broadcast(turns)).withColumn("q_slice", F.explode("turns")).drop("turns").join(
-        blocks.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))),
-        ["group", "q_slice"])
+    asked = blocks.join(numbers, "q_slice").withColumn("group", F.explode(every_group))
+    met = slices.withColumn("group", F.pmod(F.xxhash64("slice"), F.lit(groups))).withColumn(
+        "turn", F.explode(every_turn if turns else F.array().cast("array<bigint>"))).join(asked, ["group", "turn"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
