@@ -4,8 +4,8 @@
    global order puts shingles of one document first, then orders by hash; any such order is exact, and
    this one fills the prefixes of most documents with shingles that no other document has.
 2. Equal shingle sets are one node, so copies are never compared.  A node sends its prefix shingles
-   that may be shared.  Every list of nodes with a common prefix shingle first meets at two leaders;
-   then, and only where a list still holds several components, the pairs across components are made.
+   that may be shared.  Every list of nodes with a common prefix shingle first meets its leaders, in two
+   rounds; then, and only where a list still holds several components, pairs across components are made.
    Pairs within a component are not needed for components, which are the whole result.
 3. A pair must pass the length filter, the positional filter (shingles left after the common one) and
    the suffix filter (shingles per section of the order bound the overlap) before its two sets are
@@ -22,14 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratagrid.llm import sketch
-from stratagrid.llm.keyset import KeySet, key_set
+from stratagrid.llm.keyset import key_set
 from stratagrid.llm.words import mix, rolling, slices, word_hashes
 from stratagrid.operators.graph import connect
 from stratagrid.scratch import Rounds, materialize
 
 SHINGLE = 5
 PERCENT = 80
-SECTIONS = 16
+LED_ROUNDS = 2  # rounds in which a list only meets its leaders, before pairs across components
+SECTIONS = 256
 _A, _B = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
 
@@ -60,6 +61,7 @@ def _nodes(docs: DataFrame, width: int, percent: int, repeated) -> DataFrame:
         for batch in batches:
             n = len(batch)
             size, nodes, sections = np.zeros(n, np.int64), [None] * n, [None] * n
+            share = np.zeros(n)
             lengths, sent, shared_grams, places = np.zeros(n, np.int64), np.zeros(n, bool), [], []
             for row, grams in _sets(batch.column("body"), width):
                 size[row] = len(grams)
@@ -77,18 +79,19 @@ def _nodes(docs: DataFrame, width: int, percent: int, repeated) -> DataFrame:
                 sent[row], lengths[row] = True, len(shared)
                 shared_grams.append(shared.view(np.int64))
                 places.append(np.arange(rare, take, dtype=np.int32))
-                sections[row] = np.bincount((grams >> np.uint64(60)).astype(np.int64), minlength=SECTIONS)
+                sections[row] = np.bincount((grams >> np.uint64(56)).astype(np.int64), minlength=SECTIONS)
+                share[row] = often.mean()
             flat = pa.StructArray.from_arrays([
                 pa.array(np.concatenate(shared_grams) if places else np.zeros(0, np.int64)),
                 pa.array(np.concatenate(places) if places else np.zeros(0, np.int32))], ["gram", "place"])
             prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), flat)
             yield pa.record_batch([
                 batch.column("doc_id"), batch.column("text_hash"), pa.array(size), pa.array(nodes, pa.binary()),
-                pa.array(sections, pa.list_(pa.int32())), prefix,
-            ], ["doc_id", "text_hash", "n", "node", "sections", "prefix"])
+                pa.array(sections, pa.list_(pa.int32())), pa.array(share), prefix,
+            ], ["doc_id", "text_hash", "n", "node", "sections", "share", "prefix"])
 
     return docs.mapInArrow(describe, "doc_id long, text_hash long, n long, node binary, sections array<int>, "
-                                     "prefix array<struct<gram: long, place: int>>")
+                                     "share double, prefix array<struct<gram: long, place: int>>")
 
 
 def _needed(percent: int) -> Column:
@@ -145,39 +148,40 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("set_size")))
     sending = some.filter("sections is not null").groupBy("node").agg(
         F.first("n").alias("n"), F.first("sections").alias("sections"), F.first("prefix").alias("prefix"),
+        F.first("share").alias("share"),
         F.min(F.xxhash64("doc_id", "text_hash")).alias("owner"))
     sending = materialize(sending)
     nodes = sending.select("node", "n", "sections")
-    lists = sending.select("node", "n", F.explode("prefix").alias("p")).select(
-        F.col("p.gram").alias("gram"), "node", "n", F.col("p.place").alias("place"))
-    lists = materialize(lists)
-    entry = F.struct("node", "n", "place")
-    heads = materialize(lists.groupBy("gram").agg(
-        F.count(F.lit(1)).alias("m"), F.min_by(entry, F.xxhash64(F.lit(1), "node")).alias("x"),
-        F.min_by(entry, F.xxhash64(F.lit(2), "node")).alias("y")).filter("m > 1"))
-    meet = lists.join(heads, "gram")
-    led = meet.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("p_a"),
-                      F.explode(F.array("x", "y")).alias("h"), "m").select(
-        "a", "n_a", "p_a", F.col("h.node").alias("b"), F.col("h.n").alias("n_b"), F.col("h.place").alias("p_b")
-    ).filter("a <> b")
-    tried = materialize(_suffix_filtered(_filtered(led, percent), nodes, percent))
+    lists = sending.select("node", "n", "share", F.explode("prefix").alias("p")).select(
+        F.col("p.gram").alias("gram"), "node", "n", "share", F.col("p.place").alias("place"),
+        F.col("node").alias("root"))
+    counted = materialize(lists)
+    several = counted.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("gram")
+    lists = materialize(counted.join(materialize(several), "gram", "left_semi"))
     # only nodes that share a list can need their sets
-    wanted = materialize(meet.select("node").distinct().join(
-        sending.select("node", "owner"), "node").select("owner"))
-    sets = _gram_sets(keyed, key_set(wanted, "owner"), width)
-    links = materialize(_verified(tried, sets, percent))
-    members = connect(links, Rounds(spark))
-    # lists that still hold several components: all pairs across them
-    placed = lists.join(heads.filter("m > 2").select("gram"), "gram", "left_semi").join(members, "node", "left").select(
-        "gram", "node", "n", "place", F.coalesce("root", "node").alias("root"))
-    placed = materialize(placed)
-    mixed = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    still = materialize(placed.join(mixed.select("gram"), "gram", "left_semi"))
-    one = still.select("gram", *[F.col(c).alias(d) for c, d in (("node", "a"), ("n", "n_a"), ("place", "p_a"), ("root", "r_a"))])
-    two = still.select("gram", *[F.col(c).alias(d) for c, d in (("node", "b"), ("n", "n_b"), ("place", "p_b"), ("root", "r_b"))])
-    across = _filtered(one.join(two, "gram").filter("a < b and r_a <> r_b"), percent)
-    rest = _suffix_filtered(across.join(tried.select("a", "b"), ["a", "b"], "left_anti"), nodes, percent)
-    more = materialize(_verified(materialize(rest), sets, percent))
+    wanted = materialize(lists.select("node").distinct().join(sending.select("node", "owner"), "node").select("owner"))
+    sets = _gram_sets(keyed, wanted, width)
+    links = tried = members = None
+    for turn in range(LED_ROUNDS):
+        pairs = _filtered(_led(lists, turn), percent)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        chosen = materialize(_suffix_filtered(pairs, nodes, percent))
+        found = materialize(_verified(chosen, sets, percent))
+        tried = chosen.select("a", "b") if tried is None else tried.unionByName(chosen.select("a", "b"))
+        links = found if links is None else links.unionByName(found)
+        members = connect(links, Rounds(spark))
+        lists = _mixed(lists, members)
+    # lists that still hold several components: all pairs across them.  One side of such a pair lies
+    # outside the list's largest component, so the crowd is never paired with itself
+    sizes = lists.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("m"))
+    crowd = materialize(sizes.groupBy("gram").agg(F.max_by("root", F.struct("m", "root")).alias("crowd")))
+    one, two = (lists.select("gram", *[F.col(c).alias(f"{d}_{x}" if d else x) for c, d in (
+        ("node", ""), ("n", "n"), ("place", "p"), ("root", "r"))]) for x in ("a", "b"))
+    few = materialize(one.join(crowd, "gram").filter("r_a <> crowd").drop("crowd"))
+    across = _filtered(few.join(two, "gram").filter("r_a <> r_b"), percent)
+    rest = materialize(_suffix_filtered(across.join(tried, ["a", "b"], "left_anti"), nodes, percent))
+    more = materialize(_verified(rest, sets, percent))
     if not more.isEmpty():
         members = connect(links.unionByName(more), Rounds(spark))
     rooted = materialize(classes.join(members, "node", "left").select(
@@ -191,10 +195,39 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         F.coalesce("set_size", F.lit(1)).cast("long").alias("set_size"), "text_hash")
 
 
-def _gram_sets(keyed: DataFrame, may: KeySet, width: int) -> DataFrame:
+def _led(lists: DataFrame, turn: int) -> DataFrame:
+    """Each node of a list with the list's leaders of another component.
+
+    First the node with the greatest share of shingles that others have, the likely original of copies,
+    and one drawn by hash; then the likely originals of the first and the last component of the list.
+    """
+    entry = F.struct("node", "n", "place", "root")
+    if turn:
+        first, second = F.struct("root", "share"), F.struct("root", -F.col("share"))
+    else:
+        first, second = F.struct("share", "node"), F.struct(F.xxhash64("node"), "node")
+    heads = materialize(lists.groupBy("gram").agg(
+        F.max_by(entry, first).alias("x"), F.min_by(entry, second).alias("y")))
+    return lists.join(heads, "gram").select(
+        F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("p_a"), "root",
+        F.explode(F.array("x", "y")).alias("h")
+    ).filter("root <> h.root").select(
+        "a", "n_a", "p_a", F.col("h.node").alias("b"), F.col("h.n").alias("n_b"), F.col("h.place").alias("p_b"))
+
+
+def _mixed(lists: DataFrame, members: DataFrame) -> DataFrame:
+    """The lists that hold several components, with every node's root."""
+    named = members.select("node", F.col("root").alias("_root"))
+    placed = materialize(lists.join(named, "node", "left").withColumn(
+        "root", F.coalesce("_root", "root")).drop("_root"))
+    several = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    return materialize(placed.join(materialize(several.select("gram")), "gram", "left_semi"))
+
+
+def _gram_sets(keyed: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``node, grams`` of the nodes that may be needed, built from the document that owns each.
 
-    A hash that shares its bit adds sets that no pair asks for.
+    A bitmap of the wanted documents keeps most others out of the join that finds them.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +240,9 @@ def _gram_sets(keyed: DataFrame, may: KeySet, width: int) -> DataFrame:
                 yield pa.record_batch([pa.array(nodes, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
                                       ["node", "grams"])
 
-    owners = keyed.filter(may.may_hold(F.xxhash64("doc_id", "text_hash"))).select("body")
+    owner = F.xxhash64("doc_id", "text_hash")
+    maybe = keyed.select(owner.alias("owner"), "body").filter(key_set(wanted, "owner").may_hold(F.col("owner")))
+    owners = maybe.join(wanted, "owner", "left_semi").dropDuplicates(["owner"]).select("body")
     return materialize(owners.mapInArrow(build, "node binary, grams array<long>"))
 
 
