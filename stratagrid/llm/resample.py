@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,19 +108,17 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 def log_weight(text: Column, ratios: np.ndarray) -> Column:
     """Log importance weight of a text; null for one without words."""
 
-    @F.pandas_udf("double")
-    def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            column = pa.array(texts, pa.string(), from_pandas=True)
+    @F.arrow_udf("double")
+    def weigh(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
             out = np.full(len(column), np.nan)
             for begin, bucket, first in _buckets(column):
                 rows = np.flatnonzero(np.diff(first))
                 if len(rows):  # each row summed on its own: the same in every batch
                     out[begin + rows] = np.add.reduceat(ratios[bucket], first[rows])
-            yield pd.Series(out)
+            yield pa.array(out)
 
-    weight = weigh(text)
-    return F.when(~F.isnan(weight), weight)
+    return F.nullif(weigh(text), F.lit(float("nan")))
 
 
 def gumbel(seed: int, *columns: Column) -> Column:
