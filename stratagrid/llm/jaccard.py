@@ -30,7 +30,8 @@ from stratagrid.scratch import Rounds, materialize
 SHINGLE = 5
 PERCENT = 80
 LED_ROUNDS = 2  # rounds in which a list only meets its leaders, before pairs across components
-SECTIONS = 256
+SECTIONS = 128
+MOST = (1 << 15) - 1  # a section that is counted no further bounds nothing
 _A, _B = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
 
@@ -79,7 +80,7 @@ def _nodes(docs: DataFrame, width: int, percent: int, repeated) -> DataFrame:
                 sent[row], lengths[row] = True, len(shared)
                 shared_grams.append(shared.view(np.int64))
                 places.append(np.arange(rare, take, dtype=np.int32))
-                sections[row] = np.bincount((grams >> np.uint64(56)).astype(np.int64), minlength=SECTIONS)
+                sections[row] = np.bincount((grams >> np.uint64(57)).astype(np.int64), minlength=SECTIONS).clip(max=MOST)
                 share[row] = often.mean()
             flat = pa.StructArray.from_arrays([
                 pa.array(np.concatenate(shared_grams) if places else np.zeros(0, np.int64)),
@@ -87,10 +88,10 @@ def _nodes(docs: DataFrame, width: int, percent: int, repeated) -> DataFrame:
             prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), flat)
             yield pa.record_batch([
                 batch.column("doc_id"), batch.column("text_hash"), pa.array(size), pa.array(nodes, pa.binary()),
-                pa.array(sections, pa.list_(pa.int32())), pa.array(share), prefix,
+                pa.array(sections, pa.list_(pa.int16())), pa.array(share), prefix,
             ], ["doc_id", "text_hash", "n", "node", "sections", "share", "prefix"])
 
-    return docs.mapInArrow(describe, "doc_id long, text_hash long, n long, node binary, sections array<int>, "
+    return docs.mapInArrow(describe, "doc_id long, text_hash long, n long, node binary, sections array<smallint>, "
                                      "share double, prefix array<struct<gram: long, place: int>>")
 
 
@@ -100,20 +101,38 @@ def _needed(percent: int) -> Column:
     return F.floor((total + (100 + percent - 1)) / (100 + percent))
 
 
-def _filtered(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct ``a < b`` of the prefix matches that pass the length and positional filters."""
+def _near(percent: int) -> Column:
+    """The length and positional filters of a prefix match."""
     length = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
     left = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b"))
-    return pairs.filter(length & (left >= _needed(percent))).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return length & (left >= _needed(percent))
+
+
+def _ordered() -> list[Column]:
+    """A pair with its lesser node first."""
+    swap = F.col("a") > F.col("b")
+    return [F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x)
+            for x, y in (("a", "b"), ("b", "a"), ("n_a", "n_b"), ("n_b", "n_a"))]
+
+
+def _filtered(pairs: DataFrame, percent: int) -> DataFrame:
+    """Distinct ``a < b`` of the prefix matches that pass the length and positional filters."""
+    return pairs.filter(_near(percent)).select(*_ordered()[:2]).distinct()
+
+
+def _suffix_bound() -> Column:
+    """Greatest overlap that the section counts ``s_a`` and ``s_b`` allow; without bound where one is cut off."""
+    least = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"),
+                        lambda x, y: x + y)
+    return F.when(F.greatest(F.array_max("s_a"), F.array_max("s_b")) < MOST, least).otherwise(
+        F.least("n_a", "n_b"))
 
 
 def _suffix_filtered(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
                                   F.col("sections").alias(f"s_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    bound = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    return both.filter(bound >= _needed(percent)).select("a", "b", "n_a", "n_b")
+    return both.filter(_suffix_bound() >= _needed(percent)).select("a", "b", "n_a", "n_b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -178,9 +197,14 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     crowd = materialize(sizes.groupBy("gram").agg(F.max_by("root", F.struct("m", "root")).alias("crowd")))
     one, two = (lists.select("gram", *[F.col(c).alias(f"{d}_{x}" if d else x) for c, d in (
         ("node", ""), ("n", "n"), ("place", "p"), ("root", "r"))]) for x in ("a", "b"))
-    few = materialize(one.join(crowd, "gram").filter("r_a <> crowd").drop("crowd"))
-    across = _filtered(few.join(two, "gram").filter("r_a <> r_b"), percent)
-    rest = materialize(_suffix_filtered(across.join(tried, ["a", "b"], "left_anti"), nodes, percent))
+    few = one.join(crowd, "gram").filter("r_a <> crowd").drop("crowd")
+    # the section counts travel with the lists, so that all three filters hold back pairs in the join
+    sections = lambda x: nodes.select(F.col("node").alias(x), F.col("sections").alias(f"s_{x}"))
+    few, two = materialize(few.join(sections("a"), "a")), materialize(two.join(sections("b"), "b"))
+    met = few.join(two, "gram").filter(F.col("r_a") != F.col("r_b")).filter(_near(percent)).filter(
+        _suffix_bound() >= _needed(percent))
+    across = met.select(*_ordered()).distinct()
+    rest = materialize(across.join(tried, ["a", "b"], "left_anti"))
     more = materialize(_verified(rest, sets, percent))
     if not more.isEmpty():
         members = connect(links.unionByName(more), Rounds(spark))
