@@ -20,6 +20,7 @@ def _odd(n: int) -> np.ndarray:
 _BYTE = _odd(256)
 _PLACE = _odd(_LONGEST)
 _FAR = _odd(_LONGEST)
+_FAR[0] = 1  # a word hashes alike whether or not a very long one is near
 _STEP = _odd(64)
 for _b in b" \t\n\x0b\x0c\r":
     _BYTE[_b] = 0
@@ -83,7 +84,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     values = (_LOWERED if lower else _BYTE)[data[starts[0]:]]
     values *= _PLACE[place % _LONGEST]
     if (ends - starts).max() > _LONGEST:  # a second key tells the stretches of a very long word apart
-        values *= _FAR[(place // _LONGEST) % _LONGEST] | np.uint64(1)
+        values *= _FAR[(place // _LONGEST) % _LONGEST]
     return mix(np.add.reduceat(values, starts - starts[0]))
 
 

@@ -434,3 +434,25 @@ def test_word_hashes_tell_words_apart():
     assert len(set(hashes.tolist())) == len(set(expected)) and len(hashes) == len(expected)
     lowered, _ = words.word_hashes(column, lower=True)
     assert lowered[0] == lowered[5] and hashes[0] != hashes[5]
+
+
+def test_a_very_long_word_leaves_its_neighbours_hashes():
+    alone, _ = words.word_hashes(pa.array(["a b", "c" * 4096]))
+    beside, _ = words.word_hashes(pa.array(["a b", "c" * 4096, "e" * 9000]))
+    assert alone.tolist() == beside[:3].tolist()
+    far, _ = words.word_hashes(pa.array(["e" * 4096 + "f" * 4096, "f" * 4096 + "e" * 4096, "e" * 8192]))
+    assert len(set(far.tolist())) == 3
+
+
+def test_copies_of_a_very_long_words_neighbours(spark):
+    """Rows beside a word of 9,000 bytes, and their copies and near copies in another partition."""
+    rng = random.Random(31)
+    left = [(i, prose(rng, 120, 5000)) for i in range(12)] + [(12, "e" * 9000)]
+    near = [(d + 100, t.replace(" ", " new ", 1)) for d, t in left[:6]]
+    rows = left + near + [(d + 200, t) for d, t in left[6:12]]
+    table = spark.createDataFrame(spark.sparkContext.parallelize(left, 1), "doc_id long, text string").unionByName(
+        spark.createDataFrame(spark.sparkContext.parallelize(rows[len(left):], 1), "doc_id long, text string"))
+    got = jaccard.similar_components(table)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == components_of(rows)
+    cut_rows = substrings.drop_repeated_windows(table)
+    assert rows_of(cut_rows, "doc_id", "n_words", "n_removed", "kept_text") == cut(rows, 50)
