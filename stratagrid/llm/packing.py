@@ -9,7 +9,6 @@ the leftovers of ``MERGED`` tasks.
 
 from __future__ import annotations
 
-import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -24,8 +23,9 @@ from stratagrid.scratch import materialize
 
 CAPACITY, OPEN_WINDOWS, CUT_GAP, MERGED = 2048, 64, 32, 8
 _TASK = 1 << 32  # sequence numbers of one task
-_COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+_BATCH_ROWS, _BATCH_BYTES = 20_000, 1 << 23  # pieces that a task holds before it hands them on
+_COLUMNS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
 class OpenWindows:
@@ -66,10 +66,10 @@ class OpenWindows:
 def place(pieces: Iterator[tuple], windows: OpenWindows, cut_gap: int) -> Iterator[list[tuple]]:
     """Place ``(doc_id, start, ids, doc_tokens)`` pieces online; yields the windows that close.
 
-    In a window a piece is ``(doc_id, start, length, crc, doc_tokens, offset)``.
+    In a window a piece is ``(doc_id, start, length, ids, doc_tokens, offset)``.
     """
     def piece(doc_id, start, ids, doc_tokens):
-        return doc_id, start, len(ids) // 4, zlib.crc32(ids), doc_tokens
+        return doc_id, start, len(ids) // 4, ids, doc_tokens
 
     for doc_id, start, ids, doc_tokens in pieces:
         while ids:
@@ -98,12 +98,14 @@ def place(pieces: Iterator[tuple], windows: OpenWindows, cut_gap: int) -> Iterat
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None,
          end_id: int = 1, capacity: int = CAPACITY, open_windows: int = OPEN_WINDOWS,
          cut_gap: int = CUT_GAP) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
+    """One row per piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset, ids_crc32``.
 
     A document is its ids and ``end_id``; a null text is empty and has only that.  ``start`` counts the
     document's ids before the piece, ``offset`` the ids before it in its sequence, without gaps.
-    ``ids_crc32`` is over little-endian 32-bit ids.  Every id lies in one piece; repeated rows and null
-    ids are packed like any other.  Reruns over the same files agree.  Other columns are ignored.
+    ``ids`` are the piece's ids as little-endian 32-bit integers, ``ids_crc32`` is their checksum: the
+    pieces of a ``sequence_id`` in order of ``offset`` are the sequence.  Every id lies in one piece;
+    repeated rows and null ids are packed like any other.  Reruns over the same files agree.  Other
+    columns are ignored.
     """
     path = vocabulary_path(vocabulary)
     end = end_id.to_bytes(4, "little")
@@ -119,18 +121,20 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
                     ids = encode(body.as_py() or "") + end
                     yield name, 0, ids, len(ids) // 4
 
-        rows, sequence = [], 0
+        rows, held, sequence = [], 0, 0
 
         def closed(window: list[tuple], is_open: bool) -> None:
-            nonlocal sequence
+            nonlocal held, sequence
+            held += 4 * sum(p[2] for p in window)
             rows.extend((*p[:5], task * _TASK + sequence, p[5], is_open, task // MERGED) for p in window)
             sequence += 1
 
         for window in place(documents(), windows, cut_gap):
             closed(window, False)
-            if len(rows) >= 20_000:
+            if len(rows) >= _BATCH_ROWS or held >= _BATCH_BYTES:
                 yield _batch(rows)
                 rows.clear()
+                held = 0
         while windows.rooms:
             closed(windows.pop_fullest(), True)
         if rows:
@@ -153,10 +157,11 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
                             columns=_COLUMNS).astype({"doc_id": "Int64"})
 
     merged = placed.filter("open").groupBy("merge").applyInPandas(merge, _SCHEMA)
-    return placed.filter("not open").select(*_COLUMNS).unionByName(merged)
+    pieces = placed.filter("not open").select(*_COLUMNS).unionByName(merged)
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows))
-    kinds = [pa.int64()] * 7 + [pa.bool_(), pa.int64()]
+    kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3 + [pa.bool_(), pa.int64()]
     return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], [*_COLUMNS, "open", "merge"])

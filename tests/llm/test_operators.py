@@ -86,6 +86,23 @@ def test_packing_loses_no_id_and_leaves_no_gap(docs, texts, capacity, open_windo
     assert len(sequences) <= 1.3 * sum(p.length for p in pieces) / capacity + 4
 
 
+def test_packed_sequences_hold_the_ids(docs, texts):
+    """Windows that a task fills and windows of leftovers that meet later, both with their ids."""
+    pieces = packing.pack(docs, capacity=64, open_windows=4, cut_gap=4).collect()
+    possible = defaultdict(list)
+    for t in texts:
+        possible[t[0]].append(ids_of(t[1], 1))
+    sequences, total = defaultdict(bytes), 0
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert any(len(i) == p.doc_tokens and i[p.start:p.start + p.length].tobytes() == p.ids
+                   for i in possible[p.doc_id])
+        assert len(sequences[p.sequence_id]) == 4 * p.offset
+        sequences[p.sequence_id] += p.ids
+    assert all(len(s) <= 4 * 64 for s in sequences.values())
+    assert Counter(np.frombuffer(b"".join(sequences.values()), "<u4").tolist()) == Counter(
+        i for t in texts for i in ids_of(t[1], 1).tolist())
+
+
 def test_packing_an_empty_table(spark):
     assert packing.pack(empty(spark)).count() == 0
 

@@ -2,6 +2,7 @@
 
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from test_operators import components_of, ids_of, split, water_level
 
@@ -57,6 +58,13 @@ def test_mix_and_packing(stages):
     assert sum(r.length for r in stages["pack"].collect()) == tokens
 
 
+def test_the_last_stage_holds_the_corpus(stages):
+    """The packed ids are those of the mixed texts, also where several rows have one doc_id."""
+    ids = lambda rows: np.bincount(np.concatenate(rows))
+    packed = ids([np.frombuffer(r.ids, "<u4") for r in stages["pack"].collect()])
+    assert packed.tolist() == ids([ids_of(r.text, 1) for r in stages["mix_sources"].collect()]).tolist()
+
+
 def test_run_is_the_stages(spark, stages):
     got = sorted(map(tuple, corpus_pipeline.run(spark, SF).select("doc_id", "start", "length", "ids_crc32").collect()))
     assert len(got) > 0 and sum(g[2] for g in got) == sum(r.length for r in stages["pack"].collect())
