@@ -78,10 +78,10 @@ def _positions(rows: DataFrame) -> DataFrame:
     sums = bucketed.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
     ahead = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = materialize(sums.select("sid", "bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("base")))
-    inside = Window.partitionBy("sid", "bucket").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    place = F.row_number().over(Window.partitionBy("sid", "bucket").orderBy("row"))
+    order = Window.partitionBy("sid", "bucket").orderBy("row", "doc_id")  # only equal rows tie
+    inside = order.rowsBetween(Window.unboundedPreceding, -1)
     running = bucketed.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0))).withColumn(
-        "place", place)
+        "place", F.row_number().over(order))
     return running.join(base, ["sid", "bucket"]).withColumn("start", F.col("base") + F.col("inner")).drop(
         "base", "inner")
 

@@ -277,6 +277,18 @@ def test_mix_meets_its_targets(spark):
     assert all(set(split(r.text)) <= set(split(original[r.doc_id])) for r in mixed)
 
 
+def test_mix_agrees_on_copies_with_other_ids(spark):
+    rng = random.Random(14)
+    rows = [(i, "a copy of one text with nine words in it", "a") for i in range(300)]
+    rows += [(i, prose(rng, rng.randrange(1, 40)), "ab"[i % 2]) for i in range(300, 450)]
+    again = []
+    for n in (1, 3, 7):
+        rng.shuffle(rows)
+        table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(n)
+        again.append(rows_of(mixing.mix(table, block_words=16), "doc_id", "source", "size", "start", "taken"))
+    assert sum(again[0].values()) == len(rows) and again[0] == again[1] == again[2]
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 64, 1000])
 def test_permuted_is_one_to_one(spark, n):
     from pyspark.sql import functions as F
