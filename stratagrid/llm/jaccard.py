@@ -152,6 +152,11 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     the whole sequence is the one shingle.  A null or wordless text has an empty set and no links.
     ``set_size`` counts the rows with the same set.  Other columns are ignored.
     """
+    return _components(docs, doc_id, text, width, percent, cells).drop("first_hash")
+
+
+def _components(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, cells: int | None) -> DataFrame:
+    """``similar_components`` and ``first_hash``: the least text hash of the component's row of least id."""
     spark = docs.sparkSession
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"),
                         F.coalesce(F.col(text), F.lit("")).alias("body"))
@@ -164,7 +169,7 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     described = materialize(_nodes(keyed, width, percent, spark.sparkContext.broadcast(repeated)))
     some = described.filter("n > 0")
     classes = materialize(some.groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("set_size")))
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("set_size")))
     sending = some.filter("sections is not null").groupBy("node").agg(
         F.first("n").alias("n"), F.first("sections").alias("sections"), F.first("prefix").alias("prefix"),
         F.first("share").alias("share"),
@@ -210,13 +215,14 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         members = connect(links.unionByName(more), Rounds(spark))
     rooted = materialize(classes.join(members, "node", "left").select(
         "node", "least", "set_size", F.coalesce("root", "node").alias("root")))
-    least = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
-    named = materialize(rooted.join(least, "root").select("node", "component_id", "set_size"))
+    least = materialize(rooted.groupBy("root").agg(F.min("least").alias("first")))
+    named = materialize(rooted.join(least, "root").select(
+        "node", F.col("first.doc_id").alias("component_id"), F.col("first.text_hash").alias("first_hash"), "set_size"))
     # a document without words has no node and keeps its own id
     return described.select("doc_id", "n", "node", "text_hash").join(named, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("set_size", F.lit(1)).cast("long").alias("set_size"), "text_hash")
+        F.coalesce("set_size", F.lit(1)).cast("long").alias("set_size"), "text_hash", "first_hash")
 
 
 def _led(lists: DataFrame, turn: int) -> DataFrame:
@@ -272,18 +278,22 @@ def _gram_sets(keyed: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE,
                      percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, with all their columns.
+    """One row of each component, with all its columns: of least id (null last), then of least text hash.
 
     Rows without words stay.  Documents whose id cannot be among those that go pass without a shuffle.
     """
-    found = similar_components(docs, doc_id, text, width, percent)
-    gone = materialize(found.filter("doc_id <> component_id or (doc_id is null and component_id is not null)").select(
-        F.xxhash64("doc_id", "text_hash").alias("_key"), F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")
-    ).distinct())
+    found = materialize(_components(docs, doc_id, text, width, percent, None).filter("n_shingles > 0").groupBy(
+        "doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("component_id")) & (
+            F.col("text_hash") == F.col("first_hash"))).alias("_stays")).agg(F.count(F.lit(1)).alias("rows")))
+    # rows that go, and rows that repeat the one that stays
+    marks = materialize(found.filter("not _stays or rows > 1").select(
+        F.xxhash64("doc_id", "text_hash").alias("_key"), F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"),
+        "_stays"))
     key = F.xxhash64(F.col(doc_id).cast("long"), F.xxhash64(F.col(text)))
-    marked = docs.withColumn("_may_go", key_set(gone, "_key").may_hold(key))
+    marked = docs.withColumn("_may_go", key_set(marks, "_key").may_hold(key))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    unsure = marked.filter("_may_go")
-    staying = unsure.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col("_d")) & (
-        F.xxhash64(F.col(text)) == F.col("_t")), "left_anti")
-    return marked.filter("not _may_go").select(*columns).unionByName(staying.select(*columns))
+    unsure = marked.filter("_may_go").join(marks, F.col(doc_id).cast("long").eqNullSafe(F.col("_d")) & (
+        F.xxhash64(F.col(text)) == F.col("_t")), "left")
+    once = unsure.filter("_stays").dropDuplicates(["_d", "_t"])
+    return marked.filter("not _may_go").select(*columns).unionByName(
+        unsure.filter("_stays is null").select(*columns)).unionByName(once.select(*columns))

@@ -406,6 +406,21 @@ def test_components_of_chains_and_crowds(spark):
     assert {r.doc_id for r in kept} == {c for _, _, c in components_of(rows)}
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Groups without ids, with one id on different texts, and with a row repeated; lone rows stay."""
+    rng = random.Random(33)
+    base = [prose(rng, 150, 5000) for _ in range(5)]
+    near = lambda t, n: t + "".join(f" more{i}" for i in range(n))
+    rows = [(None, base[0]), (None, near(base[0], 1)), (None, near(base[0], 2)), (None, base[0]),
+            (5, base[1]), (5, near(base[1], 1)), (9, near(base[1], 2)), (None, near(base[1], 3)),
+            (5, base[2]), (7, near(base[2], 1)), (8, base[3]), (8, base[3]), (None, base[4]), (6, None), (6, ""), (6, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in jaccard.keep_one_of_each(table).collect()]
+    group = lambda t: next((b for b in base if t and t.startswith(b)), "")
+    assert Counter((d, group(t)) for d, t in kept) == Counter(
+        [(None, base[0]), (5, base[1]), (5, base[2]), (8, base[3]), (None, base[4]), (6, ""), (6, ""), (6, "")])
+
+
 def test_similar_components_of_nothing(spark):
     assert jaccard.similar_components(empty(spark)).count() == 0
     assert jaccard.keep_one_of_each(empty(spark)).columns == empty(spark).columns
