@@ -3,7 +3,7 @@
 A text is cut before ASCII spaces that follow a character other than white space, where the
 tokenizer's own splitting always cuts too; each chunk is encoded once per worker and kept in a bounded
 cache.  The pieces of a chunk come from the library's pre-tokenizer and their ids from its model, so
-that the result equals encoding the whole text.
+that the result equals encoding the whole text.  A text that holds an added token goes to the library whole.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ class _Chunks(dict):
 
 
 class Encoder:
-    """Encodes texts without special tokens; strings of special tokens count as ordinary text."""
+    """Encodes texts as the library does with ``add_special_tokens=False``: an added token in a text is one id."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -57,7 +57,7 @@ class Encoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self._added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         split = self.tokenizer.pre_tokenizer
         if (self.tokenizer.normalizer is not None or self.tokenizer.post_processor is not None
                 or not isinstance(split, ByteLevel) or split.add_prefix_space or not split.use_regex):
@@ -92,6 +92,8 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """All ids of a text as little-endian unsigned 32-bit integers."""
+        if any(token in text for token in self._added):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if _UNSAFE.search(text):
             return b"".join(map(self._plain.__getitem__, _SAFE_CUT.split(text)))
         chunks = text.split(" ")

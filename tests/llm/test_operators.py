@@ -116,6 +116,21 @@ def test_chunked_encoding_equals_the_whole(parts):
     assert np.frombuffer(own.encode(text), "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+_fresh = {}  # tokenizers as the library loads them
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from([" ", "\n", "a", "'s", "é", "!?", "<|endoftext|>", "<|endof", "text|>"]), max_size=12))
+def test_added_tokens_are_encoded_as_the_library_does(parts):
+    from tokenizers import Tokenizer
+
+    path, text = tokens.vocabulary_path(None), "a <|endoftext|> b" + "".join(parts)
+    fresh = _fresh.get(path) or _fresh.setdefault(path, Tokenizer.from_file(path))
+    for t in (text, "".join(parts)):
+        assert np.frombuffer(tokens.encoder(path).encode(t), "<u4").tolist() == fresh.encode(t, add_special_tokens=False).ids
+    assert np.frombuffer(tokens.encoder(path).encode("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
+
+
 # ---------------------------------------------------------------- token files
 
 @settings(max_examples=60, deadline=None)
