@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratagrid.llm import bitpack, exact, jaccard, licenses, mixing, packing, resample, substrings, urls, vafile
+from stratagrid.llm import (bitpack, bpe, divergence, exact, importance, jaccard, licenses, mixing, packing, resample,
+                            substrings, urls, vafile)
 from stratagrid.ship import ship_package
 
 
@@ -62,6 +63,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return bpe.round_trip(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_top_k": op2_top_k,
@@ -73,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_file": op8_token_file,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_bpe_round_trip": op13_bpe_round_trip,
 }
 
 _OP2 = """
@@ -184,5 +204,65 @@ select doc_id, coalesce(n, 0) as n_shingles, component_id, coalesce(set_size, 1)
 from t join m using (r) left join n using (r) left join z using (r)
 """
 
+_OP11 = """
+with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+  list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') as words from documents),
+w as (select lang, source, r, term, count(*) as c from (select lang, source, r, unnest(words) as term from d) group by all),
+k as (select lang, term, sum(c) as lang_count from w group by lang, term having count(*) >= 3),
+l as (select lang, count(*) as v, sum(lang_count) as n from k group by lang),
+c as (select lang, source, term, sum(c) as c from w semi join k using (lang, term) group by all),
+g as (select distinct lang, source from d),
+n as (select lang, source, sum(c) as n from c group by all),
+p as (select g.lang, g.source, k.term, coalesce(c, 0) as c,
+    1 + (1000000000::hugeint * (coalesce(c, 0) + 1)::hugeint) // (coalesce(n.n, 0) + v)::hugeint as p,
+    1 + (1000000000::hugeint * (lang_count + 1)::hugeint) // (l.n + v)::hugeint as lang_p
+  from g join k on k.lang = g.lang join l on l.lang = g.lang
+  left join c on c.lang = g.lang and c.source = g.source and c.term = k.term
+  left join n on n.lang = g.lang and n.source = g.source),
+f as (select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+x as (select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(value, 0) as bigint) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join f on f.lang = a.lang and f.source = a.source and f.item = b.source
+  union all select lang, source, 'term', term, cast(((p - lang_p) * (p - lang_p)) // lang_p as bigint)
+  from p where c > 0 and p > lang_p),
+o as (select *, cast(row_number() over (partition by lang, source, part order by value desc, encode(item)) as integer) as rank from x)
+select * from o where part = 'pair' or rank <= 200
+"""
+
+# the checksum of a run's bytes by the reversed polynomial, one table entry a byte
+_OP12 = f"""
+with recursive bits(n, c, step) as (select i, i, 0 from range(256) t(i)
+  union all select n, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, step + 1 from bits where step < 8),
+crc as (select list(c order by n) as t from bits where step = 8),
+d as (select row_number() over () as r, doc_id, true as raw, text from documents
+  union all select -row_number() over (), null, false, text from benchmark),
+w as (select r, doc_id, raw, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as words from d),
+f as (select r, raw, unnest(flatten(list_transform([0, 1, 2], lambda k: list_transform(
+    generate_series(1, len(words) - k), lambda i: array_to_string(words[i:i + k], ' '))))) as feature from w),
+n as (select r, raw, feature, count(*) as c from f group by all),
+b as materialized (select feature, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(
+      regexp_extract_all(hex(encode(feature)), '..'), lambda x: cast('0x' || x as bigint))),
+      lambda c, x: xor(t[xor(c & 255, x) + 1], c >> 8)), 4294967295) % {importance.BUCKETS} as bucket
+    from (select distinct feature from n), crc),
+m as (select r, raw, bucket, sum(c)::bigint as c from n join b using (feature) group by all),
+a as (select i as bucket, coalesce(s, 0) as s, coalesce(t, 0) as t from range({importance.BUCKETS}) q(i) left join (
+    select bucket, sum(c) filter (raw) as s, sum(c) filter (not raw) as t from m group by bucket) on bucket = i),
+z as (select bucket, cast(floor(1000 * ln((t + 1)::double * (sum(s) over () + {importance.BUCKETS})::double
+    / ((s + 1)::double * (sum(t) over () + {importance.BUCKETS})::double))) as bigint) as gain from a),
+e as (select r, sum(c)::bigint as n_features, sum(c * gain)::bigint as weight from m join z using (bucket) where raw group by r),
+g as (select r, doc_id, len(words) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    cast('0x' || sha256('{importance.SEED}:' || coalesce(doc_id::varchar, ''))[1:8] as bigint) as h
+  from w left join e using (r) where raw),
+s as (select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))) as bigint) as score from g),
+k as (select r, row_number() over (order by score desc, doc_id nulls last, r) as rank,
+    {importance.PERCENT} * count(*) over () // 100 as k from s where n_words >= {importance.MIN_WORDS})
+select doc_id, n_features, weight, score, case when rank <= k then rank end as rank from s left join k using (r)
+"""
+
 ORACLES: dict[str, str] = {"op2_top_k": _OP2, "op3_exact_dedup": _OP3, "op6_url_filter": _op6_sql(), "op7_license_scan": _op7_sql(),
-                           "op9_jaccard_join": _OP9, "op10_substring_dedup": _OP10}
+                           "op9_jaccard_join": _OP9, "op10_substring_dedup": _OP10,
+                           "op11_source_divergence": _OP11, "op12_importance_resampling": _OP12}
