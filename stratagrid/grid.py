@@ -98,14 +98,14 @@ def neighbourhood(cells: DataFrame, values: list[str], codes=None) -> DataFrame:
     return met.filter(F.col(values[0]).isNotNull())
 
 
-def with_halo(cells: DataFrame, grid: GridSpec) -> DataFrame:
-    """Give every cell its block key and copy rim cells into the blocks they border.
+def with_halo(cells: DataFrame, grid: GridSpec, margin: int = 1) -> DataFrame:
+    """Give every cell its block key and copy cells near a border into the blocks beyond it.
 
-    Adds ``bc``, ``br`` and ``core`` (false for a copy).  Only rim cells are copied, so the
-    result is about ``1 + 4 / block`` times the input.
+    Adds ``bc``, ``br`` and ``core`` (false for a copy).  Only cells within ``margin`` of a border (at
+    most a block) are copied, so the result is about ``1 + 4 * margin / block`` times the input.
     """
     def touched(axis: str) -> str:
-        near = ", ".join(f"floor(({axis} + {step}) / {grid.block})" for step in (-1, 0, 1))
+        near = ", ".join(f"floor(({axis} + {step}) / {grid.block})" for step in (-margin, 0, margin))
         return f"explode(array_distinct(array({near})))"
 
     return cells.selectExpr("*", f"{touched('col')} as bc").selectExpr(

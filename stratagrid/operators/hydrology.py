@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,10 +12,12 @@ from stratagrid.grid import DIRECTIONS, GridSpec, neighbourhood, steps, with_blo
 from stratagrid.operators import kernels
 from stratagrid.operators.groups import spread
 from stratagrid.operators.graph import resolve, spill_levels, subtree_sums
-from stratagrid.scratch import Rounds, lookup, materialize
+from stratagrid.operators.patches import HALF, Patch, map_patches
+from stratagrid.scratch import Rounds, materialize
 
 OUTSIDE = -1  # the node beyond the raster's edge
 NOWHERE = -2  # "next" of a row that only brings weight
+_NUMPY = {"smallint": "int16", "int": "int32", "bigint": "int64", "float": "float32", "double": "float64"}
 ALL_CODES = [code for code, _, _ in DIRECTIONS]
 OFFSETS = [(dc, dr) for _, dc, dr in DIRECTIONS]
 
@@ -87,41 +90,140 @@ def _crosses(grid: GridSpec):
     )
 
 
+def _steepest(patch: Patch, z: np.ndarray) -> np.ndarray:
+    """Way down from every core cell inside its block: the least (height, id) of it and its neighbours."""
+    low, to = z[patch.cells], patch.cells
+    for step in patch.offset.values():
+        near = patch.cells + step
+        better = patch.core[near] & ((z[near] < low) | ((z[near] == low) & (near < to)))
+        low, to = np.where(better, z[near], low), np.where(better, near, to)
+    return to
+
+
+def _least_by_pair(a: np.ndarray, b: np.ndarray, w: np.ndarray):
+    """The least ``w`` of every (a, b)."""
+    order = np.lexsort((w, b, a))
+    a, b, w = a[order], b[order], w[order]
+    first = np.ones(len(a), bool)
+    first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[first], b[first], w[first]
+
+
+TREE, CROSSING, MEMBER, BLOCK = range(4)  # kinds of rows that a block hands on
+
+
+def _block_levels(patch: Patch) -> pa.Table:
+    """What one block knows about filling.
+
+    Basins of the block and the lowest heights between them shrink to a tree between the basins that
+    touch another block and the outside (``TREE``).  ``CROSSING`` rows lead from such a basin to a cell
+    beyond the border, ``MEMBER`` rows tell the basin of a cell at the border.  The ``BLOCK`` row keeps
+    cells, basins and the whole tree packed for the last pass.
+    """
+    z, cells = patch.dense("z"), patch.cells
+    number = np.zeros(len(z), np.int64)
+    number[cells] = np.arange(len(cells))
+    root = kernels.jump(number[_steepest(patch, z)])
+    pits, basin = np.unique(root, return_inverse=True)
+    label = np.zeros(len(z), np.int64)
+    label[cells] = basin
+    pit_id, n = patch.cell_id(cells[pits]), len(pits)
+
+    sides, crossing = [], []
+    at_edge, at_border = np.zeros(len(cells), bool), np.zeros(len(cells), bool)
+    for code, step in patch.offset.items():
+        near = cells + step
+        at_edge |= ~patch.known[near]
+        beyond = patch.known[near] & ~patch.core[near]
+        at_border |= beyond
+        if code not in HALF:
+            continue
+        u, v = cells[beyond], near[beyond]
+        crossing.append((label[u], patch.cell_id(v), np.maximum(z[u], z[v])))
+        apart = patch.core[near] & (label[near] != basin)
+        u, v = cells[apart], near[apart]
+        sides.append((np.minimum(label[u], label[v]), np.maximum(label[u], label[v]), np.maximum(z[u], z[v])))
+    edge = cells[at_edge]
+    sides.append((label[edge], np.full(len(edge), n), z[edge]))  # node n is the outside
+    a, b, w = _least_by_pair(*map(np.concatenate, zip(*sides)))
+    terminal = np.zeros(n + 1, bool)
+    terminal[label[cells[at_border]]] = True
+    terminal[n] = len(edge) > 0
+    tree, between = kernels.spanning_tree(n + 1, a, b, w, terminal)
+
+    name = np.append(pit_id, OUTSIDE)
+    joins = np.array(between, np.int64).reshape(-1, 3)
+    cu, cv, cw = _least_by_pair(*map(np.concatenate, zip(*crossing)))
+    border = cells[at_border]
+    kinds = np.repeat([TREE, CROSSING, MEMBER, BLOCK], [len(joins), len(cu), len(border), 1])
+    filler = np.zeros(1, np.int64)
+    packed = {"cells": cells.astype(np.int32), "z": z[cells], "label": basin.astype(np.int32), "pits": pit_id,
+              "tree_a": a[tree].astype(np.int32), "tree_b": b[tree].astype(np.int32), "tree_w": w[tree]}
+    return pa.table({
+        "kind": pa.array(kinds, pa.int32()), "bc": pa.array(np.full(len(kinds), patch.bc)),
+        "br": pa.array(np.full(len(kinds), patch.br)),
+        "a": pa.array(np.concatenate([name[joins[:, 1]], pit_id[cu], patch.cell_id(border), filler])),
+        "b": pa.array(np.concatenate([name[joins[:, 2]], cv, pit_id[label[border]], filler])),
+        "w": pa.array(np.concatenate([w[joins[:, 0]], cw, z[border], filler.astype(z.dtype)])),
+        **{key: pa.array([None] * (len(kinds) - 1) + [values.tobytes()], pa.binary()) for key, values in packed.items()},
+    })
+
+
+def _filled_cells(grid: GridSpec, kind: np.dtype):
+    """Last pass over one block: levels of its border basins run down its tree to all basins."""
+    names = {"z": kind, "pits": np.int64, "tree_w": kind, "cells": np.int32, "label": np.int32, "tree_a": np.int32,
+             "tree_b": np.int32}
+
+    def run(block: pa.Table, levels: pa.Table) -> pa.Table:
+        if not block.num_rows:
+            return pa.table({"col": pa.array([], pa.int64()), "row": pa.array([], pa.int64()),
+                             "z": pa.array([], pa.from_numpy_dtype(kind)), "fill": pa.array([], pa.from_numpy_dtype(kind))})
+        part = {key: np.frombuffer(block[key][0].as_py(), of) for key, of in names.items()}
+        n = len(part["pits"])
+        border = np.searchsorted(part["pits"], levels["node"].to_numpy())
+        sources = [*zip(levels["level"].to_numpy().tolist(), border.tolist()), (float("-inf"), n)]
+        reached = kernels.flood_tree(n + 1, part["tree_a"], part["tree_b"], part["tree_w"], sources)
+        level = np.array(reached[:n], kind)
+        width = grid.block + 2
+        return pa.table({
+            "col": pa.array(part["cells"] % width - 1 + block["bc"][0].as_py() * grid.block, pa.int64()),
+            "row": pa.array(part["cells"] // width - 1 + block["br"][0].as_py() * grid.block, pa.int64()),
+            "z": pa.array(part["z"]), "fill": pa.array(np.maximum(part["z"], level[part["label"]])),
+        })
+
+    return run
+
+
+def rim_graph(blocks: DataFrame) -> DataFrame:
+    """Edges ``(a, b, w)`` between the basins that touch a block border, and the outside."""
+    # a cell at a border lies in one basin, so no key is hot
+    member = blocks.filter(F.col("kind") == MEMBER).select(F.col("a").alias("cell"), F.col("b").alias("other"))
+    crossing = blocks.filter(F.col("kind") == CROSSING).select("a", F.col("b").alias("cell"), "w")
+    return crossing.join(member, "cell").select("a", F.col("other").alias("b"), "w").unionByName(
+        blocks.filter(F.col("kind") == TREE).select("a", "b", "w"))
+
+
 def fill(dem: DataFrame, grid: GridSpec) -> DataFrame:
     """Depression-free surface: ``(col, row, z, fill)``, no depth limit.
 
-    The level of a basin is the lowest saddle height over which it drains to the raster's
-    edge, found on the graph of touching basins.  Cells are joined by their exit, a key that
-    blocks bound, never by their basin, which may be as large as the raster.
+    Every block finds its own basins and hands on only a tree between those that touch its border; the
+    distributed loop finds their levels on that rim graph, and one more pass over the packed blocks
+    brings the levels to all basins.  The raster is shuffled twice, the loop's size follows block rims.
     """
     spark = dem.sparkSession
-    local, pits = _drainage(dem, grid, Rounds(spark))
-    half = (1, 2, 4, 8)
-    touch = neighbourhood(local, ["exit", "z"], codes=half)
-    pairs = touch.select("exit", "z", F.explode(F.array(*[
-        F.struct(F.col(f"exit_{code}").alias("exit"), F.col(f"z_{code}").alias("z")) for code in half
-    ])).alias("n")).filter("n.exit <> exit").select(
-        F.least("exit", "n.exit").alias("a"), F.greatest("exit", "n.exit").alias("b"),
-        F.greatest("z", "n.z").alias("w"),
-    ).union(local.filter("rim").select(
-        F.lit(OUTSIDE).cast("long").alias("a"), F.col("exit").alias("b"), F.col("z").alias("w")
-    )).groupBy("a", "b").agg(F.min("w").alias("w"))
-    # from exits to pits, on the aggregated pairs
-    for end, other in (("a", "b"), ("b", "a")):
-        named = pits.select(F.col("exit").alias(end), "pit")
-        pairs = lookup(pairs, named, end, other, "left").withColumn(
-            end, F.coalesce("pit", end)
-        ).drop("pit")
-    levels = spill_levels(pairs.filter("a <> b"), OUTSIDE, Rounds(spark))
-    at_pit = levels.select(F.col("node").alias("exit"), "level")
-    beyond = lookup(
-        pits, levels.select(F.col("node").alias("pit"), "level"), "pit", "exit"
-    ).select("exit", "level")
-    # an exit beyond a block may be a pit itself: its two rows agree
-    exits = at_pit.union(beyond).groupBy("exit").agg(F.max("level").alias("level"))
-    return local.join(exits, "exit").select(
-        "col", "row", "z", F.greatest("z", "level").alias("fill")
-    )
+    z_type = dem.schema["z"].dataType.simpleString()
+    packed = ", ".join(f"{c} binary" for c in ("cells", "z", "label", "pits", "tree_a", "tree_b", "tree_w"))
+    blocks = materialize(map_patches(
+        dem.filter("z is not null").select("col", "row", "z"), grid, _block_levels,
+        f"kind int, bc long, br long, a long, b long, w {z_type}, {packed}"))
+    levels = spill_levels(rim_graph(blocks), OUTSIDE, Rounds(spark))
+    col, row = F.pmod("node", F.lit(grid.ncol)), F.floor(F.col("node") / F.lit(grid.ncol))
+    placed = levels.select(grid.block_col(col).alias("bc"), grid.block_row(row).alias("br"), "node", "level")
+    whole = blocks.filter(F.col("kind") == BLOCK).drop("kind", "a", "b", "w")
+    kind = np.dtype(_NUMPY[z_type])
+    return spread(whole, "bc", "br").groupBy("bc", "br").cogroup(
+        spread(placed, "bc", "br").groupBy("bc", "br")
+    ).applyInArrow(_filled_cells(grid, kind), f"col long, row long, z {z_type}, fill {z_type}")
 
 
 def _first(conditions) -> F.Column:

@@ -6,6 +6,8 @@ block size or the buffer radius and never by the amount of data.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 INF = np.iinfo(np.int64).max
@@ -58,6 +60,52 @@ def least_labels(n, u, v):
         label = hooked
 
 
+def spanning_tree(n, a, b, w, terminal):
+    """Cheapest edges that join ``n`` nodes, and the least tree that keeps the levels between terminals.
+
+    Returns the numbers of the kept edges, ascending in ``w``, and ``(edge, terminal, terminal)`` for those
+    that join terminals: the greatest ``w`` on the way between two terminals is the same in both.
+    """
+    order = np.argsort(w, kind="stable")
+    parent = list(range(n))
+    of = [node if flag else -1 for node, flag in enumerate(terminal.tolist())]
+    tree, between = [], []
+    for edge, x, y in zip(order.tolist(), a[order].tolist(), b[order].tolist()):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        while parent[y] != y:
+            parent[y] = y = parent[parent[y]]
+        if x == y:
+            continue
+        tree.append(edge)
+        if of[x] >= 0 and of[y] >= 0:
+            between.append((edge, of[x], of[y]))
+        parent[y] = x
+        if of[x] < 0:
+            of[x] = of[y]
+    return np.array(tree, np.int64), between
+
+
+def flood_tree(n, a, b, w, sources):
+    """Lowest level at which every node of a forest is reached from ``(level, node)`` sources."""
+    ends = np.concatenate([a, b])
+    order = np.argsort(ends, kind="stable")
+    first = np.searchsorted(ends[order], np.arange(n + 1)).tolist()
+    to, cost = np.concatenate([b, a])[order].tolist(), np.concatenate([w, w])[order].tolist()
+    level = [None] * n
+    heap = list(sources)
+    heapq.heapify(heap)
+    while heap:
+        height, node = heapq.heappop(heap)
+        if level[node] is not None:
+            continue
+        level[node] = height
+        for k in range(first[node], first[node + 1]):
+            if level[to[k]] is None:
+                heapq.heappush(heap, (max(height, cost[k]), to[k]))
+    return level
+
+
 def local_pointers(cell_id, nxt):
     """Pointer of each cell to the last cell of its chain inside the group; input sorted by id."""
     at = np.minimum(np.searchsorted(cell_id, nxt), len(cell_id) - 1)
