@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratagrid.grid import DIRECTIONS, GridSpec, neighbourhood, steps, with_block, with_halo
+from stratagrid.grid import DIRECTIONS, GridSpec, neighbourhood, with_block
 from stratagrid.operators import kernels
 from stratagrid.operators.groups import spread
 from stratagrid.operators.graph import resolve, spill_levels, subtree_sums
@@ -19,7 +21,6 @@ OUTSIDE = -1  # the node beyond the raster's edge
 NOWHERE = -2  # "next" of a row that only brings weight
 _NUMPY = {"smallint": "int16", "int": "int32", "bigint": "int64", "float": "float32", "double": "float64"}
 ALL_CODES = [code for code, _, _ in DIRECTIONS]
-OFFSETS = [(dc, dr) for _, dc, dr in DIRECTIONS]
 
 
 def _chain_ends(cells: pd.DataFrame) -> pd.DataFrame:
@@ -233,94 +234,222 @@ def _first(conditions) -> F.Column:
     return out
 
 
+OUTWARD = (16, 1, 64, 4, 2, 8, 32, 128)  # west, east, north, south, then the corners
+MARGIN = 2  # cells round a block or pool: a walk from the first one beyond the border looks at the second
+SPAN = 8  # blocks along one side of a pool, the square in which flats are walked at once
+
+
 def flow_direction(surface: DataFrame, grid: GridSpec, value: str = "fill") -> DataFrame:
     """D8 direction ``(col, row, dir)``: edge cells outward, else steepest drop, else across the flat.
 
     Slopes are compared squared (twice the squared drop for straight steps, the squared drop
-    for diagonal ones), so integral heights give no floating ties; ties take the least code.
+    for diagonal ones), so integral heights give no floating ties; ties take the least code.  A flat
+    cell goes the fewest steps, inside its level, to a cell with a direction.  A flat cell that
+    reaches none (on a surface with pits) has a null direction.  One shuffle of the raster; only flats
+    that cross a block border take part in the loop.
     """
-    around = neighbourhood(surface.withColumnRenamed(value, "level"), ["level"])
-    drops = []
+    rounds = Rounds(surface.sparkSession)
+    level = surface.schema[value].dataType.simpleString()
+    cells = surface.filter(F.col(value).isNotNull()).select("col", "row", F.col(value).alias("level"))
+    known = rounds.put("known", map_patches(
+        cells, grid, _block_directions, f"col long, row long, dir long, level {level}, seed long, open boolean", MARGIN),
+        watch="open")
+    done = known.filter("not open").select("col", "row", "dir")
+    if not rounds.seen:
+        return done
+    return done.unionByName(_across_borders(known.filter("open").select("col", "row", "level", "seed"), grid, rounds))
+
+
+def _walk_flats(hops: np.ndarray, level: np.ndarray, free: np.ndarray, steps: list[int], start: np.ndarray) -> None:
+    """Lower ``hops`` of ``free`` cells to the fewest steps inside a level from the cells at ``start``."""
+    while len(start):
+        moved = []
+        for step in steps:
+            to, via = start + step, hops[start] + 1
+            nearer = free[to] & (level[to] == level[start]) & (via < hops[to])
+            to = to[nearer]
+            hops[to] = via[nearer]  # cells differ, and so do their neighbours at one step
+            moved.append(to)
+        start = np.unique(np.concatenate(moved))
+
+
+def _onward(at: np.ndarray, hops: np.ndarray, level: np.ndarray, seed: np.ndarray, flat: np.ndarray,
+            offset: dict[int, int]) -> np.ndarray:
+    """Direction of flat cells: out of the flat where a step leads out, else one step nearer; 0 for none."""
+    code = np.zeros(len(at), np.int64)
+    for direction in sorted(offset, reverse=True):  # the least code is written last
+        to = at + offset[direction]
+        code[flat[to] & (level[to] == level[at]) & (hops[to] == hops[at] - 1)] = direction
+    return np.where(seed[at] > 0, seed[at], code)
+
+
+def _block_directions(patch: Patch) -> pa.Table:
+    """Directions of the cells of one block; flats that go on beyond the block stay open.
+
+    The margin of two cells tells the directions of all cells next to the block too.
+    """
+    level = patch.dense("level")
+    if level.dtype.kind == "i":
+        level = level.astype(np.int64)
+    ring = np.zeros((patch.width, patch.width), bool)
+    ring[1:-1, 1:-1] = True
+    at = np.flatnonzero(patch.known & ring.reshape(-1))
+    found, steepest = np.zeros(len(at), np.int64), np.zeros(len(at), level.dtype)
     for code, dc, dr in DIRECTIONS:
-        drop = F.col("level") - F.col(f"level_{code}")
-        drops.append(F.when(drop > 0, F.struct(
-            (drop * drop * (1 if dc and dr else 2)).alias("slope"), F.lit(-code).alias("code")
-        )))
-    # outward order: west, east, north, south, then the corners
-    outward = _first([(F.col(f"level_{c}").isNull(), c) for c in (16, 1, 64, 4, 2, 8, 32, 128)])
-    downhill = -F.greatest(*drops)["code"]
-    known = materialize(around.select(
-        "col", "row", "level", F.coalesce(outward, downhill).cast("long").alias("dir")
-    ))
-    return known.filter("dir is not null").select("col", "row", "dir").union(
-        _across_flats(known, grid)
-    )
+        to = at + patch.offset[code]
+        drop = np.where(patch.known[to], level[at] - level[to], 0)
+        slope = drop * drop * (1 if dc and dr else 2)
+        better = (drop > 0) & (slope > steepest)
+        found[better], steepest[better] = code, slope[better]
+    for code in reversed(OUTWARD):
+        found[~patch.known[at + patch.offset[code]]] = code
+    way = np.zeros(len(level), np.int64)
+    way[at] = found
+    flat = np.zeros(len(level), bool)
+    flat[at] = found == 0
+
+    cells, here = patch.cells, flat & patch.core
+    pooled = np.flatnonzero(here)
+    seed = np.zeros(len(level), np.int64)
+    beyond = np.zeros(len(pooled), bool)
+    for code in sorted(patch.offset, reverse=True):
+        to = pooled + patch.offset[code]
+        same = patch.known[to] & (level[to] == level[pooled])
+        seed[pooled[same & ~flat[to]]] = code
+        beyond |= same & flat[to] & ~patch.core[to]
+    steps = list(patch.offset.values())
+    is_open = np.full(len(level), kernels.INF)
+    is_open[pooled[beyond]] = 0
+    _walk_flats(is_open, level, here, steps, pooled[beyond])
+    open_cell = here & (is_open < kernels.INF)
+    closed = here & ~open_cell
+    hops = np.full(len(level), kernels.INF)
+    starts = np.flatnonzero(closed & (seed > 0))
+    hops[starts] = 1
+    _walk_flats(hops, level, closed, steps, starts)
+    inside = np.flatnonzero(closed)
+    way[inside] = _onward(inside, hops, level, seed, closed, patch.offset)
+    still = open_cell[cells]
+    return pa.table({
+        "col": pa.array(patch.col(cells)), "row": pa.array(patch.row(cells)),
+        "dir": pa.array(way[cells], mask=way[cells] == 0),
+        "level": pa.array(level[cells].astype(patch.dense("level").dtype), mask=~still),
+        "seed": pa.array(seed[cells], mask=~still | (seed[cells] == 0)), "open": pa.array(still),
+    })
 
 
-def _relax_hops(cells: pd.DataFrame) -> pd.DataFrame:
-    cells = cells.sort_values(["row", "col"], ignore_index=True)
-    u, v = kernels.adjacent_pairs(cells["col"].to_numpy(), cells["row"].to_numpy(), OFFSETS)
-    level = cells["level"].to_numpy()
-    core = cells["core"].to_numpy()
-    same = (level[u] == level[v]) & core[v]
-    before = cells["hops"].to_numpy()
-    cells["hops"] = kernels.hop_distances(before, u[same], v[same])
-    cells["moved"] = cells["hops"].to_numpy() < before
-    return cells.loc[core, ["col", "row", "level", "hops", "moved"]]
-
-
-def _across_flats(known: DataFrame, grid: GridSpec) -> DataFrame:
-    """Direction of flat cells: one step nearer, inside the level, to a cell that has one."""
-    flats = known.filter("dir is null").select("col", "row", "level")
-    if flats.isEmpty():
-        return flats.select("col", "row", F.lit(None).cast("long").alias("dir"))
-    # seeds: the flat cells with a neighbour on the same level that has a direction.  Flat
-    # cells, the smaller side, look at their neighbours, not the other way round
-    looks = flats.select(
-        F.col("col").alias("from_col"), F.col("row").alias("from_row"), "level",
-        F.explode(steps()).alias("s"),
-    ).select(
-        "from_col", "from_row", "level", (F.col("from_col") + F.col("s.dc")).alias("col"),
-        (F.col("from_row") + F.col("s.dr")).alias("row"), F.col("s.code").alias("code"),
-    )
-    directed = known.filter("dir is not null").select("col", "row", "level")
-    seeds = looks.join(directed, ["col", "row", "level"]).groupBy(
-        F.col("from_col").alias("col"), F.col("from_row").alias("row")
-    ).agg(F.min("code").alias("seed"))
-    rounds = Rounds(known.sparkSession)
-    seeded = rounds.put("seeded", flats.join(seeds, ["col", "row"], "left"))
-    state = rounds.put("hops", seeded.select(
-        "col", "row", "level",
-        F.when(F.col("seed").isNotNull(), 1).otherwise(kernels.INF).cast("long").alias("hops"),
-        F.lit(True).alias("moved"),
-    ), watch="moved")
+class _Pool:
+    """Open flat cells of a square of blocks and the flat cells next to it, packed in one row."""
+
+    SCHEMA = "at binary, core binary, level binary, seed binary, hops binary"
+
+    def __init__(self, row: pa.Table, grid: GridSpec, kind: np.dtype):
+        part = {key: np.frombuffer(row[key][0].as_py(), of) for key, of in
+                {"at": np.int32, "core": bool, "level": kind, "seed": np.int16, "hops": np.int64}.items()}
+        self.bc, self.br, self.ncol = row["bc"][0].as_py(), row["br"][0].as_py(), grid.ncol
+        self.width = grid.block + 2 * MARGIN
+        self.col0, self.row0 = self.bc * grid.block - MARGIN, self.br * grid.block - MARGIN
+        self.offset = {code: dr * self.width + dc for code, dc, dr in DIRECTIONS}
+        at = part["at"].astype(np.int64)
+        size = self.width * self.width
+        self.flat, self.core = np.zeros(size, bool), np.zeros(size, bool)
+        self.flat[at], self.core[at] = True, part["core"]
+        self.level, self.seed = np.zeros(size, kind), np.zeros(size, np.int16)
+        self.level[at], self.seed[at] = part["level"], part["seed"]
+        self.hops = np.full(size, kernels.INF)
+        self.hops[at] = part["hops"]
+        self.cells = at[part["core"]]
+
+    def walk(self, incoming: pa.Table) -> None:
+        """Go on from the cells beyond the border whose steps are known."""
+        cell = incoming["cell"].to_numpy()
+        at = (cell // self.ncol - self.row0) * self.width + cell % self.ncol - self.col0
+        self.hops[at] = incoming["hops"].to_numpy()
+        _walk_flats(self.hops, self.level, self.core, list(self.offset.values()), at)
+
+    def border(self, grid: GridSpec) -> dict[str, np.ndarray]:
+        """Steps of the cells that have a flat neighbour in another pool, once for each such pool."""
+        sent = []
+        for step in self.offset.values():
+            to = self.cells + step
+            out = self.flat[to] & ~self.core[to] & (self.level[to] == self.level[self.cells])
+            out &= self.hops[self.cells] < kernels.INF
+            u, v = self.cells[out], to[out]
+            sent.append(np.stack([(v % self.width + self.col0) // grid.block, (v // self.width + self.row0) // grid.block,
+                                  (u // self.width + self.row0) * self.ncol + u % self.width + self.col0, self.hops[u]]))
+        bc, br, cell, hops = np.unique(np.concatenate(sent, axis=1), axis=1)
+        return {"bc": bc, "br": br, "cell": cell, "hops": hops}
+
+
+def _across_borders(flats: DataFrame, grid: GridSpec, rounds: Rounds) -> DataFrame:
+    """Directions of the flats that cross block borders.
+
+    Their cells are packed once by pools of ``SPAN`` x ``SPAN`` blocks.  A round walks a pool through and
+    sends only the steps of its border cells on, and only pools that hear of fewer steps walk again: a
+    flat takes one round for each pool it crosses, and the rounds write rims alone.
+    """
+    wide = replace(grid, block=grid.block * SPAN)
+    level = flats.schema["level"].dataType.simpleString()
+    kind = np.dtype(_NUMPY[level])
+    rim = "bc long, br long, cell long, hops long"
+
+    def pack(patch: Patch) -> pa.Table:
+        at = np.flatnonzero(patch.known)
+        seed = np.zeros(len(patch.known), np.int16)
+        row_seed = patch.table["seed"].fill_null(0).to_numpy()
+        seed[patch.positions] = row_seed
+        hops = np.full(len(patch.known), kernels.INF)
+        starts = patch.cells[seed[patch.cells] > 0]
+        hops[starts] = 1
+        heights = patch.dense("level")
+        _walk_flats(hops, heights, patch.core, list(patch.offset.values()), starts)
+        packed = {"at": at.astype(np.int32), "core": patch.core[at], "level": heights[at], "seed": seed[at], "hops": hops[at]}
+        one = pa.table({"bc": pa.array([patch.bc]), "br": pa.array([patch.br]),
+                        **{key: pa.array([v.tobytes()], pa.binary()) for key, v in packed.items()}})
+        sent = _Pool(one, wide, kind).border(wide)
+        n = len(sent["cell"])
+        return pa.table({
+            "bc": pa.array(np.append(sent["bc"], patch.bc)), "br": pa.array(np.append(sent["br"], patch.br)),
+            "cell": pa.array(np.append(sent["cell"], 0), mask=np.arange(n + 1) == n),
+            "hops_in": pa.array(np.append(sent["hops"], 0)),
+            **{key: pa.array([None] * n + [v.tobytes()], pa.binary()) for key, v in packed.items()}})
+
+    def again(pool: pa.Table, incoming: pa.Table) -> pa.Table:
+        if not pool.num_rows:
+            return pa.table({key: pa.array([], pa.int64()) for key in ("bc", "br", "cell", "hops")})
+        own = _Pool(pool, wide, kind)
+        own.walk(incoming)
+        return pa.table({key: pa.array(v) for key, v in own.border(wide).items()})
+
+    def finish(pool: pa.Table, incoming: pa.Table) -> pa.Table:
+        if not pool.num_rows:
+            return pa.table({key: pa.array([], pa.int64()) for key in ("col", "row", "dir")})
+        own = _Pool(pool, wide, kind)
+        own.walk(incoming)
+        code = _onward(own.cells, own.hops, own.level, own.seed, own.flat, own.offset)
+        return pa.table({"col": pa.array(own.cells % own.width + own.col0), "row": pa.array(own.cells // own.width + own.row0),
+                         "dir": pa.array(code, mask=code == 0)})
+
+    def per_pool(pools: DataFrame, incoming: DataFrame, step, schema: str) -> DataFrame:
+        keys = ["bc", "br"]
+        return spread(pools, *keys).groupBy(*keys).cogroup(spread(incoming, *keys).groupBy(*keys)).applyInArrow(step, schema)
+
+    first = materialize(map_patches(flats, wide, pack, f"bc long, br long, cell long, hops_in long, {_Pool.SCHEMA}", MARGIN))
+    pools = first.filter("cell is null").drop("cell", "hops_in")
+    state = rounds.put("rim", first.filter("cell is not null").select(
+        "bc", "br", "cell", F.col("hops_in").alias("hops"), F.lit(True).alias("moved")), watch="moved")
     while rounds.seen:
-        # only blocks that see a changed cell on a rim work again; the first round sees all
-        blocks = with_halo(state.filter("moved"), grid).select("bc", "br").distinct()
-        haloed = with_halo(state.drop("moved"), grid)
-        active = haloed.join(blocks, ["bc", "br"], "left_semi")
-        worked = spread(active, "bc", "br").groupBy("bc", "br").applyInPandas(
-            _relax_hops, "col long, row long, level {0}, hops long, moved boolean".format(
-                state.schema["level"].dataType.simpleString())
-        )
-        idle = with_block(state, grid).join(blocks, ["bc", "br"], "left_anti").select(
-            "col", "row", "level", "hops", F.lit(False).alias("moved")
-        )
-        # a change away from the rim cannot reach another block
-        state = rounds.put("hops", worked.withColumn(
-            "moved", F.col("moved") & grid.on_block_rim()
-        ).union(idle), watch="moved")
+        active = state.filter("moved").select("bc", "br").distinct()
+        heard = per_pool(pools.join(active, ["bc", "br"], "left_semi"), state.join(active, ["bc", "br"], "left_semi").drop(
+            "moved"), again, rim)
+        told = state.select("bc", "br", "cell", "hops", F.col("hops").alias("before")).unionByName(
+            heard.withColumn("before", F.lit(None).cast("long")))
+        state = rounds.put("rim", told.groupBy("bc", "br", "cell").agg(
+            F.min("hops").alias("hops"), F.min("before").alias("before")
+        ).select("bc", "br", "cell", "hops", (F.col("before").isNull() | (F.col("hops") < F.col("before"))).alias("moved")),
+            watch="moved")
         rounds.sweep()
-    around = neighbourhood(state, ["level", "hops"])
-    nearer = F.least(*[
-        F.when(
-            (F.col(f"level_{code}") == F.col("level"))
-            & (F.col(f"hops_{code}") == F.col("hops") - 1), code
-        ) for code in ALL_CODES
-    ])
-    return around.select("col", "row", nearer.cast("long").alias("onward")).join(
-        seeded, ["col", "row"]
-    ).select("col", "row", F.coalesce("seed", "onward").alias("dir"))
+    return per_pool(pools, state.drop("moved"), finish, "col long, row long, dir long")
 
 
 def _local_flow(cells: pd.DataFrame) -> pd.DataFrame:

@@ -22,7 +22,7 @@ class Patch:
     """Cells of one block: flat arrays of a square that is ``margin`` cells wider on every side.
 
     ``known`` marks cells that exist, ``core`` those of the block itself; ``cells`` are the positions of
-    the core cells in row order.  A step in direction ``code`` adds ``offset[code]`` to a position.
+    the core cells in row order, ``positions`` those of the table's rows.  A step in direction ``code`` adds ``offset[code]`` to a position.
     """
 
     def __init__(self, table: pa.Table, grid: GridSpec, margin: int):
@@ -30,9 +30,9 @@ class Patch:
         self.bc, self.br = table["bc"][0].as_py(), table["br"][0].as_py()
         self.width = grid.block + 2 * margin
         self.col0, self.row0 = self.bc * grid.block - margin, self.br * grid.block - margin
-        self._at = (table["row"].to_numpy() - self.row0) * self.width + table["col"].to_numpy() - self.col0
+        self.positions = (table["row"].to_numpy() - self.row0) * self.width + table["col"].to_numpy() - self.col0
         self.known = np.zeros(self.width * self.width, bool)
-        self.known[self._at] = True
+        self.known[self.positions] = True
         inner = np.zeros((self.width, self.width), bool)
         inner[margin:self.width - margin, margin:self.width - margin] = True
         self.core = self.known & inner.reshape(-1)
@@ -43,7 +43,7 @@ class Patch:
         """A column as an array, zero where no cell is known."""
         values = self.table[name].to_numpy()
         out = np.zeros(len(self.known), values.dtype)
-        out[self._at] = values
+        out[self.positions] = values
         return out
 
     def col(self, at: np.ndarray) -> np.ndarray:
