@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stratagrid.grid import DIRECTIONS, GridSpec
 from stratagrid.operators import kernels
 from stratagrid.operators.groups import map_groups
+from stratagrid.operators.windows import is_packed, map_windows
 
 STEP_COL, STEP_ROW = np.zeros(129, dtype=np.int64), np.zeros(129, dtype=np.int64)
 for _code, _dc, _dr in DIRECTIONS:
@@ -44,8 +45,8 @@ def cost_distance(windows: DataFrame, grid: GridSpec, straight: float = 1.0,
                   diagonal: float = math.sqrt(2.0), is_spread: bool = False) -> DataFrame:
     """Cost and back link of every reachable window cell: ``(id, col, row, cost, back)``.
 
-    ``windows`` is ``(id, start_col, start_row, col, row, z)``.  One step costs the mean of the
-    two elevations times its length.  A window is bounded by the buffer, so all points run
+    ``windows`` is ``(id, start_col, start_row, col, row, z)``, a row per cell or pieces of arrays
+    (``windows.cut``).  One step costs the mean of the two elevations times its length.  A window is bounded by the buffer, so all points run
     in parallel and each window lies in one task.
     """
     straight, diagonal = straight * grid.cell, diagonal * grid.cell
@@ -56,15 +57,17 @@ def cost_distance(windows: DataFrame, grid: GridSpec, straight: float = 1.0,
         return out[np.isfinite(out["cost"])]
 
     needed = windows.select("id", "start_col", "start_row", "col", "row", "z")
-    return map_groups(needed, ["id"], run, "id long, col long, row long, cost double, back long", is_spread)
+    schema = "id long, col long, row long, cost double, back long"
+    return map_windows(needed, run, schema) if is_packed(windows) else map_groups(needed, ["id"], run, schema, is_spread)
 
 
 def flow_paths(windows: DataFrame, grid: GridSpec, straight: float = 1.0,
-               diagonal: float = math.sqrt(2.0), is_spread: bool = False) -> DataFrame:
+               diagonal: float = math.sqrt(2.0), is_spread: bool = False, radius: float | None = None) -> DataFrame:
     """Least-cost path from each point to its cheapest target cell: ``(id, step, col, row, cost)``.
 
-    ``windows`` also has the boolean ``target``; one path per point, ties by least cell id.
-    Points without a reachable target have no path.
+    Rows of ``windows`` also have the boolean ``target``; in pieces the targets are those of
+    ``mark_targets`` in the circle of ``radius``.  One path per point, ties by least cell id.  Points
+    without a reachable target have no path.
     """
     straight, diagonal = straight * grid.cell, diagonal * grid.cell
 
@@ -95,8 +98,26 @@ def flow_paths(windows: DataFrame, grid: GridSpec, straight: float = 1.0,
         path["row"] = path["r"] - half + path["start_row"]
         return path[names]
 
+    schema = "id long, step long, col long, row long, cost double"
+    if is_packed(windows):
+        needed = windows.select("id", "px", "py", "start_col", "start_row", "own_zone", "col", "row", "z", "zone")
+        return map_windows(needed, lambda cells: run(mark_targets(cells, radius, grid)), schema)
     needed = windows.select("id", "start_col", "start_row", "col", "row", "z", "target")
-    return map_groups(needed, ["id"], run, "id long, step long, col long, row long, cost double", is_spread)
+    return map_groups(needed, ["id"], run, schema, is_spread)
+
+
+def mark_targets(cells: pd.DataFrame, radius: float, grid: GridSpec, tolerance: float = 0.001) -> pd.DataFrame:
+    """``flow_targets`` on the cells of whole windows inside a task."""
+    dx = grid.x0 + (cells["col"].to_numpy() + 0.5) * grid.cell - cells["px"].to_numpy()
+    dy = grid.y0 - (cells["row"].to_numpy() + 0.5) * grid.cell - cells["py"].to_numpy()
+    in_zone = cells["zone"].to_numpy() == cells["own_zone"].to_numpy()
+    if "zone_known" in cells:
+        in_zone &= cells["zone_known"].to_numpy()
+    is_open = (dx * dx + dy * dy <= float(radius) * radius) & ~in_zone
+    z, window = cells["z"].to_numpy(), cells.groupby("id", sort=False).ngroup().to_numpy()
+    lowest = np.full(window.max() + 1, np.inf)
+    np.minimum.at(lowest, window[is_open], z[is_open])
+    return cells.assign(target=is_open & (np.abs(z - lowest[window]) < tolerance))
 
 
 def flow_targets(windows: DataFrame, in_circle: Column, tolerance: float = 0.001) -> DataFrame:

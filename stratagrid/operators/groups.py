@@ -7,8 +7,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from stratagrid.grid import GridSpec, with_block
-
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition by ``keys`` over all shuffle partitions.
@@ -20,16 +18,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(n, *keys)
 
 
-def in_block_order(cells: DataFrame, grid: GridSpec) -> DataFrame:
-    """A raster laid out block by block.
-
-    Stencils over it fold their copies before the shuffle, because the neighbours of a cell
-    lie in the same partition.
-    """
-    blocked = spread(with_block(cells, grid), "bc", "br")
-    return blocked.sortWithinPartitions("bc", "br", "row", "col").drop("bc", "br")
-
-
 def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """Re-cut batches of rows sorted by ``keys`` so that no group is split."""
     held: list[pd.DataFrame] = []

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratagrid.functions.columns import hillshade as shade
-from stratagrid.grid import DIRECTIONS, GridSpec, neighbourhood, with_block
+from stratagrid.grid import DIRECTIONS, GridSpec, with_block
 from stratagrid.operators.components import components
-from stratagrid.operators.joins import block_join
-from stratagrid.operators.vector import boxes, disc
+from stratagrid.operators.patches import Patch, map_patches
+from stratagrid.operators.vector import disc, touched_blocks
 from stratagrid.scratch import lookup, materialize
 
 CELL = ["col", "row"]
@@ -74,17 +76,20 @@ def hillshade(dem: DataFrame, grid: GridSpec, value: str = "z") -> DataFrame:
 
     Gradients weigh the 3 x 3 window (1, 2, 1); a missing neighbour counts as the centre.
     """
-    around = neighbourhood(dem, [value])
-    p, q = F.lit(0.0), F.lit(0.0)
-    for code, dc, dr in DIRECTIONS:
-        rise = F.coalesce(F.col(f"{value}_{code}") - F.col(value), F.lit(0))
-        if dc:
-            p = p + rise * F.lit(float(dc * (1 if dr else 2)))
-        if dr:
-            q = q + rise * F.lit(float(dr * (1 if dc else 2)))
+    def gradients(patch: Patch) -> pa.Table:
+        z, p, q = patch.dense("z"), np.zeros(len(patch.cells)), np.zeros(len(patch.cells))
+        for code, dc, dr in DIRECTIONS:
+            near = patch.cells + patch.offset[code]
+            rise = np.where(patch.known[near], z[near] - z[patch.cells], 0)
+            p += rise * float(dc * (1 if dr else 2))
+            q += rise * float(dr * (1 if dc else 2))
+        return pa.table({"col": patch.col(patch.cells), "row": patch.row(patch.cells), "p": p, "q": q})
+
+    cells = dem.filter(F.col(value).isNotNull()).select(*CELL, F.col(value).cast("double").alias("z"))
+    around = map_patches(cells, grid, gradients, "col long, row long, p double, q double")
     run = F.lit(8.0 * grid.cell)
     return around.select(
-        *CELL, F.floor(F.round(shade(p / run, q / run), 6)).cast("long").alias("gridcode")
+        *CELL, F.floor(F.round(shade(F.col("p") / run, F.col("q") / run), 6)).cast("long").alias("gridcode")
     )
 
 
@@ -112,12 +117,7 @@ def near_cells(raster: DataFrame, points: DataFrame, reach: float, grid: GridSpe
     wanted blocks are written first, so that the planner knows how few they are; of a raster saved by
     place (``tables.save_raster`` with the same ``tile_blocks``) only their tiles are then read.
     """
-    boxed = boxes(points.select("x", "y"), reach)
-    cols = F.sequence(*_block_range(grid.col_at("xmin"), grid.col_at("xmax"), grid.ncol, grid))
-    rows = F.sequence(*_block_range(grid.row_at("ymax"), grid.row_at("ymin"), grid.nrow, grid))
-    wanted = boxed.select(F.explode(cols).alias("bc"), "ymin", "ymax").select(
-        "bc", F.explode(rows).alias("br")
-    ).distinct()
+    wanted = touched_blocks(points.select("x", "y"), reach, grid).select("bc", "br").distinct()
     keys = ["bc", "br"]
     if {"tile_col", "tile_row"} <= set(raster.columns):
         # the plain filter tells the optimizer that these keys can prune the partitions of the raster
@@ -130,33 +130,6 @@ def near_cells(raster: DataFrame, points: DataFrame, reach: float, grid: GridSpe
     return with_block(raster, grid).join(wanted, keys, "left_semi").drop(*keys)
 
 
-def _block_range(low: Column, high: Column, cells: int, grid: GridSpec) -> tuple[Column, Column]:
-    """First and last block of a cell range, kept inside the grid."""
-    top = (cells - 1) // grid.block
-    return tuple(
-        F.least(F.greatest(F.floor(c / F.lit(grid.block)), F.lit(0)), F.lit(top)) for c in (low, high)
-    )
-
-
-def window_cells(points: DataFrame, raster: DataFrame, half_width: float, size: float,
-                 grid: GridSpec) -> DataFrame:
-    """Raster cells in the square round each point: ``(point columns, raster columns)``.
-
-    ``points`` is ``(id, px, py, ...)``.  The raster is the large, salted side; each point's
-    square is copied to the blocks it touches.
-    """
-    squares = boxes(points.withColumnsRenamed({"px": "x", "py": "y"}), half_width).withColumnsRenamed(
-        {"x": "px", "y": "py"}
-    )
-    located = raster.withColumn("x", grid.x()).withColumn("y", grid.y())
-    inside = (F.abs(F.col("x") - F.col("px")) <= half_width) & (
-        F.abs(F.col("y") - F.col("py")) <= half_width
-    )
-    return block_join(located, squares, size, inside, CELL).drop(
-        "x", "y", "xmin", "xmax", "ymin", "ymax"
-    )
-
-
 def in_circle(radius: float, grid: GridSpec) -> Column:
     """True for window cells within ``radius`` of the window's point."""
     return disc(F.col("px"), F.col("py"), radius, grid)

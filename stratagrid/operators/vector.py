@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratagrid.functions.columns import average_rank, within_segment
 from stratagrid.grid import GridSpec
 from stratagrid.operators.components import group_components
+from stratagrid.scratch import materialize
 
 PIECE = 64  # cells of a road line that share one candidate box
 
@@ -49,8 +50,26 @@ def buffer_cells(points: DataFrame, radius: float, grid: GridSpec) -> DataFrame:
     ).drop("xmin", "xmax", "ymin", "ymax")
 
 
-def road_cells(roads: DataFrame, grid: GridSpec) -> DataFrame:
-    """Cells of the road strips.  Long lines are cut into pieces to keep candidate boxes small."""
+def block_range(low: Column, high: Column, cells: int, grid: GridSpec) -> Column:
+    """One row for each block of a range of cells, kept inside the grid."""
+    top = (cells - 1) // grid.block
+    return F.explode(F.sequence(*[
+        F.least(F.greatest(F.floor(c / F.lit(grid.block)), F.lit(0)), F.lit(top)) for c in (low, high)]))
+
+
+def touched_blocks(points: DataFrame, reach: float, grid: GridSpec, x: str = "x", y: str = "y") -> DataFrame:
+    """Each point once for every block within ``reach``: its columns and ``bc, br``."""
+    cols = block_range(grid.col_at(F.col(x) - reach), grid.col_at(F.col(x) + reach), grid.ncol, grid)
+    rows = block_range(grid.row_at(F.col(y) + reach), grid.row_at(F.col(y) - reach), grid.nrow, grid)
+    return points.withColumn("bc", cols).withColumn("br", rows)
+
+
+def road_cells(roads: DataFrame, grid: GridSpec, points: DataFrame | None = None, reach: float = 0.0) -> DataFrame:
+    """Cells of the road strips.  Long lines are cut into pieces to keep candidate boxes small.
+
+    With ``points`` only pieces that touch a block within ``reach`` of one become cells, and of those only
+    the cells in such blocks: the work follows the points, not the road network.
+    """
     reach = F.lit(PIECE * grid.cell)
     length = F.sqrt(
         (F.col("bx") - F.col("ax")) * (F.col("bx") - F.col("ax"))
@@ -70,6 +89,17 @@ def road_cells(roads: DataFrame, grid: GridSpec) -> DataFrame:
         "*", (F.least(x0, x1) - hw).alias("xmin"), (F.greatest(x0, x1) + hw).alias("xmax"),
         (F.least(y0, y1) - hw).alias("ymin"), (F.greatest(y0, y1) + hw).alias("ymax"),
     )
+    if points is not None:
+        wanted = materialize(touched_blocks(points.select("x", "y"), reach, grid).select("bc", "br").distinct())
+        size = F.lit(grid.block * grid.cell)
+        cols = block_range(grid.col_at("xmin"), grid.col_at("xmax"), grid.ncol, grid)
+        rows = block_range(grid.row_at("ymax"), grid.row_at("ymin"), grid.nrow, grid)
+        boxed = boxed.withColumn("bc", cols).withColumn("br", rows).join(wanted, ["bc", "br"], "left_semi").select(
+            "*", (grid.x0 + F.col("bc") * size).alias("_west"), (grid.y0 - F.col("br") * size).alias("_north")
+        ).select(
+            *roads.columns, F.greatest("xmin", "_west").alias("xmin"),
+            F.least(F.col("xmax"), F.col("_west") + size).alias("xmax"),
+            F.greatest(F.col("ymin"), F.col("_north") - size).alias("ymin"), F.least("ymax", "_north").alias("ymax"))
     return _cells_in_box(boxed, grid).filter(within_segment(grid.x(), grid.y())).select(
         "col", "row"
     ).distinct()

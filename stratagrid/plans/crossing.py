@@ -14,7 +14,7 @@ from stratagrid.scratch import materialize
 def parts_off_road(structures: DataFrame, roads: DataFrame, radius: float, grid: GridSpec) -> DataFrame:
     """Single parts of each structure's buffer after the road strips are cut out."""
     cells = vector.buffer_cells(structures.select("id", "x", "y"), radius, grid).select("id", "col", "row")
-    return vector.single_parts(vector.erase(cells, vector.road_cells(roads, grid)), ["id"], grid)
+    return vector.single_parts(vector.erase(cells, vector.road_cells(roads, grid, structures, radius)), ["id"], grid)
 
 
 def ranked_cells(parts: DataFrame, keep: float, grid: GridSpec) -> DataFrame:

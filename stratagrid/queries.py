@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratagrid.functions import columns as fn
-from stratagrid.operators import cost, fields, ledger as led, lines, nearest, raster, vector
+from stratagrid.operators import cost, fields, ledger as led, lines, nearest, raster, vector, windows
 from stratagrid.operators import joins
 from stratagrid.operators.components import components, group_components
 from stratagrid.plans import batch, classify, crossing, isolated, sinks
@@ -399,7 +399,7 @@ def buffer_cells(spark, sf):
 
 @query
 def buffer_erased(spark, sf):
-    roads = vector.road_cells(fx.roads(spark, sf), fx.grid_of(spark, sf))
+    roads = vector.road_cells(fx.roads(spark, sf), fx.grid_of(spark, sf), fx.structures(spark, sf), RADIUS_B)
     return vector.erase(_buffer(spark, sf, RADIUS_A).select("id", "col", "row"), roads)
 
 
@@ -505,11 +505,16 @@ def masked_cells(spark, sf):
     ).select("id", "col", "row", "z")
 
 
+def _window_input(spark, sf):
+    return fx.structures(spark, sf), fx.dem(spark, sf), fx.zones(spark, sf), FLOW_RADIUS, fx.grid_of(spark, sf)
+
+
+def _pieces(spark, sf):
+    return sinks.flow_windows(*_window_input(spark, sf))
+
+
 def _windows(spark, sf):
-    return sinks.flow_windows(
-        fx.structures(spark, sf), fx.dem(spark, sf), fx.zones(spark, sf), FLOW_RADIUS,
-        fx.grid_of(spark, sf),
-    )
+    return windows.window_rows(_pieces(spark, sf))
 
 
 @query
@@ -541,7 +546,7 @@ def outside_zone_cells(spark, sf):
 
 @query
 def target_cells(spark, sf):
-    return _windows(spark, sf).filter("target").select("id", "col", "row", "z")
+    return sinks.window_targets(*_window_input(spark, sf)).filter("target").select("id", "col", "row", "z")
 
 
 # ---------------------------------------------------------------- nearest neighbours
@@ -724,21 +729,21 @@ def fill_zone_count(spark, sf):
 
 @query
 def large_zones(spark, sf):
-    return raster.large_zones(terrain(spark, sf).fill_regions, MORE_THAN).select("col", "row", "zone")
+    return terrain(spark, sf).large_zones(MORE_THAN).select("col", "row", "zone")
 
 
 @query
 def flow_direction(spark, sf):
-    return terrain(spark, sf).directions
+    return terrain(spark, sf).directions.select("col", "row", "dir")
 
 
 @query
 def flow_accumulation(spark, sf):
-    return terrain(spark, sf).accumulation
+    return terrain(spark, sf).accumulation.select("col", "row", "acc")
 
 
 def _fill_zones(spark, sf):
-    return raster.large_zones(terrain(spark, sf).fill_regions, MORE_THAN)
+    return terrain(spark, sf).large_zones(MORE_THAN)
 
 
 def _sinks(spark, sf):
@@ -757,12 +762,12 @@ def sink_points(spark, sf):
 
 @query
 def cost_distance(spark, sf):
-    return cost.cost_distance(_windows(spark, sf), fx.grid_of(spark, sf), STRAIGHT, DIAGONAL, is_spread=True)
+    return cost.cost_distance(_pieces(spark, sf), fx.grid_of(spark, sf), STRAIGHT, DIAGONAL)
 
 
 @query
 def flow_paths(spark, sf):
-    return cost.flow_paths(_windows(spark, sf), fx.grid_of(spark, sf), STRAIGHT, DIAGONAL, is_spread=True)
+    return cost.flow_paths(_pieces(spark, sf), fx.grid_of(spark, sf), STRAIGHT, DIAGONAL, radius=FLOW_RADIUS)
 
 
 @query
@@ -781,7 +786,7 @@ def flow_path_lines(spark, sf):
 def road_crossing_lines(spark, sf):
     structures, roads = fx.structures(spark, sf), fx.roads(spark, sf)
     drawn = crossing.road_crossing_lines(
-        classify.on_road(structures, roads, JOIN_SIZE), roads, fx.dem(spark, sf),
+        classify.on_road(structures, roads, JOIN_SIZE), roads, terrain(spark, sf).dem,
         fx.grid_of(spark, sf), RADIUS_A, KEEP_A, DARK_A,
     )
     return lines.vertices(drawn, "id", "main_file_id", "one_sided")
@@ -791,7 +796,7 @@ def road_crossing_lines(spark, sf):
 def isolated_lines(spark, sf):
     structures, roads = fx.structures(spark, sf), fx.roads(spark, sf)
     drawn = isolated.isolated_lines(
-        classify.off_road(structures, roads, JOIN_SIZE), roads, fx.dem(spark, sf),
+        classify.off_road(structures, roads, JOIN_SIZE), roads, terrain(spark, sf).dem,
         fx.grid_of(spark, sf), RADIUS_B, KEEP_B, DARK_B, FRACTION,
     )
     return lines.vertices(drawn, "id", "main_file_id", "found")

@@ -54,6 +54,11 @@ def clean(spark: SparkSession) -> None:
         remove(spark, path)
 
 
+def note_written(spark: SparkSession, path: str) -> None:
+    """Let ``clean`` delete a table that was written by other means."""
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+
+
 def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back.
 
@@ -63,7 +68,7 @@ def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = path or f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    note_written(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

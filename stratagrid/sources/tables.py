@@ -81,9 +81,12 @@ def save_raster(cells: DataFrame, path: str, grid: GridSpec, tile_blocks: int =
         .write.mode("overwrite").partitionBy("tile_col", "tile_row").parquet(path)
 
 
-def read_raster(spark: SparkSession, path: str) -> DataFrame:
-    """A raster saved by place, with its ``tile_col`` and ``tile_row``."""
-    return spark.read.parquet(path)
+def read_raster(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A raster saved by place, with its ``tile_col`` and ``tile_row``; ``schema`` is that of its cells."""
+    if schema is None:
+        return spark.read.parquet(path)
+    placed = T.StructType([*schema, T.StructField("tile_col", T.IntegerType()), T.StructField("tile_row", T.IntegerType())])
+    return spark.read.schema(placed).parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
