@@ -70,12 +70,12 @@ def road_cells(roads: DataFrame, grid: GridSpec, points: DataFrame | None = None
     With ``points`` only pieces that touch a block within ``reach`` of one become cells, and of those only
     the cells in such blocks: the work follows the points, not the road network.
     """
-    reach = F.lit(PIECE * grid.cell)
+    piece = F.lit(PIECE * grid.cell)
     length = F.sqrt(
         (F.col("bx") - F.col("ax")) * (F.col("bx") - F.col("ax"))
         + (F.col("by") - F.col("ay")) * (F.col("by") - F.col("ay"))
     )
-    pieces = roads.withColumn("_n", F.greatest(F.ceil(length / reach), F.lit(1))).withColumn(
+    pieces = roads.withColumn("_n", F.greatest(F.ceil(length / piece), F.lit(1))).withColumn(
         "_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))
     )
 
