@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,12 @@ class Codec:
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines) if token}
-        self._texts = tiktoken.Encoding("texts", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self._pieces = tiktoken.Encoding("pieces", pat_str="(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+
+        def encoding(split: str) -> tiktoken.Encoding:
+            return tiktoken.Encoding("local", pat_str=split, mergeable_ranks=ranks, special_tokens={})
+
+        self._texts = encoding(pattern)
+        self._piece = cache(lambda: encoding("(?s:.+)"))  # only texts with a very long run need it
 
     def encode(self, text: str) -> list[int]:
         """All ids of a text, the same as of the text encoded at once."""
@@ -47,7 +52,7 @@ class Codec:
             # the last white space before another character belongs to what follows
             end = run.end() - (run.end() < len(text))
             ids += self._stretches(text, begin, run.start())
-            ids += self._pieces.encode_ordinary(text[run.start():end])
+            ids += self._piece().encode_ordinary(text[run.start():end])
             begin = end
         return ids + self._stretches(text, begin, len(text))
 
@@ -80,6 +85,18 @@ def rank_file(path: str | None, pattern: str | None) -> tuple[str, str]:
     return path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
 
 
+def _ids(own: Codec, texts: pa.Array) -> pa.Array:
+    ends, parts = [0], [np.zeros(0, np.int32)]
+    for body in texts:
+        parts.append(np.array(own.encode(body.as_py() or ""), np.int32))
+        ends.append(ends[-1] + len(parts[-1]))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts)))
+
+
+def _bytes(own: Codec, ids: pa.Array) -> pa.Array:
+    return pa.array([own.decode(row.values.to_numpy().tolist()) if row.is_valid else b"" for row in ids], pa.binary())
+
+
 def encode(text: Column, path: str | None = None, pattern: str | None = None) -> Column:
     """Ids of a text column as ``array<int>``; a null text is empty and has none."""
     ranks, split = rank_file(path, pattern)
@@ -88,13 +105,7 @@ def encode(text: Column, path: str | None = None, pattern: str | None = None) ->
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(ranks, split)
         for column in batches:
-            ends, parts = [0], []
-            for body in column:
-                ids = np.array(own.encode(body.as_py() or ""), np.int32)
-                parts.append(ids)
-                ends.append(ends[-1] + len(ids))
-            values = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+            yield _ids(own, column)
 
     return to_ids(text)
 
@@ -107,8 +118,7 @@ def decode(ids: Column, path: str | None = None, pattern: str | None = None) ->
     def to_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(ranks, split)
         for column in batches:
-            yield pa.array([own.decode(row.values.to_numpy().tolist()) if row.is_valid else b"" for row in column],
-                           pa.binary())
+            yield _bytes(own, column)
 
     return to_bytes(ids)
 
@@ -120,5 +130,14 @@ def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
     A null or empty text has no ids and no bytes.  Repeated rows and null ids stay as they are; an empty
     table gives an empty result; other columns are ignored.
     """
-    encoded = docs.select(F.col(doc_id).alias("doc_id"), encode(F.col(text), path, pattern).alias("ids"))
-    return encoded.withColumn("decoded", decode(F.col("ids"), path, pattern))
+    ranks, split = rank_file(path, pattern)
+
+    @F.arrow_udf("ids array<int>, decoded binary")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = codec(ranks, split)
+        for column in batches:
+            ids = _ids(own, column)
+            yield pa.StructArray.from_arrays([ids, _bytes(own, ids)], ["ids", "decoded"])
+
+    # one pass through one worker; a text's ids and bytes never wait for another stage
+    return docs.select(F.col(doc_id).alias("doc_id"), both(F.col(text)).alias("both")).select("doc_id", "both.*")
