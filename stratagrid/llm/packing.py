@@ -1,7 +1,8 @@
 """Bounded-space online packing of token ids into sequences of a fixed capacity.
 
-Each task keeps at most ``open_windows`` windows.  A piece goes to the window it fits best.  When none
-fits, the fullest is sent out; if it lacks more than ``cut_gap`` ids, the piece is cut to fill it first.
+Each task keeps at most ``open_windows`` windows.  A document goes to the window it fits best.  When none
+fits, the fullest is sent out; if it lacks more than ``cut_gap`` ids, the document is cut to fill it first.
+Else only documents longer than a window are cut.
 What stays open at the end of the tasks is merged: pieces of a few neighbouring tasks meet and are
 placed best-fit, longest first.  Nothing else is shuffled, and no task sees more than its own split or
 the leftovers of ``MERGED`` tasks.
@@ -18,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratagrid.llm.tokens import encoder, vocabulary_path
+from stratagrid.llm.tokens import CACHE, encoder, vocabulary_path
 from stratagrid.scratch import materialize
 
 CAPACITY, OPEN_WINDOWS, CUT_GAP, MERGED = 2048, 64, 32, 8
@@ -72,32 +73,25 @@ def place(pieces: Iterator[tuple], windows: OpenWindows, cut_gap: int) -> Iterat
         return doc_id, start, len(ids) // 4, ids, doc_tokens
 
     for doc_id, start, ids, doc_tokens in pieces:
-        while ids:
-            length = len(ids) // 4
-            if length > windows.capacity:
-                length = windows.capacity
-            at = windows.best(length)
-            if at is None and windows.full:
-                room = windows.rooms[0][0]
-                for spot in range(len(windows.rooms) - 1, -1, -1):  # the roomiest that a cut can fill
-                    if windows.rooms[spot][0] > cut_gap:
-                        room = windows.rooms[spot][0]
-                        break
+        at, total = 0, len(ids) // 4  # an offset moves on, so that a very long text is copied once
+        while at < total:
+            length = min(total - at, windows.capacity)
+            spot = windows.best(length)
+            if spot is None and windows.full:
+                room = windows.rooms[0][0]  # of the fullest
+                if room > cut_gap:
+                    spot, length = 0, room  # filled by a cut, it goes out as full
                 else:
-                    spot = None
-                if spot is None:
                     yield windows.pop_fullest()
-                else:
-                    at, length = spot, room
-            closed = windows.put(at, piece(doc_id, start, ids[:4 * length], doc_tokens), length)
+            closed = windows.put(spot, piece(doc_id, start + at, ids[4 * at:4 * (at + length)], doc_tokens), length)
             if closed:
                 yield closed
-            ids, start = ids[4 * length:], start + length
+            at += length
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None,
          end_id: int = 1, capacity: int = CAPACITY, open_windows: int = OPEN_WINDOWS,
-         cut_gap: int = CUT_GAP) -> DataFrame:
+         cut_gap: int = CUT_GAP, cache: int = CACHE) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset, ids_crc32``.
 
     A document is its ids and ``end_id``; a null text is empty and has only that.  ``start`` counts the
@@ -105,13 +99,13 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
     ``ids`` are the piece's ids as little-endian 32-bit integers, ``ids_crc32`` is their checksum: the
     pieces of a ``sequence_id`` in order of ``offset`` are the sequence.  Every id lies in one piece;
     repeated rows and null ids are packed like any other.  Reruns over the same files agree.  Other
-    columns are ignored.
+    columns are ignored.  A worker keeps the ids of at most ``cache`` chunks of text.
     """
     path = vocabulary_path(vocabulary)
     end = end_id.to_bytes(4, "little")
 
     def place_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(path, cache).encode
         windows = OpenWindows(capacity, open_windows)
         task = TaskContext.get().partitionId()
 

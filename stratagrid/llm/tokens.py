@@ -12,11 +12,14 @@ import os
 import re
 from array import array
 
-CACHE = 1 << 18  # chunks a worker keeps at most
+CACHE = 1 << 20  # chunks a worker keeps at most by default, about 200 bytes each
+LONGEST = 64  # characters of a chunk that is kept at most: longer ones rarely come again
 _UNSAFE = re.compile(r"\s (?:\s|$)")  # white space around a space: cutting there would split a run
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )")
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks but the apostrophe, which may open a piece
-_loaded: dict[str, "Encoder"] = {}
+# The pieces of the pre-tokenizer where only ASCII occurs.
+_PLAIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+_loaded: dict[tuple[str, int], "Encoder"] = {}
 
 
 def _byte_letters() -> dict[int, str]:
@@ -34,7 +37,7 @@ class _Chunks(dict):
         self._encoder, self._lead = encoder, lead
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHE:
+        if len(self) >= self._encoder.cache:
             self.clear()
         word = chunk.rstrip(_MARKS)
         if word and word.isalpha():  # letters, then marks: one piece each
@@ -42,16 +45,20 @@ class _Chunks(dict):
                 ids = self._encoder.piece_ids(self._lead + word)
             else:
                 ids = self[word] + self._encoder.mark_ids(chunk[len(word):])
+        elif chunk.isascii():
+            ids = b"".join(map(self._encoder.mark_ids, _PLAIN_PIECES.findall(self._lead + chunk)))
         else:
             ids = self._encoder.chunk_ids(self._lead + chunk)
-        self[chunk] = ids
+        if len(chunk) <= LONGEST:
+            self[chunk] = ids
         return ids
 
 
 class Encoder:
     """Encodes texts as the library does with ``add_special_tokens=False``: an added token in a text is one id."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
+        self.cache = cache
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
@@ -66,6 +73,7 @@ class Encoder:
         self._model = self.tokenizer.model.tokenize
         self._letters = _byte_letters()
         self._marks: dict[str, bytes] = {}
+        self._packed = [n.to_bytes(4, "little") for n in range(self.vocabulary)]
         self._spaced, self._plain = _Chunks(self, " "), _Chunks(self, "")
 
     @property
@@ -73,18 +81,22 @@ class Encoder:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def _ids(self, mapped: str) -> bytes:
-        return array("I", [t.id for t in self._model(mapped)]).tobytes()
+        return b"".join([self._packed[t.id] for t in self._model(mapped)])
 
     def piece_ids(self, piece: str) -> bytes:
         """Ids of a text that the pre-tokenizer would leave whole."""
+        if piece.isascii() and piece.isprintable():  # only the space has another letter
+            return self._ids(piece.replace(" ", self._letters[32]))
         return self._ids(piece.encode().decode("latin-1").translate(self._letters))
 
     def mark_ids(self, marks: str) -> bytes:
         ids = self._marks.get(marks)
         if ids is None:
-            if len(self._marks) >= CACHE:
+            if len(self._marks) >= self.cache >> 2:
                 self._marks.clear()
-            ids = self._marks[marks] = self.piece_ids(marks)
+            ids = self.piece_ids(marks)
+            if len(marks) <= LONGEST:
+                self._marks[marks] = ids
         return ids
 
     def chunk_ids(self, chunk: str) -> bytes:
@@ -102,11 +114,11 @@ class Encoder:
         return first + b"".join(map(self._spaced.__getitem__, chunks))
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file."""
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+def encoder(path: str, cache: int = CACHE) -> Encoder:
+    """The worker's encoder for a vocabulary file, with at most ``cache`` chunks kept."""
+    if (path, cache) not in _loaded:
+        _loaded[path, cache] = Encoder(path, cache)
+    return _loaded[path, cache]
 
 
 def vocabulary_path(path: str | None) -> str:
