@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratagrid.llm.carried import carry, given_back
 from stratagrid.llm.keyset import key_set
 from stratagrid.scratch import materialize
 
@@ -74,13 +75,11 @@ def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     """The rows of ``docs`` that stay, with all their columns.
 
     Rows that no other can equal pass straight through; only suspects are hashed and meet in a join.
+    Columns may have any names.
     """
-    t = _text(text)
-    marked = docs.withColumn("_suspect", suspects(docs, text))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    hashed = marked.filter("_suspect").select(*columns, F.sha2(t, 256).alias("_digest"))
-    last = materialize(hashed.groupBy("_digest").agg(F.max(F.col(doc_id)).alias("_keep")))
-    staying = hashed.join(last.select(F.col("_digest"), F.col("_keep")), "_digest").filter(
-        F.col(doc_id).eqNullSafe(F.col("_keep"))
-    ).dropDuplicates(["_digest"])
-    return marked.filter("not _suspect").select(*columns).unionByName(staying.select(*columns))
+    marked = carry(docs, doc_id=F.col(doc_id), text=_text(text), suspect=suspects(docs, text))
+    hashed = marked.filter("suspect").select("own", "doc_id", F.sha2("text", 256).alias("digest"))
+    last = materialize(hashed.groupBy("digest").agg(F.max("doc_id").alias("keep")))
+    staying = hashed.join(last, "digest").filter(F.col("doc_id").eqNullSafe(F.col("keep"))).dropDuplicates(["digest"])
+    passing = marked.filter("not suspect").select("own")
+    return passing.select(*given_back(passing)).unionByName(staying.select(*given_back(passing)))

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratagrid.llm.carried import carry, given_back
 from stratagrid.llm import sketch
 from stratagrid.llm.keyset import key_set
 from stratagrid.llm.words import mix, rolling, slices, word_hashes
@@ -281,19 +282,20 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """One row of each component, with all its columns: of least id (null last), then of least text hash.
 
     Rows without words stay.  Documents whose id cannot be among those that go pass without a shuffle.
+    Columns may have any names.
     """
     found = materialize(_components(docs, doc_id, text, width, percent, None).filter("n_shingles > 0").groupBy(
         "doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("component_id")) & (
-            F.col("text_hash") == F.col("first_hash"))).alias("_stays")).agg(F.count(F.lit(1)).alias("rows")))
+            F.col("text_hash") == F.col("first_hash"))).alias("stays")).agg(F.count(F.lit(1)).alias("rows")))
     # rows that go, and rows that repeat the one that stays
-    marks = materialize(found.filter("not _stays or rows > 1").select(
-        F.xxhash64("doc_id", "text_hash").alias("_key"), F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"),
-        "_stays"))
-    key = F.xxhash64(F.col(doc_id).cast("long"), F.xxhash64(F.col(text)))
-    marked = docs.withColumn("_may_go", key_set(marks, "_key").may_hold(key))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    unsure = marked.filter("_may_go").join(marks, F.col(doc_id).cast("long").eqNullSafe(F.col("_d")) & (
-        F.xxhash64(F.col(text)) == F.col("_t")), "left")
-    once = unsure.filter("_stays").dropDuplicates(["_d", "_t"])
-    return marked.filter("not _may_go").select(*columns).unionByName(
-        unsure.filter("_stays is null").select(*columns)).unionByName(once.select(*columns))
+    marks = materialize(found.filter("not stays or rows > 1").select(
+        F.xxhash64("doc_id", "text_hash").alias("key"), F.col("doc_id").alias("mark_id"),
+        F.col("text_hash").alias("mark_hash"), "stays"))
+    rows = carry(docs, doc_id=F.col(doc_id).cast("long"), text_hash=F.xxhash64(F.col(text)))
+    marked = rows.withColumn("may_go", key_set(marks, "key").may_hold(F.xxhash64("doc_id", "text_hash")))
+    unsure = marked.filter("may_go").join(marks, F.col("doc_id").eqNullSafe(F.col("mark_id")) & (
+        F.col("text_hash") == F.col("mark_hash")), "left")
+    once = unsure.filter("stays").dropDuplicates(["mark_id", "mark_hash"])
+    parts = [marked.filter("not may_go"), unsure.filter("stays is null"), once]
+    first, *rest = [part.select(*given_back(marked)) for part in parts]
+    return first.unionByName(rest[0]).unionByName(rest[1])

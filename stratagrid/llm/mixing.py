@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratagrid.llm.carried import carry, given_back
 from stratagrid.scratch import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -177,21 +178,26 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """The mix as documents: the columns of ``docs``, one row per document and pass that takes words of it.
 
     Pass ``e`` holds the words of the blocks taken at least ``e`` times.  A document that a pass takes
-    whole keeps its text; otherwise the words taken are joined by one space.
+    whole keeps its text; otherwise the words taken are joined by one space.  Rows that repeat an id,
+    source and text count as copies of one row and come back with its other columns; columns may have
+    any names.
     """
     plan = mix(docs, doc_id, text, source, block_words=block_words, **options).filter("taken > 0")
-    places = plan.groupBy(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("row").alias("_r")).agg(
-        F.collect_list(F.struct("start", "size", F.map_from_entries("times").alias("times"))).alias("_places"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.withColumn("_row", F.xxhash64(F.col(text)))
-    held = keyed.dropDuplicates([doc_id, source, "_row"]) if keyed.columns else keyed
-    joined = held.join(places, F.col(doc_id).cast("long").eqNullSafe(F.col("_d"))
-                       & F.col(source).cast("string").eqNullSafe(F.col("_s")) & (F.col("_row") == F.col("_r")))
-    passes = joined.select(*columns, F.explode("_places").alias("_p")).select(
-        *columns, "_p", F.explode(F.sequence(F.lit(1), F.array_max(F.map_values("_p.times")))).alias("_e"))
-    least = F.array_min(F.map_values("_p.times"))
-    words = F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))
-    some = F.array_join(F.filter(words, lambda w, i: F.element_at(
-        F.col("_p.times"), F.floor((F.col("_p.start") + i) / block_words)) >= F.col("_e")), " ")
-    out = passes.withColumn("_text", F.when(least >= F.col("_e"), F.col(text)).otherwise(some))
-    return out.select(*[F.col("_text").alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    # a document's blocks follow each other, so their counts are found by position
+    counts = F.transform(F.sort_array("times"), lambda t: t.n).alias("counts")
+    places = plan.groupBy("doc_id", "source", "row").agg(F.collect_list(F.struct("start", counts)).alias("places")).select(
+        F.col("doc_id").alias("place_id"), F.col("source").alias("place_source"), F.col("row").alias("place_row"), "places")
+    rows = carry(docs, doc_id=F.col(doc_id).cast("long"), source=F.col(source).cast("string"),
+                 row=F.xxhash64(F.col(text)), text=F.col(text)).dropDuplicates(["doc_id", "source", "row"])
+    joined = rows.join(places, F.col("doc_id").eqNullSafe(F.col("place_id")) & F.col("source").eqNullSafe(
+        F.col("place_source")) & (F.col("row") == F.col("place_row")))
+    passes = joined.select("own", "text", F.explode("places").alias("place")).select(
+        "own", "text", "place", F.explode(F.sequence(F.lit(1), F.array_max("place.counts"))).alias("turn"))
+    first_block = F.floor(F.col("place.start") / block_words)
+    words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
+    some = F.array_join(F.filter(words, lambda w, i: F.get(
+        F.col("place.counts"), (F.floor((F.col("place.start") + i) / block_words) - first_block).cast("int")
+    ) >= F.col("turn")), " ")
+    out = passes.select("own", F.when(F.array_min("place.counts") >= F.col("turn"), F.col("text")).otherwise(some).alias("taken"))
+    return out.select(*[F.col("taken").alias(text) if c == text else given
+                        for c, given in zip(docs.columns, given_back(out))])

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratagrid.llm.carried import carry, given_back
 from stratagrid.llm.words import slices, span_hashes, text_bytes, word_spans
 from stratagrid.scratch import materialize
 
@@ -147,20 +148,24 @@ def kth_greatest(keys: DataFrame, column: str, k: int) -> float:
 
 
 def resample(docs: DataFrame, ratios: np.ndarray, doc_id: str = "doc_id", text: str = "text", k: int | None = None,
-             slack: float = SLACK, seed: int = 11) -> DataFrame:
+             slack: float = SLACK, seed: int = 11, with_numbers: bool = True) -> DataFrame:
     """The ``k`` documents drawn, with all columns of ``docs`` and ``log_weight`` and ``gumbel_key``.
 
+    These two replace columns of their names; without ``with_numbers`` the result has the caller's
+    columns alone.
+
     Without ``k``, as many are drawn as there are documents that the raw model explains at most
     ``exp(slack)`` times better than the target does.  A text without words, or null, has no weight and is never drawn.  Rows
     that tie with the kth all stay, so equal rows stay or go together.  An empty table gives an empty result.
     """
-    if {"log_weight", "gumbel_key"} & set(docs.columns):
-        docs = docs.drop("log_weight", "gumbel_key")
-    noise = gumbel(seed, F.col(doc_id).cast("string"), F.xxhash64(F.col(text)))
-    keyed = docs.withColumn("log_weight", log_weight(F.col(text), ratios)).withColumn(
+    rows = carry(docs, doc_id=F.col(doc_id), text=F.col(text))
+    noise = gumbel(seed, F.col("doc_id").cast("string"), F.xxhash64("text"))
+    keyed = rows.withColumn("log_weight", log_weight(F.col("text"), ratios)).withColumn(
         "gumbel_key", F.col("log_weight") + noise)
+    numbers = ["log_weight", "gumbel_key"] if with_numbers else []
+    columns = [*given_back(keyed, tuple(numbers)), *numbers]
     keys = materialize(keyed.select("log_weight", "gumbel_key").filter("gumbel_key is not null"))
     k = keys.filter(F.col("log_weight") >= -slack).count() if k is None else k
     if k <= 0:
-        return keyed.limit(0)
-    return keyed.filter(F.col("gumbel_key") >= F.lit(kth_greatest(keys, "gumbel_key", k)))
+        return keyed.limit(0).select(*columns)
+    return keyed.filter(F.col("gumbel_key") >= F.lit(kth_greatest(keys, "gumbel_key", k))).select(*columns)

@@ -19,7 +19,7 @@ from stratagrid.llm.words import mix
 
 MIN_CELLS, MAX_CELLS = 1 << 20, 1 << 31
 BLOCK = 1 << 15
-FLUSH = 1 << 22  # touched cells that a task holds at most before it sends them
+FLUSH = 1 << 20  # touched cells that a task holds at most before it sends them
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03], np.uint64)
 
 
