@@ -17,11 +17,15 @@ from stratagrid.scratch import scratch_dir
 from stratagrid.ship import ship_package
 
 
+#: Chunks whose ids a worker keeps: the workers of the earlier stages stay alive beside it.
+TOKEN_CACHE = 1 << 18
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by importance resampling towards the labelled good ones; rejected ones go."""
     ship_package(spark)
     ratios = resample.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return resample.resample(docs, ratios).select(*docs.columns)
+    return resample.resample(docs, ratios, with_numbers=False)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed token sequences."""
     ship_package(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, cache=TOKEN_CACHE)
 
 
 STAGES = [
