@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from stratagrid.llm.carried import carry, given_back
 from stratagrid.llm import sketch
 from stratagrid.llm.keyset import key_set
+from stratagrid.llm.lean import lean
 from stratagrid.llm.words import mix, rolling, slices, word_hashes
 from stratagrid.operators.graph import connect
 from stratagrid.scratch import Rounds, materialize
@@ -57,6 +58,7 @@ def _nodes(docs: DataFrame, width: int, percent: int, repeated) -> DataFrame:
     """Per document: set size, node (the set's 128-bit signature), and once for each set and task the
     section counts and the prefix shingles that other documents may have."""
 
+    @lean
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         estimate = repeated.value
         seen: set[bytes] = set()
@@ -261,6 +263,7 @@ def _gram_sets(keyed: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     A bitmap of the wanted documents keeps most others out of the join that finds them.
     """
 
+    @lean
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end in slices(batch.column("body")):

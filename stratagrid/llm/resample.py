@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratagrid.llm.carried import carry, given_back
+from stratagrid.llm.lean import hand_back, lean
 from stratagrid.llm.words import slices, span_hashes, text_bytes, word_spans
 from stratagrid.scratch import materialize
 
@@ -67,6 +68,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     chosen = np.sort(np.array([r[0] for r in good.orderBy(F.xxhash64("id"), "id").limit(max_labelled).collect()],
                               np.int64))
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
@@ -81,6 +83,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             pa.array([p // PAGE for p in pages], pa.int32()), pa.array([raw[p:p + PAGE].tobytes() for p in pages]),
             pa.array([target[p:p + PAGE].tobytes() for p in pages])], ["page", "raw", "target"])
 
+    @lean
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -118,6 +121,7 @@ def log_weight(text: Column, ratios: np.ndarray) -> Column:
                 if len(rows):  # each row summed on its own: the same in every batch
                     out[begin + rows] = np.add.reduceat(ratios[bucket], first[rows])
             yield pa.array(out)
+            hand_back()
 
     return F.nullif(weigh(text), F.lit(float("nan")))
 

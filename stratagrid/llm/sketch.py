@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratagrid.llm.lean import lean
 from stratagrid.llm.words import mix
 
 MIN_CELLS, MAX_CELLS = 1 << 20, 1 << 31
@@ -71,6 +72,7 @@ def repeated_keys(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[
                   depth: int = 1) -> Repeated:
     """Count the keys of all rows; ``keys_of`` yields arrays in which a document has a key once."""
 
+    @lean
     def touch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def send(touched: list[np.ndarray]) -> pa.RecordBatch:
             blocks, codes = zip(*_payloads(touched))
@@ -88,6 +90,7 @@ def repeated_keys(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[
         if held:
             yield send(touched)
 
+    @lean
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, np.ndarray] = {}
         for batch in batches:
