@@ -133,6 +133,8 @@ oracle("ledger_next_ids", """select coalesce(max(fid) + 1, 1) as next_fid, coale
   from ledger""", LEDGER)
 oracle("ledger_latest_batch", """select fid, main_file_id, processed, ftp from ledger
   where processed = (select max(processed) from ledger) and ftp <> 'Invalid'""", LEDGER)
+oracle("ledger_newest_stored", """select fid, main_file_id, processed, ftp from ledger
+  where processed = (select max(processed) from ledger) and ftp <> 'Invalid'""", LEDGER)
 oracle("ledger_pending", "select id from structures where id not in (select main_file_id from ledger)", STRUCTURES, LEDGER)
 oracle("tiles_pending", """select tilename, split_part(ascii_path, '/', 3) as file_name from tiles
   where split_part(ascii_path, '/', 3) not in (select file_name from ledger)""", DEM, TILES, LEDGER)

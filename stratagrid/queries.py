@@ -225,13 +225,25 @@ def _folder(spark, name):
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@query
-def ledger_batch_append(spark, sf):
-    """Plan a batch, append it to a written ledger, read the ledger back; the time is left out."""
+def _stored_ledger(spark, sf):
     path = _folder(spark, "ledger")
     old = fx.ledger(spark, sf)
     missing = [f for f in tab.LEDGER_SCHEMA if f.name not in old.columns]
     tab.append_ledger(old.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing]), path)
+    return path
+
+
+@query
+def ledger_newest_stored(spark, sf):
+    """The newest batch of a stored ledger, found from its folders and read alone."""
+    newest = led.valid(tab.read_newest(spark, _stored_ledger(spark, sf)))
+    return newest.select("fid", "main_file_id", "processed", "ftp")
+
+
+@query
+def ledger_batch_append(spark, sf):
+    """Plan a batch, append it to a written ledger, read the ledger back; the time is left out."""
+    path = _stored_ledger(spark, sf)
     tab.append_ledger(_plan(spark, sf), path)
     return tab.read_ledger(spark, path).select(
         "fid", "file_name", "file_path", "ftp", "processed", "main_file_id", "x_location", "y_location")

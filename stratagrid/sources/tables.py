@@ -92,7 +92,7 @@ def read_raster(spark: SparkSession, path: str, schema: T.StructType | None = No
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger table; empty, with the fixed schema, when nothing has been written yet."""
     try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+        return spark.read.schema(LEDGER_SCHEMA).parquet(path).select(*LEDGER_SCHEMA.names)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -100,5 +100,28 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:
+    """Add rows to the ledger, which is stored by batch."""
     rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA]) \
-        .write.mode("append").parquet(path)
+        .write.mode("append").partitionBy("processed").parquet(path)
+
+
+def newest_batch(spark: SparkSession, path: str) -> int | None:
+    """The greatest batch number of a stored ledger, from its folders alone; None for an empty one."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(context._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return None
+    names = [s.getPath().getName() for s in system.listStatus(target) if s.isDirectory()]
+    numbers = [n.removeprefix("processed=") for n in names if n.startswith("processed=")]
+    return max((int(n) for n in numbers if n.lstrip("-").isdigit()), default=None)
+
+
+def read_newest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest batch of a stored ledger; of all its rows only these are read.
+
+    Numbers grow from batch to batch, so ``ledger.next_ids`` of these rows is that of the whole ledger.
+    """
+    newest = newest_batch(spark, path)
+    ledger = read_ledger(spark, path)
+    return ledger.limit(0) if newest is None else ledger.filter(F.col("processed") == newest)
