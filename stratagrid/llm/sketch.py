@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from stratagrid.llm.lean import lean
 from stratagrid.llm.words import mix
 
-MIN_CELLS, MAX_CELLS = 1 << 20, 1 << 31
+MIN_CELLS, MAX_CELLS = 1 << 20, 1 << 31  # two rows of them are told apart by 32 bits
 BLOCK = 1 << 15
-FLUSH = 1 << 20  # touched cells that a task holds at most before it sends them
+FLUSH = 1 << 21  # touched cells that a task holds at most before it sends them
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03], np.uint64)
 
 
@@ -53,7 +53,9 @@ class Repeated:
 
 
 def _payloads(touched: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
-    at = np.sort(np.concatenate(touched))
+    at = np.concatenate(touched)
+    touched.clear()
+    at.sort()
     new = np.empty(len(at), bool)
     new[0] = True
     np.not_equal(at[1:], at[:-1], out=new[1:])
@@ -82,7 +84,7 @@ def repeated_keys(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[
         for batch in batches:
             for keys in keys_of(batch):
                 for row in range(depth):
-                    touched.append(_cell(keys, row, cells).astype(np.int64) + row * cells)
+                    touched.append((_cell(keys, row, cells) + np.uint64(row * cells)).astype(np.uint32))
                     held += len(keys)
                 if held >= FLUSH:
                     yield send(touched)
