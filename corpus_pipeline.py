@@ -18,7 +18,7 @@ from stratagrid.ship import ship_package
 
 
 #: Chunks whose ids a worker keeps: the workers of the earlier stages stay alive beside it.
-TOKEN_CACHE = 1 << 18
+TOKEN_CACHE = 1 << 16
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
