@@ -21,7 +21,7 @@ from stratagrid.scratch import materialize
 
 SLICE, BLOCK, GROUP = 4096, 1024, 4
 BITS = 4
-LARGEST = 1 << 20  # components are cut to this size, so that sums of products stay exact
+LARGEST = 1 << 62  # scores beyond it do not fit 64 bits with room for their bounds: an error, never a cut
 _SLICES = "slice long, n int, dims int, ids binary, exact binary, cells binary, origin binary, step binary"
 
 
@@ -34,7 +34,7 @@ def _vectors(batch: pa.RecordBatch, scale: float) -> tuple[np.ndarray, list[np.n
         x = vector.values.to_numpy(zero_copy_only=False).astype(np.float64)  # a null component becomes NaN
         if np.isfinite(x).all():
             ids.append(name)
-            rows.append(np.clip(np.floor(x * scale), -LARGEST, LARGEST))
+            rows.append(np.floor(x * scale))
     return np.array(ids, np.int64), rows
 
 
@@ -53,11 +53,13 @@ def _store(vectors: DataFrame, rows_each: int, scale: float) -> DataFrame:
         def close(some: int) -> pa.RecordBatch:
             nonlocal n, ids, rows
             matrix = _matrix(rows[:some])
+            if np.abs(matrix).max(initial=0) >= 2.0 ** 53:
+                raise ValueError("a component is too large to be scored exactly")
             low = matrix.min(axis=0)
             step = np.floor((matrix.max(axis=0) - low) / (1 << BITS)) + 1
             cells = ((matrix - low) // step).astype(np.uint8)
             row = {"slice": task * (1 << 32) + n, "n": some, "dims": matrix.shape[1],
-                   "ids": np.array(ids[:some], np.int64).tobytes(), "exact": matrix.astype(np.int32).tobytes(),
+                   "ids": np.array(ids[:some], np.int64).tobytes(), "exact": matrix.astype(np.int64).tobytes(),
                    "cells": cells.tobytes(), "origin": low.tobytes(), "step": step.tobytes()}
             ids, rows, n = ids[some:], rows[some:], n + 1
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([
@@ -79,7 +81,7 @@ def _store(vectors: DataFrame, rows_each: int, scale: float) -> DataFrame:
 def _read(row: dict, prefix: str = "") -> tuple[np.ndarray, np.ndarray]:
     n, dims = row[prefix + "n"], row[prefix + "dims"]
     return (np.frombuffer(row[prefix + "ids"], np.int64),
-            np.frombuffer(row[prefix + "exact"], np.int32).reshape(n, dims).astype(np.int64))
+            np.frombuffer(row[prefix + "exact"], np.int64).reshape(n, dims))
 
 
 def search_slice(row: dict, k: int) -> Iterator[tuple[int, int, int]]:
@@ -95,7 +97,11 @@ def search_slice(row: dict, k: int) -> Iterator[tuple[int, int, int]]:
     # twice the cells' middles and radii are integers
     middle = 2 * origin + (2 * cells + 1) * step - 1
     estimate = queries.astype(np.float64) @ middle.T
-    radius = np.abs(queries).astype(np.float64) @ (step - 1)
+    reach = np.abs(queries).astype(np.float64) @ np.abs(middle).max(axis=0, initial=0)
+    if reach.max(initial=0) >= LARGEST:
+        raise ValueError("vectors are too large to be scored exactly in 64 bits")
+    # the slack covers the rounding of sums beyond 53 bits
+    radius = np.abs(queries).astype(np.float64) @ (step - 1) + reach * (dims + 4) * 2.0 ** -52
     for q in range(len(queries)):
         others = np.flatnonzero(ids != query_ids[q])
         if not len(others):
@@ -108,7 +114,7 @@ def search_slice(row: dict, k: int) -> Iterator[tuple[int, int, int]]:
         order = np.argsort(-upper, kind="stable")
         others, upper = others[order], upper[order]
         scores, names, kth, at = np.zeros(0, np.int64), np.zeros(0, np.int64), None, 0
-        while at < len(others) and (kth is None or upper[at] >= 2 * kth):
+        while at < len(others) and (kth is None or upper[at] >= 2.0 * kth):
             some = others[at:at + 4 * k]
             at += 4 * k
             scores = np.append(scores, exact[some] @ queries[q])
@@ -127,7 +133,8 @@ def top_k(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
     Components become ``floor(scale * x)``; queries are the rows whose id ``every`` divides, candidates
     all rows of another id; ties go to the lesser id.  A vector that is null or holds a null or
     non-finite component takes no part, nor does a row without an id.  A shorter vector counts as
-    padded with zeros.  A row that repeats an id is a candidate, and a query, of its own.
+    padded with zeros.  A row that repeats an id is a candidate, and a query, of its own.  Vectors so large
+    that twice a score might not fit 64 bits raise an error.
     """
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("v"))
     slices = materialize(_store(rows, SLICE, scale))
