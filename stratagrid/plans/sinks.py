@@ -91,15 +91,14 @@ def pour_and_min_points(zones: DataFrame, inflow: DataFrame, grid: GridSpec):
     return tagged(pour_cells, "max", "fillelev"), tagged(min_cells, "min", "elev")
 
 
-def sink_points(zones: DataFrame, inflow: DataFrame, grid: GridSpec, k: int = 5,
-                size: float | None = None) -> DataFrame:
+def sink_points(zones: DataFrame, inflow: DataFrame, grid: GridSpec, k: int = 5) -> DataFrame:
     """One minimum point per zone: ``(pointid, x, y, fzone, elev, near_dist, mpcount)``."""
     pour, low = pour_and_min_points(zones, inflow, grid)
     pour, low = materialize(pour), materialize(low)
     near = nearest.near_table(
         low.select(F.col("pointid").alias("in_id"), "x", "y"),
         pour.select(F.col("pointid").alias("near_id"), F.col("x").alias("nx"), F.col("y").alias("ny")),
-        k, size,
+        k,
     )
     measured = nearest.with_near_distance(low, nearest.same_zone(near, low, pour))
     counts = low.groupBy("fzone").agg(F.count(F.lit(1)).alias("mpcount"))

@@ -159,7 +159,7 @@ def test_sink_points_keep_one_minimum_per_zone(spark):
         "col long, row long, z long, zone long",
     )
     inflow = spark.createDataFrame([(c, 0, a) for c, a in enumerate([0, 0, 0, 9, 0, 9])], "col long, row long, acc long")
-    got = sinks.sink_points(zones, inflow, grid_for(np.zeros((1, 6))), 5, 4.0).orderBy("fzone").collect()
+    got = sinks.sink_points(zones, inflow, grid_for(np.zeros((1, 6))), 5).orderBy("fzone").collect()
     assert [(r.pointid, r.fzone, r.elev, r.near_dist, r.mpcount) for r in got] == [(2, 1, 1.0, 1.0, 2), (4, 2, 4.0, 1.0, 1)]
     pour, low = sinks.pour_and_min_points(zones, inflow, grid_for(np.zeros((1, 6))))
     assert sorted((r.pointid, r.fillelev) for r in pour.collect()) == [(3, 9.0), (5, 6.0)]
