@@ -1,12 +1,16 @@
 """Quality classifier by importance resampling.
 
-Two generative models over hashed word-shape bigrams, of labelled good text and of all raw text, give
-every document a log importance weight, the sum of its bigrams' log probability ratios.  Documents are
-drawn without replacement by Gumbel top-k: a hash of the document gives each weight its Gumbel noise and
-the k greatest stay.  The raw counts cover every document; both models are vectors of ``BUCKETS`` numbers.
-
-The shape of a word is the kind of its first, second and last character, its length class, and whether
-it repeats the word before; shapes carry quality over from one language and vocabulary to another.
+Two generative models over hashed n-grams, of labelled good text and of all raw text, give every document
+a log importance weight, the sum of its n-grams' log probability ratios.  Documents are drawn without
+replacement by Gumbel top-k: a hash of the document gives each weight its Gumbel noise and the k greatest
+stay.  The raw counts cover every document; both models are vectors of ``FAMILIES * BUCKETS`` numbers.
+
+A word (split at ASCII white space, A-Z lower-cased) gives three n-grams, each hashed into the buckets of
+its family: the word, the word with the one before it, and the shapes of these two.  The shape of a word is
+the kind of its first, second and last character, its length class, and whether it repeats the word before;
+shapes carry quality over from one language and vocabulary to another, and the words tell what shapes
+cannot.  A ratio is drawn towards one by ``PRIOR`` occurrences, so that words that only the few labelled
+documents miss count for little.
 """
 
 from __future__ import annotations
@@ -20,12 +24,13 @@ from pyspark.sql import functions as F
 
 from stratagrid.llm.carried import carry, given_back
 from stratagrid.llm.lean import hand_back, lean
-from stratagrid.llm.words import slices, span_hashes, text_bytes, word_spans
+from stratagrid.llm.words import mix, slices, span_hashes, text_bytes, word_spans
 from stratagrid.scratch import materialize
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 16  # of each family
+FAMILIES = 3  # words, word bigrams, shape bigrams
 MAX_LABELLED = 50_000  # good labelled documents that the target model is fitted on at most
-FLOOR = 0.01  # share of the raw model in the target model, which bounds a bigram's log ratio from below
+PRIOR = 10.0  # occurrences by which both models agree on every bucket
 SLACK = 6.0
 PAGE = 1024
 CELLS = 4096
@@ -36,29 +41,38 @@ _KIND = np.array([
     5 if 33 <= b < 128 and not chr(b).isalnum() else 0 for b in range(256)], np.uint32)
 _LENGTH = np.array([0] * 3 + [1] * 3 + [2] * 4 + [3] * 6 + [4], np.uint32)
 _START = np.uint32(0x1FFF)
+_NO_WORD, _ODD = np.uint64(0x1FFF), np.uint64(0x9E3779B97F4A7C15)
+
+
+def _before(values: np.ndarray, opens: np.ndarray, none: np.unsignedinteger) -> np.ndarray:
+    """The value before each one in its row; ``none`` before the first."""
+    before = np.empty_like(values)
+    before[1:] = values[:-1]
+    before[opens] = none
+    return before
 
 
 def _buckets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per slice: its first row, the bucket of every word's bigram, and the first word of every row."""
+    """Per slice: its first row, the buckets of every word's n-grams (a row for each family), and the
+    first word of every row."""
     for begin, end in slices(texts):
         data, offsets = text_bytes(texts.slice(begin, end - begin))
         starts, ends, first = word_spans(data, offsets)
-        hashes = span_hashes(data, starts, ends)
-        same = np.zeros(len(starts), np.uint32)
-        same[1:] = hashes[1:] == hashes[:-1]
-        same[first[:-1][first[:-1] < len(starts)]] = 0
-        shape = (same | _KIND[data[starts]] << np.uint32(1)
+        opens = first[:-1][first[:-1] < len(starts)]
+        hashes = span_hashes(data, starts, ends, lower=True)
+        before = _before(hashes, opens, _NO_WORD)
+        shape = ((hashes == before).astype(np.uint32) | _KIND[data[starts]] << np.uint32(1)
                  | _KIND[data[np.minimum(starts + 1, ends - 1)]] << np.uint32(4) | _KIND[data[ends - 1]] << np.uint32(7)
                  | _LENGTH[np.minimum(ends - starts, len(_LENGTH) - 1)] << np.uint32(10))
-        before = np.empty_like(shape)
-        before[1:] = shape[:-1]
-        before[first[:-1][first[:-1] < len(starts)]] = _START
-        yield begin, ((before << np.uint32(13) | shape) * np.uint32(2654435761)) >> np.uint32(16), first
+        shapes = (_before(shape, opens, _START) << np.uint32(13) | shape) * np.uint32(2654435761)
+        yield begin, np.stack([
+            (hashes >> np.uint64(48)).astype(np.int64), (mix(hashes + before * _ODD) >> np.uint64(48)).astype(np.int64) + BUCKETS,
+            (shapes >> np.uint32(16)).astype(np.int64) + 2 * BUCKETS]), first
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         label: str = "quality", max_labelled: int = MAX_LABELLED) -> np.ndarray:
-    """Log probability ratio, target to raw, of every bucket.
+    """Log probability ratio, target to raw, of every bucket of every family.
 
     The target is the text of at most ``max_labelled`` documents labelled 1, the least by hash of id.
     Without labelled or raw text all ratios are zero.
@@ -70,15 +84,16 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        raw, target = np.zeros(FAMILIES * BUCKETS, np.int64), np.zeros(FAMILIES * BUCKETS, np.int64)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             is_good = np.isin(ids, chosen)
-            for begin, bucket, first in _buckets(batch.column(1)):
-                raw += np.bincount(bucket, minlength=BUCKETS)
+            for begin, buckets, first in _buckets(batch.column(1)):
+                raw += np.bincount(buckets.ravel(), minlength=len(raw))
                 good_rows = is_good[begin:begin + len(first) - 1]
-                target += np.bincount(bucket[np.repeat(good_rows, np.diff(first))], minlength=BUCKETS)
-        pages = range(0, BUCKETS, PAGE)
+                if good_rows.any():
+                    target += np.bincount(buckets[:, np.repeat(good_rows, np.diff(first))].ravel(), minlength=len(raw))
+        pages = range(0, len(raw), PAGE)
         yield pa.record_batch([
             pa.array([p // PAGE for p in pages], pa.int32()), pa.array([raw[p:p + PAGE].tobytes() for p in pages]),
             pa.array([target[p:p + PAGE].tobytes() for p in pages])], ["page", "raw", "target"])
@@ -96,17 +111,15 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     schema = "page int, raw binary, target binary"
     read = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    totals = np.zeros((2, BUCKETS))
+    totals = np.zeros((2, FAMILIES * BUCKETS))
     for page, raw, target in read.mapInArrow(count, schema).repartition("page").mapInArrow(add, schema).collect():
         at = slice(page * PAGE, (page + 1) * PAGE)
         totals[0, at], totals[1, at] = np.frombuffer(raw, np.int64), np.frombuffer(target, np.int64)
-    if not totals.sum(axis=1).all():
-        return np.zeros(BUCKETS)
-    raw, target = totals / totals.sum(axis=1, keepdims=True)
-    seen = raw > 0
-    ratios = np.zeros(BUCKETS)
-    ratios[seen] = np.log((1 - FLOOR) * target[seen] / raw[seen] + FLOOR)
-    return ratios
+    raw, target = totals
+    if not raw.sum() or not target.sum():
+        return np.zeros(FAMILIES * BUCKETS)
+    # every word gives one n-gram of each family, so that the share of labelled text is one for all
+    return np.log((target + PRIOR) / (raw * (target.sum() / raw.sum()) + PRIOR))
 
 
 def log_weight(text: Column, ratios: np.ndarray) -> Column:
@@ -116,10 +129,10 @@ def log_weight(text: Column, ratios: np.ndarray) -> Column:
     def weigh(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
             out = np.full(len(column), np.nan)
-            for begin, bucket, first in _buckets(column):
+            for begin, buckets, first in _buckets(column):
                 rows = np.flatnonzero(np.diff(first))
                 if len(rows):  # each row summed on its own: the same in every batch
-                    out[begin + rows] = np.add.reduceat(ratios[bucket], first[rows])
+                    out[begin + rows] = np.add.reduceat(ratios[buckets].sum(axis=0), first[rows])
             yield pa.array(out)
             hand_back()
 
