@@ -60,15 +60,17 @@ def _template_grams(spark: SparkSession, base: tuple, templates: tuple) -> DataF
     return named.withColumn("gram", F.xxhash64(*[f"t{j}" for j in range(K)]))
 
 
-def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", base: tuple = BASE_PHRASES,
+def license_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", base: tuple = BASE_PHRASES,
                   templates: tuple = TEMPLATES, min_coverage: float = 0.6, drift: int = 2) -> DataFrame:
-    """One row per input row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``.
+    """One row per input row: ``doc_id, n_words, spans, best``.
 
-    ``n_base`` counts the places of base phrases and ``first_word`` / ``last_word`` are the smallest and
-    largest word at which one starts (null without any).  ``labels`` adds the labels of templates of
-    which one span covers at least ``min_coverage``; ``score`` is the best coverage of any phrase, 0 to
-    1.  Diagonals at most ``drift`` words apart count as one span.  A null text counts as empty;
-    repeated rows and null ids each keep their own row; other columns are ignored.
+    ``spans`` lists what was found, in order of ``first_word``: structs of ``first_word`` and ``last_word`` (words
+    from 0), ``label``, ``phrase`` (number among ``base`` and then ``templates``), ``base``, ``diagonal`` (word of
+    the text less word of the phrase, the least of a span) and ``coverage`` (share of the phrase's words).
+    A base phrase is found where all its words stand in a row, a template where one span covers at
+    least ``min_coverage`` of it; diagonals at most ``drift`` words apart count as one span.  ``best`` is
+    the best coverage of any phrase, found or not, 0 to 1.  A null text counts as empty; repeated rows and
+    null ids each keep their own row; other columns are ignored; an empty table gives an empty result.
     """
     w = F.col("w")
     shifted = [F.slice(w, j + 1, F.size(w)).alias(f"w{j}") if j else w.alias("w0") for j in range(K)]
@@ -86,27 +88,40 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", b
     # count by diagonal; the closing element of each document votes for none and keeps its row
     diagonals = votes.groupBy("row", "doc_id", "n_words", "template", "label", "base", "n", (
         F.col("pos") - F.col("t")).alias("diagonal")).agg(
-        F.sort_array(F.collect_list("t")).alias("places"))
+        F.sort_array(F.collect_list("t")).alias("places"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
     near = Window.partitionBy("row", "template").orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(near)
     spans = diagonals.withColumn("new", F.when(F.col("base") | gap.isNull() | (gap > drift), 1).otherwise(0))
     spans = spans.withColumn("span", F.sum("new").over(near)).groupBy(
         "row", "doc_id", "n_words", "template", "label", "base", "n", "span"
-    ).agg(F.min("diagonal").alias("start"), F.array_sort(F.array_distinct(F.flatten(
-        F.collect_list("places")))).alias("places"))
+    ).agg(F.min("diagonal").alias("start"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.array_sort(
+        F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"))
     # verify: the template's words under the span's k-grams; a base phrase needs all of them in a row
     covered = F.size(F.array_distinct(F.flatten(F.transform(
         "places", lambda t: F.sequence(t, t + F.lit(K - 1))))))
     checked = spans.withColumn("coverage", F.when(F.col("template").isNotNull(), covered / F.col("n")))
     whole = F.col("base") & (F.size("places") == F.col("n") - F.lit(K - 1))
     found = whole | (~F.col("base") & (F.col("coverage") >= min_coverage))
-    listed = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
+    span = F.struct(
+        F.col("lo").cast("long").alias("first_word"), (F.col("hi") + (K - 1)).cast("long").alias("last_word"), "label",
+        F.col("template").alias("phrase"), "base", F.col("start").cast("long").alias("diagonal"), "coverage")
     return checked.groupBy("row", "doc_id", "n_words").agg(
-        F.count_if(whole).cast("long").alias("n_base"),
-        F.min(F.when(whole, F.col("start"))).cast("long").alias("first_word"),
-        F.max(F.when(whole, F.col("start"))).cast("long").alias("last_word"),
-        listed(F.when(whole, F.col("label"))).alias("base_labels"),
-        listed(F.when(found, F.col("label"))).alias("labels"),
-        F.coalesce(F.max("coverage"), F.lit(0.0)).alias("score"),
-    ).select("doc_id", F.col("n_words").cast("long").alias("n_words"), "n_base", "first_word", "last_word",
-             "base_labels", "labels", "score")
+        F.array_sort(F.collect_list(F.when(found, span))).alias("spans"),
+        F.coalesce(F.max("coverage"), F.lit(0.0)).alias("best"),
+    ).select("doc_id", F.col("n_words").cast("long").alias("n_words"), "spans", "best")
+
+
+def scan_licenses(docs: DataFrame, **options) -> DataFrame:
+    """One row per input row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``.
+
+    A digest of ``license_spans``, whose options it takes: ``n_base`` counts the places of base phrases and
+    ``first_word`` / ``last_word`` are the smallest and largest word at which one starts (null without any).
+    ``labels`` adds the labels of the templates found; ``score`` is ``best``.
+    """
+    based = F.filter("spans", lambda s: s.base)
+    starts = F.transform(based, lambda s: s.first_word)
+    listed = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s.label))), ",")
+    return license_spans(docs, **options).select(
+        "doc_id", "n_words", F.size(based).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), listed(based).alias("base_labels"),
+        listed(F.col("spans")).alias("labels"), F.col("best").alias("score"))
