@@ -55,6 +55,7 @@ def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
 
     A null text is empty; null ids come first and rows that repeat an id are ordered by text.  A block
     ends with the document that brings it to ``block_ids``.  Other columns are ignored.
+    An empty table gives a file without blocks.
     """
     vocabulary = vocabulary_path(vocabulary)
     end = end_id.to_bytes(4, "little")
@@ -99,16 +100,50 @@ def _arrow() -> pa.Schema:
                       ("bits", pa.int32()), ("doc_ids", longs), ("doc_offsets", longs), ("payload", pa.binary())])
 
 
+def _bases(blocks: DataFrame) -> DataFrame:
+    """``shard, ids, base``: ids of each shard and of all before it.  One row per task that wrote the file."""
+    totals = blocks.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumn("base", F.coalesce(F.sum("ids").over(before), F.lit(0)))
+
+
+def read_range(spark: SparkSession, path: str, begin: int, end: int) -> DataFrame:
+    """Ids ``begin`` to ``end - 1`` of a token file as ``start, n_ids, ids``, a row per block that holds some.
+
+    The shard totals tell the first and last shard, so that only their files and those between are
+    opened; ``first`` tells the blocks, and of these only the bytes of the range are unpacked.  ``ids`` are
+    little-endian 32-bit integers from position ``start`` on.  What lies outside the file is left out.
+    """
+    blocks = spark.read.parquet(path)
+    inside = (F.col("base") < end) & (F.col("base") + F.col("ids") > begin)
+    low, high = _bases(blocks).filter(inside).agg(F.min_by(F.struct("shard", "base"), "shard"),
+                                                  F.max_by(F.struct("shard", "base"), "shard")).first()
+    schema = "start long, n_ids long, ids binary"
+    if low is None or begin >= end:
+        return spark.createDataFrame([], schema)
+    touched = blocks.filter(F.col("shard").between(low["shard"], high["shard"])).filter(
+        (F.col("shard") > low["shard"]) | (F.col("first") + F.col("n_ids") > begin - low["base"])).filter(
+        (F.col("shard") < high["shard"]) | (F.col("first") < end - high["base"]))
+    placed = touched.join(F.broadcast(_bases(blocks).filter(inside)), "shard")
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                start = max(begin, row["at"])
+                n = min(end, row["at"] + row["n_ids"]) - start
+                ids = unpack_ids(row["payload"], row["bits"], start - row["at"], n)
+                yield pa.record_batch([pa.array([start]), pa.array([n]), pa.array([ids.tobytes()])], ["start", "n_ids", "ids"])
+
+    return placed.select((F.col("base") + F.col("first")).alias("at"), "n_ids", "bits", "payload").mapInArrow(unpack, schema)
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` per document from a token file.
 
     ``start`` counts the ids of all documents before it; ``ids`` are little-endian 32-bit integers.
     """
     blocks = spark.read.parquet(path)
-    # one row per shard, of which there are as many as tasks that wrote the file
-    totals = blocks.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
+    bases = _bases(blocks).drop("ids")
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,10 +169,3 @@ def token_file(docs: DataFrame, **options) -> str:
     path = f"{scratch_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
     write_tokens(docs, path, **options)
     return path
-
-
-def crc32(ids: str):
-    """Unsigned CRC-32 of a binary column."""
-    return F.crc32(F.col(ids))
-
-
