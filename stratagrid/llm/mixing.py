@@ -7,8 +7,9 @@ permutation of its block indices (one per pass over the source), and blocks are
 Draws beyond a source's share are not taken and one last set of shards makes up what is missing, so
 that each source ends at its share; a source is passed over at most ``max_repeats`` times.
 
-Nothing windows over a source, which may hold a third of all rows: stream positions come from bucket
-sums (a bucket holds about ``BUCKET_ROWS`` rows) and a running sum inside each bucket.
+Nothing windows over a source, which may hold a third of all rows: equal rows are counted first, stream
+positions come from bucket sums (a bucket holds about ``BUCKET_ROWS`` different rows), and running sums of
+buckets and shards are made in two levels (``CHUNK``).
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratagrid.llm.carried import carry, given_back
-from stratagrid.scratch import materialize
+from stratagrid.scratch import lookup, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 512
 SHUFFLE_ROUNDS = 12
 DEAL_DRAWS = 1 << 16  # draws that a task unfolds
+CHUNK = 4096  # numbers that a window over a source sums at once
+COPIES = 4096  # equal rows that go as one
 
 
 def word_count(text: Column) -> Column:
@@ -71,20 +74,42 @@ def permuted(index: Column, size: Column, seed: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(SHUFFLE_ROUNDS)), index.cast("long"), swap_or_not)
 
 
+def _ahead(sums: DataFrame, at: str, value: str, name: str) -> DataFrame:
+    """Adds ``name``: the sum of ``value`` over the rows of the same ``sid`` with a lesser ``at``.
+
+    A window holds ``CHUNK`` numbers, or one row per ``CHUNK`` of them.
+    """
+    chunked = sums.withColumn("chunk", F.floor(F.col(at) / CHUNK))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    inner = F.sum(value).over(before(Window.partitionBy("sid", "chunk").orderBy(at)))
+    chunks = chunked.groupBy("sid", "chunk").agg(F.sum(value).alias("all"))
+    base = F.sum("all").over(before(Window.partitionBy("sid").orderBy("chunk")))
+    chunks = chunks.select("sid", "chunk", F.coalesce(base, F.lit(0)).alias("chunk_base"))
+    return chunked.withColumn("inner", F.coalesce(inner, F.lit(0))).join(chunks, ["sid", "chunk"]).withColumn(
+        name, F.col("chunk_base") + F.col("inner")).drop("chunk", "inner", "chunk_base")
+
+
 def _positions(rows: DataFrame) -> DataFrame:
-    """Adds ``start``: words of the row's source before it, in an order of hashed buckets."""
-    n = rows.count()
-    buckets = max(1, n // BUCKET_ROWS)
-    bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "row"), F.lit(buckets)))
-    sums = bucketed.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
-    ahead = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = materialize(sums.select("sid", "bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("base")))
-    order = Window.partitionBy("sid", "bucket").orderBy("row", "doc_id")  # only equal rows tie
-    inside = order.rowsBetween(Window.unboundedPreceding, -1)
-    running = bucketed.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0))).withColumn(
-        "place", F.row_number().over(order))
-    return running.join(base, ["sid", "bucket"]).withColumn("start", F.col("base") + F.col("inner")).drop(
-        "base", "inner")
+    """Adds ``start``: a row for each of ``copies``, with the words of the row's source before it.
+
+    Rows are in an order of hashed buckets.  ``COPIES`` equal rows go as one and unfold at the end, so that
+    no two rows tie and copies, however many, fill no bucket.
+    """
+    step = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES)))
+    stepped = rows.withColumn("step", step).withColumn(
+        "copies", F.least(F.lit(COPIES), F.col("copies") - F.col("step") * COPIES)).withColumn(
+        "words", F.col("size") * F.col("copies"))
+    buckets = max(1, stepped.count() // BUCKET_ROWS)
+    bucketed = stepped.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "row", "step"), F.lit(buckets)))
+    sums = bucketed.groupBy("sid", "bucket").agg(F.sum("words").alias("words"))
+    base = materialize(_ahead(sums, "bucket", "words", "base").select("sid", "bucket", "base"))
+    order = Window.partitionBy("sid", "bucket").orderBy("row", "doc_id", "step")
+    inner = F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    placed = bucketed.withColumn("inner", F.coalesce(inner, F.lit(0))).join(base, ["sid", "bucket"])
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
+    return placed.withColumn("copy", copy).withColumn(
+        "start", F.col("base") + F.col("inner") + F.col("copy") * F.col("size")).drop(
+        "base", "inner", "step", "words", "copies", "copy", "bucket")
 
 
 def block_draws(targets: DataFrame, block_words: int, shard_slots: int, seed: int) -> DataFrame:
@@ -109,9 +134,7 @@ def block_draws(targets: DataFrame, block_words: int, shard_slots: int, seed: in
     sources = plan.withColumn("from", F.col("upto") - F.col("wanted"))
     steps = sources.filter("wanted > 0").select("sid", "from", "upto")
     drawn = _by_interval(slots, steps, total).groupBy("shard", "sid").agg(F.count(F.lit(1)).alias("n"))
-    ahead = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    runs = drawn.withColumn("first", F.coalesce(F.sum("n").over(ahead), F.lit(0))).join(
-        plan.select("sid", "blocks", "wanted"), "sid")
+    runs = _ahead(drawn, "shard", "n", "first").join(plan.select("sid", "blocks", "wanted"), "sid")
     runs = runs.withColumn("last", F.least(F.col("first") + F.col("n"), "wanted")).filter("first < last")
     runs = materialize(runs.select("sid", "blocks", "first", "last", "shard"))
     had = runs.groupBy("sid").agg(F.max("last").alias("had"))
@@ -153,24 +176,28 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     """
     rows = materialize(docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
-        word_count(F.col(text)).alias("size"), F.xxhash64(F.col(text)).alias("row")))
-    targets = materialize(source_targets(rows, weights, max_repeats))
+        word_count(F.col(text)).alias("size"), F.xxhash64(F.col(text)).alias("row")
+    ).groupBy("doc_id", "source", "size", "row").agg(F.count(F.lit(1)).alias("copies")))
+    targets = materialize(source_targets(
+        rows.select("source", (F.col("size") * F.col("copies")).alias("size")), weights, max_repeats))
     # one row per source; null-safe, so that documents without a source find theirs
     sided = rows.alias("r").join(targets.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source"))).select(
         "r.*", "t.sid", "t.source_size", "t.target")
-    placed = _positions(sided)
+    placed = materialize(_positions(sided))
     times = materialize(block_draws(targets, block_words, shard_slots, seed))
     size, start = F.col("size"), F.col("start")
     end = start + size
-    reach = placed.withColumn("block", F.explode(F.when(size > 0, F.sequence(
-        F.floor(start / block_words), F.floor((end - 1) / block_words))
-    ).otherwise(F.array(F.lit(-1).cast("long")))))
+    reach = placed.filter(size > 0).withColumn("block", F.explode(F.sequence(
+        F.floor(start / block_words), F.floor((end - 1) / block_words))))
     overlap = F.least(end, (F.col("block") + 1) * block_words) - F.greatest(start, F.col("block") * block_words)
     hit = reach.join(times, ["sid", "block"], "left").withColumn("n", F.coalesce("times", F.lit(0)))
-    words = F.when(size > 0, overlap * F.col("n")).otherwise(F.lit(0))
-    return hit.groupBy("doc_id", "source", "row", "size", "source_size", "target", "bucket", "place", "start").agg(
-        F.sum(words).cast("long").alias("taken"), F.collect_list(F.struct("block", "n")).alias("times"),
-    ).drop("bucket", "place")
+    of_row = ["doc_id", "source", "row", "size", "source_size", "target"]
+    found = hit.groupBy(*of_row, "start").agg(
+        F.sum(overlap * F.col("n")).cast("long").alias("taken"), F.collect_list(F.struct("block", "n")).alias("times"))
+    # rows without words, which may be many, meet no block
+    empty = placed.filter(size == 0).select(
+        *of_row, "start", F.lit(0).cast("long").alias("taken"), F.array().cast(found.schema["times"].dataType).alias("times"))
+    return found.unionByName(empty).select(*of_row, "taken", "start", "times")
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -185,19 +212,21 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     plan = mix(docs, doc_id, text, source, block_words=block_words, **options).filter("taken > 0")
     # a document's blocks follow each other, so their counts are found by position
     counts = F.transform(F.sort_array("times"), lambda t: t.n).alias("counts")
-    places = plan.groupBy("doc_id", "source", "row").agg(F.collect_list(F.struct("start", counts)).alias("places")).select(
-        F.col("doc_id").alias("place_id"), F.col("source").alias("place_source"), F.col("row").alias("place_row"), "places")
+    # one text for id, source and text hash; a null id or source differs from every other
+    key = F.concat_ws("|", "row", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(
+        F.concat(F.lit("s"), F.col("source")), F.lit("")))
+    places = materialize(plan.select(key.alias("key"), "start", counts))
     rows = carry(docs, doc_id=F.col(doc_id).cast("long"), source=F.col(source).cast("string"),
-                 row=F.xxhash64(F.col(text)), text=F.col(text)).dropDuplicates(["doc_id", "source", "row"])
-    joined = rows.join(places, F.col("doc_id").eqNullSafe(F.col("place_id")) & F.col("source").eqNullSafe(
-        F.col("place_source")) & (F.col("row") == F.col("place_row")))
-    passes = joined.select("own", "text", F.explode("places").alias("place")).select(
-        "own", "text", "place", F.explode(F.sequence(F.lit(1), F.array_max("place.counts"))).alias("turn"))
-    first_block = F.floor(F.col("place.start") / block_words)
+                 row=F.xxhash64(F.col(text)), text=F.col(text))
+    rows = rows.select("own", "text", key.alias("key")).dropDuplicates(["key"])
+    # many places may want one text: those of a hot key are dealt out
+    passes = lookup(places, rows, "key", "start").select(
+        "own", "text", "start", "counts", F.explode(F.sequence(F.lit(1), F.array_max("counts"))).alias("turn"))
+    first_block = F.floor(F.col("start") / block_words)
     words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
     some = F.array_join(F.filter(words, lambda w, i: F.get(
-        F.col("place.counts"), (F.floor((F.col("place.start") + i) / block_words) - first_block).cast("int")
+        F.col("counts"), (F.floor((F.col("start") + i) / block_words) - first_block).cast("int")
     ) >= F.col("turn")), " ")
-    out = passes.select("own", F.when(F.array_min("place.counts") >= F.col("turn"), F.col("text")).otherwise(some).alias("taken"))
+    out = passes.select("own", F.when(F.array_min("counts") >= F.col("turn"), F.col("text")).otherwise(some).alias("taken"))
     return out.select(*[F.col("taken").alias(text) if c == text else given
                         for c, given in zip(docs.columns, given_back(out))])
