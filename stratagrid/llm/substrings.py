@@ -8,7 +8,8 @@
    partition first settles the windows that it holds more than once and sends each window once, with
    its least document; a group thus has at most one row from each partition, however often a passage
    occurs.  Windows of one anchor travel together as one row.
-3. The removals come back to their documents by id and text hash, and the words are cut there.
+3. The removals come back to their documents by id and text hash, and the words are cut there; the
+   texts of other documents are not shuffled.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratagrid.llm import sketch
+from stratagrid.llm.keyset import key_set
 from stratagrid.llm.words import rolling, slices, text_bytes, window_min, word_hashes, word_spans
 from stratagrid.scratch import HOT_KEYS, materialize
 
 WIDTH = 50
 HELD = 1 << 22  # windows that a task holds at most before it settles and sends them
 ROWS = 50_000
-CROWD = 1000  # rows from which on an anchor may count as hot
+CROWD = 1000  # windows from which on an anchor may count as hot
 _NO_ID = np.iinfo(np.int64).max  # a null id comes after all others
 
 
@@ -80,14 +82,14 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
 
 def _local(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
     """Settle what is held: later documents' windows are removals, the least document's travel on."""
-    names = ["kind", "anchor", "id", "text_hash", "start", "windows"]
+    names = ["done", "anchor", "id", "text_hash", "start", "n", "windows"]
     ids, hashes, at, keys, anchors = (np.concatenate(x) for x in zip(*held))
     gone = ids > _least(keys, anchors, ids)
     if gone.any():
         runs = _run_batch(ids[gone], hashes[gone], at[gone])
         yield pa.record_batch([
-            pa.array(np.ones(len(runs), np.int32)), runs.column("id"), runs.column("id"), runs.column("text_hash"),
-            runs.column("start"), pa.array([x.to_bytes(4, "little") for x in runs.column("n").to_pylist()])], names)
+            pa.array(np.ones(len(runs), bool)), pa.nulls(len(runs), pa.int64()), runs.column("id"),
+            runs.column("text_hash"), runs.column("start"), runs.column("n"), pa.nulls(len(runs), pa.binary())], names)
     ids, hashes, at, keys, anchors = (x[~gone] for x in (ids, hashes, at, keys, anchors))
     order = np.lexsort((at, hashes, ids))
     ids, hashes, at, keys, anchors = (x[order] for x in (ids, hashes, at, keys, anchors))
@@ -102,11 +104,14 @@ def _local(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
             None, pa.py_buffer((bounds - bounds[0]).astype(np.int32).tobytes()),
             data.slice(int(bounds[0]), int(bounds[-1] - bounds[0]))])
         yield pa.record_batch([
-            pa.array(np.zeros(len(some), np.int32)), pa.array(anchors[some].view(np.int64)), pa.array(ids[some]),
-            pa.array(hashes[some]), pa.array(at[some].astype(np.int32)), windows], names)
+            pa.array(np.zeros(len(some), bool)), pa.array(anchors[some].view(np.int64)), pa.array(ids[some]),
+            pa.array(hashes[some]), pa.array(at[some].astype(np.int32)),
+            pa.array((np.diff(bounds) // 8).astype(np.int32)), windows], names)
 
 
-_SENT = "kind int, anchor long, id long, text_hash long, start int, windows binary"
+#: Runs of windows: ``done`` ones are removals, the others travel on with the hash of each window.
+_SENT = "done boolean, anchor long, id long, text_hash long, start int, n int, windows binary"
+_OPEN = "anchor long, id long, text_hash long, start int, windows binary"
 _RUN = "id long, text_hash long, start int, n int"
 
 
@@ -138,18 +143,7 @@ def _removals(keyed: DataFrame, width: int, repeated) -> DataFrame:
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
-        for batch in batches:
-            kind = batch.column("kind").to_numpy()
-            done = np.flatnonzero(kind == 1)
-            if len(done):
-                known = batch.take(pa.array(done))
-                n = [int.from_bytes(x, "little") for x in known.column("windows").to_pylist()]
-                yield pa.record_batch([known.column("id"), known.column("text_hash"), known.column("start"),
-                                       pa.array(n, pa.int32())], ["id", "text_hash", "start", "n"])
-            open_rows = np.flatnonzero(kind == 0)
-            if not len(open_rows):
-                continue
-            sent = batch.take(pa.array(open_rows))
+        for sent in batches:
             keys, counts, more = _unfolded(sent)
             spread = lambda c: np.repeat(sent.column(c).to_numpy(), counts)
             held.append((keys, spread("anchor"), spread("id"), spread("text_hash"), spread("start") + more))
@@ -166,23 +160,27 @@ def _removals(keyed: DataFrame, width: int, repeated) -> DataFrame:
             spread = lambda c: np.repeat(batch.column(c).to_numpy(), counts)
             offsets = pa.py_buffer((np.arange(len(keys) + 1) * 8).astype(np.int32).tobytes())
             yield pa.record_batch([
-                pa.array(spread("kind")), pa.array(spread("anchor")), pa.array(spread("id")),
-                pa.array(spread("text_hash")), pa.array((spread("start") + more).astype(np.int32)),
+                pa.array(spread("anchor")), pa.array(spread("id")), pa.array(spread("text_hash")),
+                pa.array((spread("start") + more).astype(np.int32)),
                 pa.Array.from_buffers(pa.binary(), len(keys), [None, offsets, pa.py_buffer(keys.tobytes())]),
-                pa.array(keys.view(np.int64))], ["kind", "anchor", "id", "text_hash", "start", "windows", "key"])
+                pa.array(keys.view(np.int64))], ["anchor", "id", "text_hash", "start", "windows", "key"])
 
     sent = materialize(keyed.mapInArrow(send, _SENT))
-    crowds = sent.filter("kind = 0").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    rows = sent.filter("kind = 0").count()
+    # what a task has settled itself needs no other task: neither one id nor rows without id gather
+    known = sent.filter("done").select("id", "text_hash", "start", "n")
+    open_ = sent.filter("not done")
+    crowds = open_.groupBy("anchor").agg(F.sum("n").alias("windows"))
+    total = open_.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # an anchor inside a very common passage also stands for the windows that reach beyond it: those
-    # travel one by one.  At most HOT_KEYS anchors have more than that share of the rows
-    hot = materialize(crowds.filter(F.col("n") > max(CROWD, rows // HOT_KEYS)).select("anchor", F.lit(True).alias("hot")))
-    marked = sent.join(F.broadcast(hot), "anchor", "left").withColumn(
-        "hot", F.col("hot").isNotNull() & (F.col("kind") == 0))
-    columns = ["kind", "anchor", "id", "text_hash", "start", "windows"]
+    # travel one by one.  At most HOT_KEYS anchors have more than that share of the windows
+    hot = materialize(crowds.filter(F.col("windows") > max(CROWD, total // HOT_KEYS)).select(
+        "anchor", F.lit(True).alias("hot")))
+    marked = open_.join(F.broadcast(hot), "anchor", "left").withColumn("hot", F.col("hot").isNotNull())
+    columns = ["anchor", "id", "text_hash", "start", "windows"]
     whole = marked.filter("not hot").select(*columns, F.col("anchor").alias("key"))
-    single = marked.filter("hot").select(*columns).mapInArrow(unfold, _SENT + ", key long")
-    return whole.unionByName(single).repartition("key").mapInArrow(settle, _RUN)
+    single = marked.filter("hot").select(*columns).mapInArrow(unfold, _OPEN + ", key long")
+    settled = whole.unionByName(single).repartition("key").mapInArrow(settle, _RUN)
+    return known.unionByName(settled)
 
 
 def _unfolded(sent: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,10 +219,15 @@ def drop_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     repeated = sketch.repeated_keys(
         keyed.select("body"), anchors_of, cells or sketch.cells_for(4 * expected), depth=2)
     shared = docs.sparkSession.sparkContext.broadcast(repeated)  # at most 2 * MAX_CELLS bits
-    runs = _removals(keyed, width, shared).groupBy(F.col("id").alias("i"), F.col("text_hash").alias("t")).agg(
-        F.array_sort(F.collect_set(F.struct("start", "n"))).alias("runs"))
-    joined = keyed.join(runs, (F.col("id") == F.col("i")) & (F.col("text_hash") == F.col("t")), "left").select(
+    runs = materialize(_removals(keyed, width, shared).groupBy(F.col("id").alias("i"), F.col("text_hash").alias("t")).agg(
+        F.array_sort(F.collect_set(F.struct("start", "n"))).alias("runs")).select(
+        "i", "t", F.xxhash64("i", "t").alias("key"), "runs"))
+    # a bitmap of the documents that lose words keeps the texts of most others out of the shuffle
+    marked = keyed.withColumn("cut", key_set(runs, "key").may_hold(F.xxhash64("id", "text_hash")))
+    met = marked.filter("cut").join(runs, (F.col("id") == F.col("i")) & (F.col("text_hash") == F.col("t")), "left").select(
         "id", "body", F.col("runs.start").alias("starts"), F.col("runs.n").alias("lengths"))
+    none = F.lit(None).cast("array<int>")
+    joined = marked.filter("not cut").select("id", "body", none.alias("starts"), none.alias("lengths")).unionByName(met)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
