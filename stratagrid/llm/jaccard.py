@@ -176,7 +176,7 @@ def _components(docs: DataFrame, doc_id: str, text: str, width: int, percent: in
     sending = some.filter("sections is not null").groupBy("node").agg(
         F.first("n").alias("n"), F.first("sections").alias("sections"), F.first("prefix").alias("prefix"),
         F.first("share").alias("share"),
-        F.min(F.xxhash64("doc_id", "text_hash")).alias("owner"))
+        F.min(F.struct("doc_id", "text_hash")).alias("owner"))
     sending = materialize(sending)
     nodes = sending.select("node", "n", "sections")
     lists = sending.select("node", "n", "share", F.explode("prefix").alias("p")).select(
@@ -274,9 +274,13 @@ def _gram_sets(keyed: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 yield pa.record_batch([pa.array(nodes, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
                                       ["node", "grams"])
 
-    owner = F.xxhash64("doc_id", "text_hash")
-    maybe = keyed.select(owner.alias("owner"), "body").filter(key_set(wanted, "owner").may_hold(F.col("owner")))
-    owners = maybe.join(wanted, "owner", "left_semi").dropDuplicates(["owner"]).select("body")
+    key = F.xxhash64("doc_id", "text_hash")
+    named = wanted.select(F.col("owner.doc_id").alias("owner_id"), F.col("owner.text_hash").alias("owner_hash"))
+    named = named.withColumn("key", F.xxhash64("owner_id", "owner_hash"))
+    maybe = keyed.withColumn("key", key).filter(key_set(named, "key").may_hold(F.col("key")))
+    # by id and text hash, not by the hash of both: no owner may hide another
+    owners = maybe.join(named.drop("key"), F.col("doc_id").eqNullSafe(F.col("owner_id")) & (
+        F.col("text_hash") == F.col("owner_hash")), "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("body")
     return materialize(owners.mapInArrow(build, "node binary, grams array<long>"))
 
 
