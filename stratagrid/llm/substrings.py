@@ -111,7 +111,8 @@ def _local(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
 
 #: Runs of windows: ``done`` ones are removals, the others travel on with the hash of each window.
 _SENT = "done boolean, anchor long, id long, text_hash long, start int, n int, windows binary"
-_OPEN = "anchor long, id long, text_hash long, start int, windows binary"
+#: A run of windows from ``start`` on, or one window (``windows`` holds its hash) and all its places in a text.
+_OPEN = "anchor long, id long, text_hash long, start int, windows binary, places binary"
 _RUN = "id long, text_hash long, start int, n int"
 
 
@@ -143,10 +144,16 @@ def _removals(keyed: DataFrame, width: int, repeated) -> DataFrame:
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
-        for sent in batches:
-            keys, counts, more = _unfolded(sent)
-            spread = lambda c: np.repeat(sent.column(c).to_numpy(), counts)
+        for batch in batches:
+            runs = batch.filter(batch.column("places").is_null())
+            keys, counts, more = _unfolded(runs)
+            spread = lambda c: np.repeat(runs.column(c).to_numpy(), counts)
             held.append((keys, spread("anchor"), spread("id"), spread("text_hash"), spread("start") + more))
+            ones = batch.filter(batch.column("places").is_valid())
+            places, times = _flat(ones.column("places"), np.int32)
+            spread = lambda c: np.repeat(ones.column(c).to_numpy(), times)
+            held.append((np.repeat(_flat(ones.column("windows"), np.uint64)[0], times), spread("anchor"), spread("id"),
+                         spread("text_hash"), places))
         if not held:
             return
         keys, anchors, ids, hashes, at = (np.concatenate(x) for x in zip(*held))
@@ -158,12 +165,17 @@ def _removals(keyed: DataFrame, width: int, repeated) -> DataFrame:
         for batch in batches:
             keys, counts, more = _unfolded(batch)
             spread = lambda c: np.repeat(batch.column(c).to_numpy(), counts)
-            offsets = pa.py_buffer((np.arange(len(keys) + 1) * 8).astype(np.int32).tobytes())
+            ids, texts, anchors, at = spread("id"), spread("text_hash"), spread("anchor"), spread("start") + more
+            # a text that repeats a window, thousands of times maybe, has one row for it
+            order = np.lexsort((at, texts, ids, keys))
+            begin = np.flatnonzero(_changes(keys[order], ids[order], texts[order]))
+            first = order[begin]
+            names = keys[first]
             yield pa.record_batch([
-                pa.array(spread("anchor")), pa.array(spread("id")), pa.array(spread("text_hash")),
-                pa.array((spread("start") + more).astype(np.int32)),
-                pa.Array.from_buffers(pa.binary(), len(keys), [None, offsets, pa.py_buffer(keys.tobytes())]),
-                pa.array(keys.view(np.int64))], ["anchor", "id", "text_hash", "start", "windows", "key"])
+                pa.array(anchors[first]), pa.array(ids[first]), pa.array(texts[first]),
+                pa.array(at[first].astype(np.int32)), _packed(names, np.arange(len(names) + 1)),
+                _packed(at[order].astype(np.int32), np.append(begin, len(order))), pa.array(names.view(np.int64))],
+                ["anchor", "id", "text_hash", "start", "windows", "places", "key"])
 
     sent = materialize(keyed.mapInArrow(send, _SENT))
     # what a task has settled itself needs no other task: neither one id nor rows without id gather
@@ -177,18 +189,31 @@ def _removals(keyed: DataFrame, width: int, repeated) -> DataFrame:
         "anchor", F.lit(True).alias("hot")))
     marked = open_.join(F.broadcast(hot), "anchor", "left").withColumn("hot", F.col("hot").isNotNull())
     columns = ["anchor", "id", "text_hash", "start", "windows"]
-    whole = marked.filter("not hot").select(*columns, F.col("anchor").alias("key"))
+    whole = marked.filter("not hot").select(*columns, F.lit(None).cast("binary").alias("places"), F.col("anchor").alias("key"))
     single = marked.filter("hot").select(*columns).mapInArrow(unfold, _OPEN + ", key long")
     settled = whole.unionByName(single).repartition("key").mapInArrow(settle, _RUN)
     return known.unionByName(settled)
 
 
+def _flat(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a column of packed arrays, and how many each row has."""
+    packed = column.cast(pa.large_binary())
+    ends = np.frombuffer(packed.buffers()[1], np.int64)[packed.offset:packed.offset + len(packed) + 1]
+    if not len(packed) or packed.buffers()[2] is None:
+        return np.zeros(0, kind), np.zeros(len(packed), np.int64)
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(packed.buffers()[2], np.uint8)[ends[0]:ends[-1]].copy().view(kind), np.diff(ends) // width
+
+
+def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """``values`` cut into rows of packed numbers."""
+    offsets = pa.py_buffer((cuts * values.itemsize).astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, offsets, pa.py_buffer(values.tobytes())])
+
+
 def _unfolded(sent: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Window hashes of a batch of runs, the number in each run, and each one's place in its run."""
-    windows = sent.column("windows").cast(pa.large_binary())
-    ends = np.frombuffer(windows.buffers()[1], np.int64)[windows.offset:windows.offset + len(windows) + 1]
-    keys = np.frombuffer(windows.buffers()[2], np.uint8)[ends[0]:ends[-1]].copy().view(np.uint64)
-    counts = np.diff(ends) // 8
+    keys, counts = _flat(sent.column("windows"), np.uint64)
     return keys, counts, np.arange(len(keys)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 

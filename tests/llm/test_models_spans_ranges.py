@@ -195,3 +195,27 @@ def test_texts_without_removals_are_not_shuffled(spark):
     assert plan.filter("n_removed > 0").count() == 0
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in text and text.count("Join") == 1
+
+
+def test_a_text_that_repeats_a_window_sends_it_once(spark, monkeypatch):
+    """Texts of one line over and over: their windows are few, their places are many."""
+    monkeypatch.setattr(substrings, "CROWD", 10)
+    monkeypatch.setattr(substrings, "HOT_KEYS", 100_000)
+    rng = random.Random(12)
+    line = prose(rng, 7)
+    rows = [(i, f"{prose(rng, rng.randrange(0, 30))} " + f"{line} " * rng.randrange(20, 120)) for i in range(30)]
+    rows += [(None, f"{line} " * 40), (40, "x " * 400), (41, "y x " + "x " * 300), (42, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = substrings.drop_repeated_windows(table).collect()
+    first = {}
+    place = lambda d: (d is None, d or 0)
+    lists = [(d, split(t)) for d, t in rows]
+    for d, w in lists:
+        for i in range(len(w) - 49):
+            key = tuple(w[i:i + 50])
+            first[key] = min(first.get(key, place(d)), place(d))
+    want = Counter()
+    for d, w in lists:
+        gone = {j for i in range(len(w) - 49) if first[tuple(w[i:i + 50])] < place(d) for j in range(i, i + 50)}
+        want[d, len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)] += 1
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == want
