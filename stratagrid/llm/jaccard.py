@@ -2,10 +2,13 @@
 
 1. A sketch counts in how many documents each shingle occurs (at least once, at least twice).  The
    global order puts shingles of one document first, then orders by hash; any such order is exact, and
-   this one fills the prefixes of most documents with shingles that no other document has.
+   this one fills the prefixes of most documents with shingles that no other document has.  Shared
+   shingles whose lists turn out crowded (step 2) go last, and the prefixes that held them are made anew.
 2. Equal shingle sets are one node, so copies are never compared.  A node sends its prefix shingles
    that may be shared.  Every list of nodes with a common prefix shingle first meets its leaders, in two
    rounds; then, and only where a list still holds several components, pairs across components are made.
+   A list that still has more than ``CROWDED`` nodes outside its largest component is counted as crowded:
+   boilerplate in documents that differ.  Its shingle moves to the end of the order first.
    Pairs within a component are not needed for components, which are the whole result.
 3. A pair must pass the length filter, the positional filter (shingles left after the common one) and
    the suffix filter (shingles per section of the order bound the overlap) before its two sets are
@@ -32,6 +35,7 @@ from stratagrid.scratch import Rounds, materialize
 SHINGLE = 5
 PERCENT = 80
 LED_ROUNDS = 2  # rounds in which a list only meets its leaders, before pairs across components
+CROWDED, ORDER_ROUNDS = 1000, 3  # nodes outside the largest component; rounds that move shingles to the end
 SECTIONS = 128
 MOST = (1 << 15) - 1  # a section that is counted no further bounds nothing
 _A, _B = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
@@ -54,6 +58,11 @@ def _prefix_length(n: int, percent: int) -> int:
     return n - -(-n * percent // 100) + 1
 
 
+def _signature(grams: np.ndarray) -> bytes:
+    """128 bits that stand for a set."""
+    return np.array([mix(grams ^ _A).sum(), mix(grams ^ _B).sum()], np.uint64).tobytes()
+
+
 def _nodes(docs: DataFrame, width: int, percent: int, repeated) -> DataFrame:
     """Per document: set size, node (the set's 128-bit signature), and once for each set and task the
     section counts and the prefix shingles that other documents may have."""
@@ -69,7 +78,7 @@ def _nodes(docs: DataFrame, width: int, percent: int, repeated) -> DataFrame:
             lengths, sent, shared_grams, places = np.zeros(n, np.int64), np.zeros(n, bool), [], []
             for row, grams in _sets(batch.column("body"), width):
                 size[row] = len(grams)
-                node = np.array([mix(grams ^ _A).sum(), mix(grams ^ _B).sum()], np.uint64).tobytes()
+                node = _signature(grams)
                 nodes[row] = node
                 if node in seen:  # a copy: its set has been sent from here
                     continue
@@ -98,6 +107,33 @@ def _nodes(docs: DataFrame, width: int, percent: int, repeated) -> DataFrame:
                                      "share double, prefix array<struct<gram: long, place: int>>")
 
 
+def _late_prefixes(owners: DataFrame, width: int, percent: int, repeated, crowded) -> DataFrame:
+    """``node, late`` (prefix shingles and places) of texts, crowded shingles last in the order."""
+
+    @lean
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        estimate, last = repeated.value, crowded.value
+        for batch in batches:
+            for begin, end in slices(batch.column("body")):
+                nodes, lengths = [], [0]
+                shared_grams, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+                for _, grams in _sets(batch.column("body").slice(begin, end - begin), width):
+                    nodes.append(_signature(grams))
+                    often, take = estimate(grams), _prefix_length(len(grams), percent)
+                    rare, shared = int(len(grams) - often.sum()), grams[often]
+                    at_end = last.holds(shared)
+                    shared = np.concatenate([shared[~at_end], shared[at_end]])[:max(0, take - rare)]
+                    lengths.append(len(shared))
+                    shared_grams.append(shared.view(np.int64))
+                    places.append(np.arange(rare, rare + len(shared), dtype=np.int32))
+                flat = pa.StructArray.from_arrays(
+                    [pa.array(np.concatenate(shared_grams)), pa.array(np.concatenate(places))], ["gram", "place"])
+                late = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), flat)
+                yield pa.record_batch([pa.array(nodes, pa.binary()), late], ["node", "late"])
+
+    return owners.mapInArrow(describe, "node binary, late array<struct<gram: long, place: int>>")
+
+
 def _needed(percent: int) -> Column:
     """Least overlap of two sets of sizes ``n_a`` and ``n_b``: ceil(t / (1 + t) * (n_a + n_b))."""
     total = (F.col("n_a") + F.col("n_b")) * percent
@@ -169,7 +205,8 @@ def _components(docs: DataFrame, doc_id: str, text: str, width: int, percent: in
 
     expected = sketch.text_size(docs, text) / 6
     repeated = sketch.repeated_keys(keyed.select("body"), grams_of, cells or sketch.cells_for(2 * expected))
-    described = materialize(_nodes(keyed, width, percent, spark.sparkContext.broadcast(repeated)))
+    repeated = spark.sparkContext.broadcast(repeated)
+    described = materialize(_nodes(keyed, width, percent, repeated))
     some = described.filter("n > 0")
     classes = materialize(some.groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("set_size")))
@@ -179,14 +216,9 @@ def _components(docs: DataFrame, doc_id: str, text: str, width: int, percent: in
         F.min(F.struct("doc_id", "text_hash")).alias("owner"))
     sending = materialize(sending)
     nodes = sending.select("node", "n", "sections")
-    lists = sending.select("node", "n", "share", F.explode("prefix").alias("p")).select(
-        F.col("p.gram").alias("gram"), "node", "n", "share", F.col("p.place").alias("place"),
-        F.col("node").alias("root"))
-    counted = materialize(lists)
-    several = counted.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("gram")
-    lists = materialize(counted.join(materialize(several), "gram", "left_semi"))
+    counted, lists = _lists(sending)
     # only nodes that share a list can need their sets
-    wanted = materialize(lists.select("node").distinct().join(sending.select("node", "owner"), "node").select("owner"))
+    wanted = lists.select("node").distinct().join(sending.select("node", "owner"), "node").select("owner")
     sets = _gram_sets(keyed, wanted, width)
     links = tried = members = None
     for turn in range(LED_ROUNDS):
@@ -199,6 +231,26 @@ def _components(docs: DataFrame, doc_id: str, text: str, width: int, percent: in
         links = found if links is None else links.unionByName(found)
         members = connect(links, Rounds(spark))
         lists = _mixed(lists, members)
+    # boilerplate goes to the end of the order; links found so far hold under any order
+    late = moved = None
+    for _ in range(ORDER_ROUNDS):
+        crowded = materialize(_crowded(lists))
+        if (crowded if late is None else crowded.join(late, "gram", "left_anti")).isEmpty():
+            break
+        late = crowded if late is None else materialize(late.unionByName(crowded).distinct())
+        last = key_set(late, "gram")
+        # a prefix without any of them stays as it is: what precedes a moved shingle keeps its place
+        holding = counted.filter(last.may_hold(F.col("gram"))).select("node")
+        moved = materialize((holding if moved is None else holding.unionByName(moved)).distinct())
+        owners = _bodies(keyed, moved.join(sending.select("node", "owner"), "node").select("owner"))
+        made = materialize(_late_prefixes(owners, width, percent, repeated, spark.sparkContext.broadcast(last)))
+        sending = materialize(sending.join(made, "node", "left").withColumn(
+            "prefix", F.coalesce("late", "prefix")).drop("late"))
+        counted, lists = _lists(sending)
+        lists = _mixed(lists, members)
+        more = lists.select("node").distinct().join(sets.select("node"), "node", "left_anti")
+        more = more.join(sending.select("node", "owner"), "node").select("owner")
+        sets = sets.unionByName(_gram_sets(keyed, more, width))
     # lists that still hold several components: all pairs across them.  One side of such a pair lies
     # outside the list's largest component, so the crowd is never paired with itself
     sizes = lists.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("m"))
@@ -228,6 +280,22 @@ def _components(docs: DataFrame, doc_id: str, text: str, width: int, percent: in
         F.coalesce("set_size", F.lit(1)).cast("long").alias("set_size"), "text_hash", "first_hash")
 
 
+def _lists(sending: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All entries of the prefixes, and those of shingles that several nodes send."""
+    counted = materialize(sending.select("node", "n", "share", F.explode("prefix").alias("p")).select(
+        F.col("p.gram").alias("gram"), "node", "n", "share", F.col("p.place").alias("place"),
+        F.col("node").alias("root")))
+    several = counted.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("gram")
+    return counted, materialize(counted.join(materialize(several), "gram", "left_semi"))
+
+
+def _crowded(lists: DataFrame) -> DataFrame:
+    """Shingles whose lists have more than ``CROWDED`` nodes outside their largest component."""
+    sizes = lists.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("m"))
+    return sizes.groupBy("gram").agg((F.sum("m") - F.max("m")).alias("outside")).filter(
+        F.col("outside") > CROWDED).select("gram")
+
+
 def _led(lists: DataFrame, turn: int) -> DataFrame:
     """Each node of a list with the list's leaders of another component.
 
@@ -269,19 +337,24 @@ def _gram_sets(keyed: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             for begin, end in slices(batch.column("body")):
                 nodes, sets = [], []
                 for _, grams in _sets(batch.column("body").slice(begin, end - begin), width):
-                    nodes.append(np.array([mix(grams ^ _A).sum(), mix(grams ^ _B).sum()], np.uint64).tobytes())
+                    nodes.append(_signature(grams))
                     sets.append(grams.view(np.int64))
                 yield pa.record_batch([pa.array(nodes, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
                                       ["node", "grams"])
 
+    return materialize(_bodies(keyed, wanted).mapInArrow(build, "node binary, grams array<long>"))
+
+
+def _bodies(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``body`` of each wanted owner."""
+    wanted = materialize(wanted)
     key = F.xxhash64("doc_id", "text_hash")
     named = wanted.select(F.col("owner.doc_id").alias("owner_id"), F.col("owner.text_hash").alias("owner_hash"))
     named = named.withColumn("key", F.xxhash64("owner_id", "owner_hash"))
     maybe = keyed.withColumn("key", key).filter(key_set(named, "key").may_hold(F.col("key")))
     # by id and text hash, not by the hash of both: no owner may hide another
-    owners = maybe.join(named.drop("key"), F.col("doc_id").eqNullSafe(F.col("owner_id")) & (
+    return maybe.join(named.drop("key"), F.col("doc_id").eqNullSafe(F.col("owner_id")) & (
         F.col("text_hash") == F.col("owner_hash")), "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("body")
-    return materialize(owners.mapInArrow(build, "node binary, grams array<long>"))
 
 
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE,
