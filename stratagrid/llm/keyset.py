@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +27,6 @@ class KeySet:
         bit = F.pmod(position, F.lit(8)).cast("int")
         return F.call_function("shiftright", value, bit).bitwiseAND(F.lit(1)) == 1
 
-    def holds(self, keys: np.ndarray) -> np.ndarray:
-        """``may_hold`` of an array of 64-bit hashes."""
-        position = keys.astype(np.uint64) & np.uint64(self.bits - 1)
-        byte = np.frombuffer(self.pages, np.uint8)[(position >> np.uint64(3)).astype(np.int64)]
-        return (byte >> (position & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-
 
 def key_set(keys: DataFrame, column: str, max_bits: int = MAX_BITS) -> KeySet:
     """Fold a written table of 64-bit hashes into a bitmap."""
