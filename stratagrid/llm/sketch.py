@@ -1,8 +1,9 @@
 """A count-min sketch that tells which keys may occur in two rows or more.
 
 Counters saturate at two, so a cell needs two bits while it is built and one bit when it is done.
-Each task sends the cells it has touched, block by block, as 16-bit offsets; blocks are merged where
-they meet.  The finished sketch has a fixed size, ``depth`` rows of ``cells`` bits, bounded by
+Each task sends the cells it has touched as 16-bit offsets in their blocks, the blocks of a section in
+one row: a full buffer makes ``SECTIONS`` rows at most, whatever the size of the sketch.  Sections are
+merged where they meet.  The finished sketch has a fixed size, ``depth`` rows of ``cells`` bits, bounded by
 ``MAX_CELLS``: beyond the size that suits it, it only overestimates more.
 """
 
@@ -20,6 +21,7 @@ from stratagrid.llm.words import mix
 
 MIN_CELLS, MAX_CELLS = 1 << 20, 1 << 31  # two rows of them are told apart by 32 bits
 BLOCK = 1 << 15
+SECTIONS = 1 << 9
 FLUSH = 1 << 21  # touched cells that a task holds at most before it sends them
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03], np.uint64)
 
@@ -52,7 +54,8 @@ class Repeated:
         return found
 
 
-def _payloads(touched: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
+def _payloads(touched: list[np.ndarray], blocks_each: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """Section, its touched blocks, their numbers of cells, and all codes (offset and "twice or more")."""
     at = np.concatenate(touched)
     touched.clear()
     at.sort()
@@ -64,21 +67,27 @@ def _payloads(touched: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
     at = at[first]
     codes = ((at % BLOCK).astype(np.uint16) << np.uint16(1)) | often.astype(np.uint16)
     blocks = at // BLOCK
-    cuts = np.flatnonzero(np.diff(blocks)) + 1
-    edges = [0, *cuts.tolist(), len(at)]
-    for a, b in zip(edges[:-1], edges[1:]):
-        yield int(blocks[a]), codes[a:b].tobytes()
+    starts = np.append(0, np.flatnonzero(np.diff(blocks)) + 1)
+    lengths = np.diff(np.append(starts, len(at))).astype(np.uint32)
+    blocks = blocks[starts].astype(np.uint32)
+    cuts = np.append(0, np.flatnonzero(np.diff(blocks // blocks_each)) + 1)
+    for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(blocks)).tolist()):
+        end = int(starts[b]) if b < len(starts) else len(at)
+        yield int(blocks[a]) // blocks_each, blocks[a:b].tobytes(), lengths[a:b].tobytes(), codes[starts[a]:end].tobytes()
 
 
 def repeated_keys(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], cells: int,
                   depth: int = 1) -> Repeated:
     """Count the keys of all rows; ``keys_of`` yields arrays in which a document has a key once."""
 
+    blocks_each = max(1, cells * depth // BLOCK // SECTIONS)
+
     @lean
     def touch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def send(touched: list[np.ndarray]) -> pa.RecordBatch:
-            blocks, codes = zip(*_payloads(touched))
-            return pa.record_batch([pa.array(blocks, pa.int64()), pa.array(codes, pa.binary())], ["block", "codes"])
+            section, *parts = zip(*_payloads(touched, blocks_each))
+            return pa.record_batch([pa.array(section, pa.int64()), *[pa.array(p, pa.binary()) for p in parts]],
+                                   ["section", "blocks", "lengths", "codes"])
 
         touched, held = [], 0
         for batch in batches:
@@ -96,18 +105,20 @@ def repeated_keys(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, codes in zip(batch.column(0).to_pylist(), batch.column(1)):
-                code = np.frombuffer(codes.as_buffer(), np.uint16)
-                count = counts.setdefault(block, np.zeros(BLOCK, np.uint8))
-                at = code >> 1
-                count[at] = np.minimum(count[at] + 1 + (code & 1), 2)
+            for row in zip(*batch.columns[1:]):
+                blocks, lengths, codes = (np.frombuffer(part.as_buffer(), kind) for part, kind in zip(
+                    row, (np.uint32, np.uint32, np.uint16)))
+                for block, code in zip(blocks.tolist(), np.split(codes, np.cumsum(lengths[:-1], dtype=np.int64))):
+                    count = counts.setdefault(block, np.zeros(BLOCK, np.uint8))
+                    at = code >> 1
+                    count[at] = np.minimum(count[at] + 1 + (code & 1), 2)
         for block, count in counts.items():
             if (count == 2).any():
                 bits = np.packbits(count == 2, bitorder="little").tobytes()
                 yield pa.record_batch([pa.array([block], pa.int64()), pa.array([bits], pa.binary())], ["block", "bits"])
 
-    merged = docs.mapInArrow(touch, "block long, codes binary").repartition("block").mapInArrow(
-        merge, "block long, bits binary")
+    merged = docs.mapInArrow(touch, "section long, blocks binary, lengths binary, codes binary").repartition(
+        "section").mapInArrow(merge, "block long, bits binary")
     bits = np.zeros(cells * depth // 8, np.uint8)  # as large as all that comes to the driver
     for block, found in merged.toLocalIterator(prefetchPartitions=True):
         bits[block * (BLOCK // 8):(block + 1) * (BLOCK // 8)] = np.frombuffer(found, np.uint8)
