@@ -9,30 +9,50 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
+_shared: set[tuple[str, str]] = set()
 _written: dict[str, list[str]] = {}
 
+PROBE_FILES = 64  # files, each of a task of its own, that show whether a folder is shared
+
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only for a local session."""
+    """The cluster's ``spark.checkpoint.dir``, else a folder in its warehouse; a temporary one only for a local session.
+
+    A ``file`` folder may be a mount that all machines share or each one's own disk.  Its name does not tell, so
+    on a cluster a few rows are written there once and looked for.
+    """
     context = spark.sparkContext
-    is_local = context.master.startswith("local")
-    configured = spark.conf.get("spark.checkpoint.dir", None) or _set_by_code(spark)
-    if configured:
-        if not is_local and _file_system(spark, configured) == "file":
-            raise RuntimeError(f"{configured} lies on each machine's own disk; name a folder that all share")
-        return configured.rstrip("/")
     app = context.applicationId
-    if app not in _local_dirs:
-        if not is_local:
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        _local_dirs[app] = tempfile.mkdtemp(prefix="stratagrid-")
-    return _local_dirs[app]
+    configured = _configured(spark)
+    if context.master == "local" or context.master.startswith("local["):
+        if not configured and app not in _local_dirs:
+            _local_dirs[app] = tempfile.mkdtemp(prefix="stratagrid-")
+        return configured.rstrip("/") if configured else _local_dirs[app]
+    folder = (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stratagrid-scratch").rstrip("/")
+    if (app, folder) not in _shared:
+        if _file_system(spark, folder) == "file" and not _is_shared(spark, folder):
+            raise RuntimeError(f"{folder} lies on each machine's own disk; set spark.checkpoint.dir to a folder that all share")
+        _shared.add((app, folder))
+    return folder
+
+
+def _is_shared(spark: SparkSession, folder: str) -> bool:
+    """True when the driver finds there what every task has written."""
+    path = f"{folder}/{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        spark.range(0, PROBE_FILES, 1, PROBE_FILES).write.parquet(path)
+        files = target.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(target)
+        return sum(f.getPath().getName().startswith("part-") for f in files) == PROBE_FILES
+    finally:
+        remove(spark, path)
 
 
-def _set_by_code(spark: SparkSession) -> str | None:
-    """The folder given to ``SparkContext.setCheckpointDir``."""
+def _configured(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir``, or the folder given to ``SparkContext.setCheckpointDir``."""
     folder = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return folder.get() if folder.isDefined() else None
+    return spark.conf.get("spark.checkpoint.dir", None) or (folder.get() if folder.isDefined() else None)
 
 
 def _file_system(spark: SparkSession, path: str) -> str:
