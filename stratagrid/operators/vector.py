@@ -110,8 +110,12 @@ def erase(cells: DataFrame, mask: DataFrame) -> DataFrame:
 
 
 def extract_by_mask(raster: DataFrame, mask: DataFrame) -> DataFrame:
-    """Raster values under a cell set; a cell may belong to several polygons."""
-    return mask.join(raster, ["col", "row"])
+    """Raster values under a cell set; a cell may belong to several polygons.
+
+    The planner takes an exploded buffer to be as small as its points, so without the hint it would send every cell
+    of a large mask to the driver and broadcast it.
+    """
+    return mask.hint("merge").join(raster, ["col", "row"])
 
 
 def area(cells: DataFrame, keys: list[str], grid: GridSpec) -> DataFrame:
