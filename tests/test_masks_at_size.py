@@ -22,7 +22,7 @@ def tables(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["dark_cells", "darkest_regions", "dissolve_parts"])
+@pytest.mark.parametrize("name", ["dark_cells", "darkest_regions", "dissolve_parts", "masked_cells"])
 def test_buffers_under_a_raster_are_not_broadcast(spark, tables, name):
     assert "Broadcast" not in plan_of(QUERIES[name](spark, tables))
 
