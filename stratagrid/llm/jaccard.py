@@ -1,8 +1,9 @@
 """N-gram Jaccard join: rare-first prefix filtering with length, positional and suffix filters.
 
-1. A sketch counts in how many documents each shingle occurs (at least once, at least twice).  The
-   global order puts shingles of one document first, then orders by hash; any such order is exact, and
-   this one fills the prefixes of most documents with shingles that no other document has.
+1. A sketch counts in how many documents each shingle occurs.  The global order puts shingles of one
+   document first, then shared ones by hash, and crowded ones last, by count and hash; any such order is
+   exact.  This one fills the prefixes of most documents with shingles that no other document has, and
+   keeps boilerplate out of the prefixes of copies.
 2. Equal shingle sets are one node, so copies are never compared.  A node sends its prefix shingles
    that may be shared.  Every list of nodes with a common prefix shingle first meets its leaders, in two
    rounds; then, and only where a list still holds several components, pairs across components are made.
@@ -79,7 +80,8 @@ def _nodes(docs: DataFrame, width: int, percent: int, repeated) -> DataFrame:
                 rare = int(len(grams) - often.sum())
                 if rare >= take:
                     continue
-                shared = grams[often][:take - rare]
+                shared = grams[often]
+                shared = shared[np.argsort(estimate.crowd(shared), kind="stable")[:take - rare]]
                 sent[row], lengths[row] = True, len(shared)
                 shared_grams.append(shared.view(np.int64))
                 places.append(np.arange(rare, take, dtype=np.int32))
@@ -146,7 +148,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE,
-                       percent: int = PERCENT, cells: int | None = None) -> DataFrame:
+                       percent: int = PERCENT, cells: int | None = None, crowd: int | None = None) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, set_size``.
 
     Two documents link when their sets of ``width``-word shingles (A-Z lower-cased, words split at ASCII
@@ -155,10 +157,11 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     the whole sequence is the one shingle.  A null or wordless text has an empty set and no links.
     ``set_size`` counts the rows with the same set.  Other columns are ignored.
     """
-    return _components(docs, doc_id, text, width, percent, cells).drop("first_hash")
+    return _components(docs, doc_id, text, width, percent, cells, crowd).drop("first_hash")
 
 
-def _components(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, cells: int | None) -> DataFrame:
+def _components(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, cells: int | None,
+                crowd: int | None = None) -> DataFrame:
     """``similar_components`` and ``first_hash``: the least text hash of the component's row of least id."""
     spark = docs.sparkSession
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"),
@@ -168,7 +171,8 @@ def _components(docs: DataFrame, doc_id: str, text: str, width: int, percent: in
         return (grams for _, grams in _sets(batch.column(0), width))
 
     expected = sketch.text_size(docs, text) / 6
-    repeated = sketch.repeated_keys(keyed.select("body"), grams_of, cells or sketch.cells_for(2 * expected))
+    repeated = sketch.repeated_keys(keyed.select("body"), grams_of, cells or sketch.cells_for(2 * expected),
+                                    crowd=crowd or sketch.crowd_for(expected))
     described = materialize(_nodes(keyed, width, percent, spark.sparkContext.broadcast(repeated)))
     some = described.filter("n > 0")
     classes = materialize(some.groupBy("node").agg(
