@@ -88,7 +88,7 @@ def _cells(side: DataFrame, level: int, down: int, name: str) -> DataFrame:
 
 def _next(pairs: DataFrame, points: DataFrame, targets: DataFrame, level: int, down: int, k: int, most: int) -> DataFrame:
     """The pairs of cells one step further down: ``pc, pr, tc, tr, bound, done``."""
-    met = _dealt(_dealt(pairs, _cells(points, level, down, "p"), ["pc", "pr"], ["tc", "tr"]),
+    met = block_join(block_join(pairs, _cells(points, level, down, "p"), ["pc", "pr"], ["tc", "tr"]),
                  _cells(targets, level, down, "t"), ["tc", "tr"], ["_pc", "_pr"])
     apart = lambda v: F.greatest(F.col(f"t{v}0") - F.col(f"p{v}1"), F.col(f"p{v}0") - F.col(f"t{v}1"), F.lit(0.0))
     across = lambda v: F.greatest(F.col(f"t{v}1") - F.col(f"p{v}0"), F.col(f"p{v}1") - F.col(f"t{v}0"))
@@ -112,11 +112,11 @@ def _met(pairs: DataFrame, points: DataFrame, targets: DataFrame, level: int) ->
     own = points.select("in_id", F.col("x").alias("px"), F.col("y").alias("py"),
                         _cell("ix", level).alias("pc"), _cell("iy", level).alias("pr"))
     far = targets.select("near_id", "x", "y", _cell("ix", level).alias("tc"), _cell("iy", level).alias("tr"))
-    asked = _dealt(own, pairs.select("pc", "pr", "tc", "tr"), ["pc", "pr"], ["in_id"])
-    return _dealt(asked, far, ["tc", "tr"], ["in_id"]).select("in_id", "px", "py", "near_id", "x", "y")
+    asked = block_join(own, pairs.select("pc", "pr", "tc", "tr"), ["pc", "pr"], ["in_id"])
+    return block_join(asked, far, ["tc", "tr"], ["in_id"]).select("in_id", "px", "py", "near_id", "x", "y")
 
 
-def _dealt(left: DataFrame, right: DataFrame, keys: list[str], salt_by: list[str]) -> DataFrame:
+def block_join(left: DataFrame, right: DataFrame, keys: list[str], salt_by: list[str]) -> DataFrame:
     """Join on ``keys``, each of which has few rows in ``right`` but may be hot in ``left``."""
     hot = hot_keys(left, keys)
     if hot is None:
